@@ -113,6 +113,13 @@ def silver_measures(silver_usd: DataFrame) -> DataFrame:
     )
 
 
+def spend_measures(events_usd: DataFrame) -> DataFrame:
+    """The totals that must reappear in the daily table."""
+    return measure(
+        events_usd, silver_rows=F.count(F.lit(1)), silver_spend=F.coalesce(F.sum("cost_usd"), F.lit(0.0))
+    )
+
+
 def gold_measures(gold: DataFrame) -> DataFrame:
     return measure(
         gold,

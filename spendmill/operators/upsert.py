@@ -18,8 +18,20 @@ def _newer(incoming: Column, held: Column) -> Column:
     return F.coalesce(incoming > held, incoming.isNotNull() & held.isNull())
 
 
-def _arrivals(target: DataFrame, incoming: DataFrame, key: str, order: str) -> DataFrame:
-    """Rows of ``incoming`` (one per key) that beat, or do not meet, the target's row of the key."""
+def winning_rows(
+    target: DataFrame,
+    source: DataFrame,
+    key: str = "event_id",
+    order: str = "ingest_time",
+    tie_breakers: Sequence[str] = TIES,
+) -> DataFrame:
+    """The rows of ``source`` that change ``target`` (unique on ``key``): newest per key, and either
+    new to the target or strictly newer than its row.
+
+    The target is read for two columns and cut to the source's keys before it meets the source
+    again. While the source is under the broadcast threshold the target is not shuffled.
+    """
+    incoming = dedup_latest(source, key, order, tie_breakers)
     keys = incoming.select(F.col(key).alias("_in_key"))
     held = target.select(F.col(key).alias("_key"), F.col(order).alias("_held"))
     met = held.join(keys, F.col("_key").eqNullSafe(F.col("_in_key")), "left_semi")
@@ -27,6 +39,24 @@ def _arrivals(target: DataFrame, incoming: DataFrame, key: str, order: str) -> D
     return incoming.join(met, beaten, "left_anti")
 
 
+def replace_rows(target: DataFrame, winners: DataFrame, key: str = "event_id") -> DataFrame:
+    """``target`` with each winner in place of the row of its key, or added."""
+    keys = winners.select(F.col(key).alias("_won"))
+    kept = target.join(keys, F.col(key).eqNullSafe(F.col("_won")), "left_anti")
+    return kept.unionByName(winners, allowMissingColumns=True)
+
+
+def days_of_change(
+    target: DataFrame, winners: DataFrame, key: str = "event_id", instant: str = "event_time_utc"
+) -> DataFrame:
+    """Distinct ``event_date`` that replacing rows touches: the winners' days and, since a correction
+    may move an event to another day, the days of the rows they replace."""
+    keys = winners.select(F.col(key).alias("_won"))
+    old = target.join(keys, F.col(key).eqNullSafe(F.col("_won")), "left_semi")
+    day = calendar_day(instant).alias("event_date")
+    return old.select(day).union(winners.select(day)).distinct()
+
+
 def upsert_latest(
     target: DataFrame,
     source: DataFrame,
@@ -37,15 +67,9 @@ def upsert_latest(
     """``target`` (unique on ``key``) after the upsert of ``source``.
 
     A source row replaces the target's only if its ``order`` is strictly greater, so replaying a
-    batch changes nothing. The source is reduced to one row per key first. Target rows pass through
-    an anti join against the source's keys: with a source under the broadcast threshold the target
-    is not shuffled at all, and its narrow second read is cut to the keys the source mentions.
+    batch changes nothing and the order of batches does not matter.
     """
-    incoming = dedup_latest(source, key, order, tie_breakers)
-    slim = incoming.select(F.col(key).alias("_in_key"), F.col(order).alias("_in_order"))
-    replaced = F.col(key).eqNullSafe(F.col("_in_key")) & _newer(F.col("_in_order"), F.col(order))
-    kept = target.join(slim, replaced, "left_anti")
-    return kept.unionByName(_arrivals(target, incoming, key, order), allowMissingColumns=True)
+    return replace_rows(target, winning_rows(target, source, key, order, tie_breakers), key)
 
 
 def touched_days(
@@ -54,17 +78,9 @@ def touched_days(
     key: str = "event_id",
     order: str = "ingest_time",
     tie_breakers: Sequence[str] = TIES,
-    instant: str = "event_time_utc",
 ) -> DataFrame:
-    """Distinct ``event_date`` whose daily rows the upsert changes.
-
-    A correction may move an event to another day, so both the old and the new day count.
-    """
-    winners = _arrivals(target, dedup_latest(source, key, order, tie_breakers), key, order)
-    winning = winners.select(F.col(key).alias("_in_key"))
-    old = target.join(winning, F.col(key).eqNullSafe(F.col("_in_key")), "left_semi")
-    day = calendar_day(instant).alias("event_date")
-    return old.select(day).union(winners.select(day)).distinct()
+    """Distinct ``event_date`` whose daily rows the upsert of ``source`` changes."""
+    return days_of_change(target, winning_rows(target, source, key, order, tie_breakers), key)
 
 
 def merge_statement(

@@ -1,0 +1,4 @@
+from .batch import FullLoad
+from .incremental import IncrementalLoad
+
+__all__ = ["FullLoad", "IncrementalLoad"]

@@ -11,6 +11,7 @@ from ..operators import checks as C
 from ..operators import (
     active_days,
     daily_spend,
+    days_of_change,
     detect_version,
     dq_report,
     duplicate_keys,
@@ -23,8 +24,10 @@ from ..operators import (
     parse_event_time,
     purge_keys,
     refresh_days,
+    replace_rows,
     rescue_unknown,
     rolling_spend,
+    split,
     streaks,
     to_usd,
     to_usd_daily,
@@ -33,18 +36,19 @@ from ..operators import (
     union_versions,
     unknown_names,
     upsert_latest,
+    winning_rows,
     with_offset,
 )
+from ..sources.interim import settle
 from ..sources.readers import clean_events
 from ..sources.schemas import EVENTS_V1, EVENTS_V2
-from ..sources.vendor import inr_rates, vendor_feeds
-from .layers import Layers
+from ..sources.vendor import EVENTS, given_events, inr_rates, vendor_feeds
+from .layers import Layers, build_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 NOW = "2024-01-31T00:00:00Z"
-PAYLOAD = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
 def query(build: Callable[[Layers], DataFrame]) -> Callable[[Layers], DataFrame]:
@@ -114,8 +118,8 @@ def bronze_rescue(x: Layers) -> DataFrame:
 
 @query
 def bronze_payload(x: Layers) -> DataFrame:
-    events = keep_payload(x.spark.read.parquet(f"{x.sf_dir}/events.parquet"))
-    return events.select(F.from_json("_payload", PAYLOAD).alias("row")).select("row.*")
+    events = keep_payload(given_events(x.spark, x.sf_dir))
+    return events.select(F.from_json("_payload", EVENTS).alias("row")).select("row.*")
 
 
 @query
@@ -196,7 +200,7 @@ def silver_dedup(x: Layers) -> DataFrame:
 
 @query
 def silver_time_range(x: Layers) -> DataFrame:
-    return C.time_range(x.silver).select(utc("first_event"), utc("last_event"))
+    return C.time_range(x.spend_events).select(utc("first_event"), utc("last_event"))
 
 
 @query
@@ -212,29 +216,29 @@ def na_rows(x: Layers) -> DataFrame:
 
 @query
 def gold_cost_usd(x: Layers) -> DataFrame:
-    return x.silver_usd.select("event_id", "currency", rounded("cost_usd"))
+    return x.spend_events.select("event_id", "currency", rounded("cost_usd"))
 
 
 @query
 def inr_spot_check(x: Layers) -> DataFrame:
-    return x.silver_usd.where(F.col("currency") == "INR").select("event_id", "cost_raw", rounded("cost_usd"))
+    return x.spend_events.where(F.col("currency") == "INR").select("event_id", "cost_raw", rounded("cost_usd"))
 
 
 @query
 def gold_cost_usd_daily_rate(x: Layers) -> DataFrame:
-    return to_usd_daily(x.silver, inr_rates(x.spark)).select("event_id", "currency", rounded("cost_usd"))
+    return to_usd_daily(x.spend_events.drop("cost_usd"), inr_rates(x.spark)).select("event_id", "currency", rounded("cost_usd"))
 
 
 @query
 def gold_join_dim(x: Layers) -> DataFrame:
-    return join_dimension(x.silver, x.dim).select(
+    return join_dimension(x.spend_events, x.dim).select(
         "event_id", "advertiser_id", "advertiser_name", "is_unmapped_advertiser"
     )
 
 
 @query
 def orphan_advertisers(x: Layers) -> DataFrame:
-    return orphans(x.silver, x.dim)
+    return orphans(x.spend_events, x.dim)
 
 
 @query
@@ -313,10 +317,12 @@ def touched_days_query(x: Layers) -> DataFrame:
 
 @query
 def gold_incremental(x: Layers) -> DataFrame:
-    old, new = x.before_corrections, x.corrections
+    old = x.before_corrections
+    won = settle(winning_rows(old, x.corrections))
+    days = settle(days_of_change(old, won))
     gold = daily_spend(to_usd(old), x.dim)
-    corrected = to_usd(upsert_latest(old, new))
-    return gold_columns(refresh_days(gold, corrected, x.dim, touched_days(old, new)))
+    corrected = to_usd(replace_rows(old, won))
+    return gold_columns(refresh_days(gold, corrected, x.dim, days))
 
 
 # -- data quality -----------------------------------------------------------------------------
@@ -382,21 +388,24 @@ def check_null_currency(x: Layers) -> DataFrame:
 
 @query
 def check_spend_conservation(x: Layers) -> DataFrame:
-    return _check([C.silver_measures(x.silver_usd), C.gold_measures(x.gold)], "spend_conservation")
+    return _check([C.spend_measures(x.spend_events), C.gold_measures(x.gold)], "spend_conservation")
 
 
 @query
 def check_event_conservation(x: Layers) -> DataFrame:
-    return _check([C.silver_measures(x.silver_usd), C.gold_measures(x.gold)], "event_conservation")
+    return _check([C.spend_measures(x.spend_events), C.gold_measures(x.gold)], "event_conservation")
 
 
 @query
 def check_unmapped_equals_orphans(x: Layers) -> DataFrame:
-    parts = [C.unmapped_measures(x.gold), C.rows_of("orphan_advertisers", orphans(x.silver, x.dim))]
+    parts = [C.unmapped_measures(x.gold), C.rows_of("orphan_advertisers", orphans(x.spend_events, x.dim))]
     return _check(parts, "unmapped_equals_orphans")
 
 
 @query
 def reconciliation_report(x: Layers) -> DataFrame:
-    report = C.reconcile(x.feeds, x.bronze, x.quarantine, x.good, x.silver_usd, x.gold, x.dim)
+    good, rejected = split(settle(x.labelled))
+    silver = settle(to_usd(build_silver(good, x.config)))
+    gold = settle(daily_spend(silver, x.dim))
+    report = C.reconcile(x.feeds, x.bronze, rejected, good, silver, gold, x.dim)
     return report.select("check_name", rounded("expected", 2), rounded("actual", 2), "passed")

@@ -90,9 +90,19 @@ class Layers:
     def dim(self) -> DataFrame:
         return advertisers(self.spark, self.sf_dir)
 
+    @cached_property
+    def spend_events(self) -> DataFrame:
+        """Clean events with only what the daily sums read.
+
+        The kept columns are the ordering and the tie-breakers, which decide the survivor's values in
+        all of them, so leaving the others out before the shuffle changes nothing.
+        """
+        c = self.config
+        return to_usd(build_silver(self.good.select(c.key, c.order, *c.tie_breakers), c), c.usd_rates)
+
     @cached_property
     def gold(self) -> DataFrame:
-        return daily_spend(self.silver_usd, self.dim)
+        return daily_spend(self.spend_events, self.dim)
 
     @cached_property
     def before_corrections(self) -> DataFrame:

@@ -1,11 +1,13 @@
-"""The layer tables in the catalog: reading, replacing, and rewriting single days."""
+"""The layer tables in the catalog: replacing them, rewriting single partitions, staging results."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import MillConfig
 
@@ -42,16 +44,33 @@ class LayerTables:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(table)
 
+    def ensure(self, table: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
+        """Create the table, without rows, if it does not exist yet."""
+        if not self.exists(table):
+            self.overwrite(self.spark.createDataFrame([], schema), table, partition_by)
+
+    def add_columns(self, table: str, schema: T.StructType) -> None:
+        """Columns of ``schema`` that the table lacks become part of it; old rows read NULL there."""
+        known = set(self.read(table).columns)
+        new = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name not in known]
+        if new:
+            self.spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
+
     def replace_partitions(self, df: DataFrame, table: str) -> None:
-        """Overwrite just the partitions that ``df`` holds. Safe to repeat."""
-        ordered = df.select(*self.read(table).columns)
-        # insertInto honours the session setting on every Spark version and table format.
-        before = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        """Overwrite just the partitions that ``df`` holds, adding columns that are new. Safe to repeat."""
+        self.add_columns(table, df.schema)
+        fields = self.read(table).schema.fields
+        have = set(df.columns)
+        aligned = df.select(*(F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in fields))
+        # insertInto reads this only from the session that owns the frame, which for a micro-batch is
+        # the stream's own copy. Under "static" the write would empty every other partition.
+        conf, setting = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+        before = conf.get(setting)
+        conf.set(setting, "dynamic")
         try:
-            ordered.write.insertInto(table, overwrite=True)
+            aligned.write.insertInto(table, overwrite=True)
         finally:
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+            conf.set(setting, before)
 
     def drop_days(self, table: str, days: Iterable[object], column: str = "event_date") -> None:
         """Remove whole partitions, for days that no longer have any row."""
@@ -59,10 +78,36 @@ class LayerTables:
         if specs:
             self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
-    def publish(self, staged: str, table: str) -> None:
-        """Swap a finished table in under its public name; only metadata moves."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self.spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    def stage(self, df: DataFrame, table: str, label: str, partition_by: Sequence[str] = ()) -> str:
+        """Write ``df`` beside ``table``. The name enters the catalog only once the data is complete,
+        and each attempt has its own name, so a crashed attempt neither counts nor gets in the way."""
+        name = f"{table}__{label}_{uuid.uuid4().hex[:8]}"
+        self.overwrite(df, name, partition_by)
+        return name
+
+    def find_staged(self, table: str, label: str) -> str | None:
+        """A completed staged table of this label, if an earlier attempt left one."""
+        namespace, base = table.rsplit(".", 1)
+        found = self.spark.sql(f"SHOW TABLES IN {namespace} LIKE '{base}__{label}_*'").select("tableName").take(1)
+        return f"{namespace}.{found[0][0]}" if found else None
+
+    def drop_staged(self, table: str, label: str) -> None:
+        while staged := self.find_staged(table, label):
+            self.spark.sql(f"DROP TABLE {staged}")
+
+    def publish(self, staged: str, table: str, day: str = "event_date") -> None:
+        """Make ``table`` equal to a finished staged table, partition by partition.
 
-    def drop(self, table: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        Readers keep the table throughout. A table with other columns or types is replaced whole.
+        """
+        new = self.read(staged)
+        kinds = {f.name: f.dataType for f in new.schema.fields}
+        if not self.exists(table) or {f.name: f.dataType for f in self.read(table).schema.fields} != kinds:
+            self.overwrite(new, table, [day])
+        else:
+            # One value per calendar day on either side.
+            gone = self.read(table).select(day).distinct().join(new.select(day).distinct(), day, "left_anti")
+            days = [r[0] for r in gone.collect()]
+            self.replace_partitions(new, table)
+            self.drop_days(table, days, day)
+        self.spark.sql(f"DROP TABLE IF EXISTS {staged}")

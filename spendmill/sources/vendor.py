@@ -14,6 +14,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The columns of the given tables, so reading them never samples a file.
+EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+CUSTOMER = "c_custkey BIGINT, c_name STRING"
+
 _ORIGINAL, _COPY, _CORRECTION = 0, 1, 2
 
 
@@ -55,12 +59,16 @@ def _feed(events: DataFrame, version: int, resends: bool, extra: Sequence[str])
     return sent.select(*common, *own, *extra)
 
 
+def given_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+
+
 def vendor_feeds(spark: SparkSession, sf_dir: str, resends: bool = True, extra: Sequence[str] = ()) -> Feeds:
     """The version-1 (``Z`` times, ``spend``) and version-2 (``+05:30`` times, ``media_cost``) feeds.
 
     ``extra`` names columns of ``events`` to send along that no schema declares.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = given_events(spark, sf_dir)
     return Feeds(_feed(events, 0, resends, extra), _feed(events, 1, resends, extra))
 
 
@@ -69,7 +77,8 @@ def advertisers(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     name = F.when(key % 11 != 5, F.col("c_name"))
     return (
-        spark.read.parquet(f"{sf_dir}/customer.parquet")
+        spark.read.schema(CUSTOMER)
+        .parquet(f"{sf_dir}/customer.parquet")
         .where(key % 10 != 9)
         .select(key.alias("advertiser_id"), name.alias("advertiser_name"))
     )

@@ -1,0 +1,3 @@
+from .ingest import VendorFolder, folder_stream, start_incremental
+
+__all__ = ["VendorFolder", "folder_stream", "start_incremental"]
