@@ -1,6 +1,14 @@
 from types import ModuleType as _ModuleType
 
-from .bronze import detect_version, keep_payload, rescue_unknown, stamp_ingest, tag_provenance, union_versions
+from .bronze import (
+    detect_version,
+    file_version,
+    keep_payload,
+    rescue_unknown,
+    stamp_ingest,
+    tag_provenance,
+    union_versions,
+)
 from .checks import CHECKS, Check, compare, measure, reconcile
 from .cleanse import (
     DEFAULT_REJECTIONS,

@@ -49,6 +49,14 @@ def detect_version(
     return df.withColumns({"schema_version": version_of(df.columns, markers, default)})
 
 
+def file_version(
+    columns: Iterable[str], markers: Mapping[str, Sequence[str]] = VERSION_MARKERS, default: str = "v1"
+) -> str:
+    """The schema version of a whole file, told from which columns it has."""
+    have = set(columns)
+    return next((version for version, names in markers.items() if have.intersection(names)), default)
+
+
 def union_versions(*feeds: DataFrame) -> DataFrame:
     """One superset table from any number of feeds; a column a feed lacks is NULL there."""
     if not feeds:

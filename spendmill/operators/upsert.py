@@ -84,7 +84,12 @@ def touched_days(
 
 
 def merge_statement(
-    target: str, source: str, columns: Sequence[str], key: str = "event_id", order: str = "ingest_time"
+    target: str,
+    source: str,
+    columns: Sequence[str],
+    key: str = "event_id",
+    order: str = "ingest_time",
+    tie_breakers: Sequence[str] = TIES,
 ) -> str:
     """The upsert as ``MERGE INTO``, for tables in a format that supports it.
 
@@ -92,7 +97,7 @@ def merge_statement(
     newest row per key. ``ingest_time`` ties keep the target's row, as in ``upsert_latest``.
     """
     rest = [c for c in columns if c != key]
-    newest = ", ".join([order] + [c for c in rest if c != order])
+    newest = ", ".join(dict.fromkeys([order, *(t for t in tie_breakers if t in rest), *rest]))
     fields = ", ".join(f"newest.{c} AS {c}" for c in rest)
     updates = ", ".join(f"t.{c} = s.{c}" for c in rest)
     names = ", ".join(columns)

@@ -8,22 +8,45 @@ the first one is swapped in. A run that is killed at any point is finished by ru
 from __future__ import annotations
 
 import re
-from datetime import date
+from collections.abc import Mapping, Sequence
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ADVERTISER_DIM, CLEAN_EVENTS, DAILY_SPEND, QUARANTINE_EVENTS, RAW_EVENTS, MillConfig, assert_utc
-from ..operators import days_of_change, daily_spend, replace_rows, split, to_usd, winning_rows
+from ..operators import (
+    Rule,
+    daily_spend,
+    days_of_change,
+    dq_report,
+    enforce,
+    join_dimension,
+    replace_rows,
+    split,
+    stamp_ingest,
+    to_usd,
+    winning_rows,
+)
+from ..operators.rollup import GOLD_COLUMNS
 from ..sources.tables import LayerTables
 from .batch import by_day, dated
 from .layers import build_labelled
 
 
 class IncrementalLoad:
-    def __init__(self, spark: SparkSession, config: MillConfig | None = None):
+    """``rules`` are checked on the clean rows of every batch, before any clean or daily row changes."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        config: MillConfig | None = None,
+        rules: Sequence[Rule | Mapping] = (),
+        now: Column | datetime | str | None = None,
+    ):
         self.spark = spark
+        self.rules, self.now = rules, now
         self.config = config or MillConfig()
         self.tables = LayerTables(spark, self.config)
         c = self.config
@@ -36,18 +59,48 @@ class IncrementalLoad:
     def apply(self, rows: DataFrame, label: str) -> list[date]:
         """Take in ``rows`` (tagged with their provenance) as batch ``label``; returns the days refreshed.
 
-        ``label`` must be unique to the batch and the same when the batch is retried.
+        ``label`` must be unique to the batch and the same when the batch is retried. A batch that
+        fails a rule raises ``DataQualityError``: its raw rows are kept, nothing is published.
         """
         assert_utc(self.spark)
         tag = re.sub(r"\W", "_", label).lower()
         self.tables.ensure_namespaces()
         good = self._store_raw(rows, label)
+        if self.rules:
+            enforce(dq_report(good, self.rules, self.now))
         days = self._upsert(good, tag)
         self._refresh(days)
         for part in ("rows", "days", "winners"):
             self.tables.drop_staged(self.silver, f"{tag}_{part}")
         return days
 
+    def load_dimension(self, dim: DataFrame) -> list[date]:
+        """Replace the dimension and rename the daily rows it changes; returns their days.
+
+        Sums do not depend on the dimension, so no event is read again.
+        """
+        tables = self.tables
+        tables.ensure_namespaces()
+        tables.overwrite(stamp_ingest(dim), self.dim)
+        if not tables.exists(self.gold):
+            return []
+        before = tables.read(self.gold).withColumnsRenamed(
+            {"advertiser_name": "_name", "is_unmapped_advertiser": "_unmapped"}
+        )
+        renamed = join_dimension(before, tables.read(self.dim))
+        differs = ~(
+            F.col("_name").eqNullSafe(F.col("advertiser_name"))
+            & F.col("_unmapped").eqNullSafe(F.col("is_unmapped_advertiser"))
+        )
+        # One value per calendar day.
+        days = [r.event_date for r in renamed.where(differs).select("event_date").distinct().collect()]
+        if days:
+            affected = renamed.where(F.col("event_date").isin(days)).select(*GOLD_COLUMNS)
+            staged = tables.stage(affected, self.gold, "dimension", ["event_date"])
+            tables.replace_partitions(tables.read(staged), self.gold)
+            tables.drop_staged(self.gold, "dimension")
+        return sorted(days)
+
     def _store_raw(self, rows: DataFrame, label: str) -> DataFrame:
         """Raw and quarantined rows of the batch, each in its own partition; returns the good rows."""
         tables = self.tables

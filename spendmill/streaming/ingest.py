@@ -7,7 +7,7 @@ same label and leaves the tables as they are.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import MillConfig, checkpoint_root
-from ..operators import tag_provenance, union_versions
+from ..operators import Rule, tag_provenance, union_versions
 from ..plans.incremental import IncrementalLoad
 from ..sources.readers import csv_options
 
@@ -48,13 +48,15 @@ def start_incremental(
     name: str = "vendor_ingest",
     checkpoint: str | None = None,
     every: str | None = None,
+    rules: Sequence[Rule | Mapping] = (),
 ) -> StreamingQuery:
     """Start ingesting new files of ``folders`` into the layer tables.
 
     Without ``every`` the query takes what is there and stops; ``every='1 hour'`` keeps it running.
-    The checkpoint lies under ``spark.checkpoint.dir``; ``checkpoint`` is used where that is unset.
+    A batch that breaks one of ``rules`` stops the query before anything is published. The checkpoint
+    lies under ``spark.checkpoint.dir``; ``checkpoint`` is used where that is unset.
     """
-    load = IncrementalLoad(spark, config)
+    load = IncrementalLoad(spark, config, rules)
     location = f"{checkpoint_root(spark, checkpoint)}/{name}"
     rows = union_versions(*(folder_stream(spark, f) for f in folders))
 

@@ -12,6 +12,7 @@ from spendmill import (
     clean_events,
     detect_version,
     exact_dedup,
+    file_version,
     keep_payload,
     load_events,
     rescue_unknown,
@@ -91,6 +92,7 @@ def test_version_is_told_from_populated_columns(spark):
     df = spark.createDataFrame([(1, 5.0, None), (2, None, 0.4), (3, None, None)], "id int, media_cost double, viewability double")
     assert [r.schema_version for r in detect_version(df).orderBy("id").collect()] == ["v2", "v2", "v1"]
     assert detect_version(df.select("id")).first().schema_version == "v1"
+    assert (file_version(df.columns), file_version(["id", "spend"])) == ("v2", "v1")
 
 
 def test_rescue_and_payload_lose_nothing(spark):

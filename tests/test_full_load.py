@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from spendmill import DataQualityError, MillConfig
+from spendmill import DataQualityError, MillConfig, active_days, rolling_spend
 from spendmill.plans import FullLoad
 from spendmill.plans.layers import Layers
 
@@ -36,6 +36,30 @@ def test_provenance_is_never_null(spark, loaded):
     assert schema.where(missing).count() == 0
 
 
+def test_sql_on_the_stored_tables_answers_like_the_operators(spark, loaded):
+    rolling = spark.sql("""
+        SELECT event_date, advertiser_id, advertiser_name, total_spend_usd,
+               avg(total_spend_usd) OVER week AS rolling_7day_avg_spend,
+               round((total_spend_usd - lag(total_spend_usd) OVER days) / nullif(lag(total_spend_usd) OVER days, 0) * 100, 2)
+                 AS pct_change_vs_prior_day
+        FROM fg.daily_advertiser_spend
+        WINDOW days AS (PARTITION BY advertiser_id ORDER BY event_date),
+               week AS (PARTITION BY advertiser_id ORDER BY event_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
+    gold = spark.table("fg.daily_advertiser_spend")
+    assert sorted(map(repr, rolling.collect())) == sorted(map(repr, rolling_spend(gold).collect()))
+    days = spark.sql("SELECT DISTINCT advertiser_id, event_date FROM fg.daily_advertiser_spend WHERE event_count >= 1")
+    assert sorted(map(repr, days.collect())) == sorted(map(repr, active_days(gold).collect()))
+    low, high = spark.sql("SELECT min(event_date), max(event_date) FROM fs.events").first()
+    assert (str(low), str(high)) == ("2024-01-01", "2024-01-30")
+
+
+def test_day_filter_prunes_partitions(spark, loaded):
+    one = spark.table("fs.events").where("event_date = '2024-01-05'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert len(one.inputFiles()) < len(spark.table("fs.events").inputFiles())
+
+
 def test_rerun_gives_the_same_tables(spark, loaded):
     load, _ = loaded
     before = sorted(map(repr, spark.table("fg.daily_advertiser_spend").collect()))

@@ -6,7 +6,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from spendmill import MillConfig, tag_provenance, union_versions
+from spendmill import DataQualityError, MillConfig, tag_provenance
 from spendmill.plans import FullLoad, IncrementalLoad
 from spendmill.plans.layers import Layers
 from spendmill.streaming import VendorFolder, start_incremental
@@ -111,6 +111,27 @@ def test_killed_run_is_finished_by_the_next_one(spark, load, monkeypatch):
     assert spark.sql(f"SHOW TABLES IN {load.config.silver}").count() == 2
 
 
+def test_broken_rule_stops_the_batch_before_it_is_published(spark, load):
+    load.apply(batch(spark, [_event(1, "2024-01-01T10:00:00Z", "2024-01-05 00:00:00", 5.0)]), "one")
+    load.rules = [{"type": "null_rate", "column": "advertiser_id", "max_rate": 0.0}]
+    with pytest.raises(DataQualityError, match="advertiser_id"):
+        load.apply(batch(spark, [_event(2, "2024-01-01T10:00:00Z", "2024-01-05 00:00:00", 5.0, adv=None)]), "two")
+    assert spark.table(load.bronze).count() == 2
+    assert spark.table(load.silver).count() == 1
+    assert spark.table(load.gold).first().event_count == 1
+
+
+def test_new_dimension_renames_only_the_days_it_changes(spark, load):
+    load.apply(batch(spark, [_event(1, "2024-01-01T10:00:00Z", "2024-01-05 00:00:00", 5.0, "a"),
+                             _event(2, "2024-01-02T10:00:00Z", "2024-01-05 00:00:00", 5.0, "b")]), "one")
+    dim = "advertiser_id string, advertiser_name string"
+    assert load.load_dimension(spark.createDataFrame([("a", "Ann")], dim)) == [dt.date(2024, 1, 1)]
+    assert load.load_dimension(spark.createDataFrame([("a", "Ann"), ("b", None)], dim)) == [dt.date(2024, 1, 2)]
+    assert load.load_dimension(spark.createDataFrame([("a", "Ann"), ("b", None)], dim)) == []
+    got = {r.advertiser_id: (r.advertiser_name, r.is_unmapped_advertiser, r.total_spend_usd) for r in spark.table(load.gold).collect()}
+    assert got == {"a": ("Ann", False, 5.0), "b": ("UNKNOWN", False, 5.0)}
+
+
 def test_stream_equals_batch_and_restart_adds_nothing(spark, full, tmp_path):
     x = full
     config = MillConfig(bronze="stb", silver="sts", gold="stg")
