@@ -47,7 +47,7 @@ def dedup_latest(
     else:
         newest = F.max_by(F.struct(*lead, *rest), F.struct(*lead, *comparable))
     picked = df.groupBy(*keys).agg(newest.alias("_newest"))
-    return picked.select(*(F.col(c) if c in keys else F.col("_newest")[c].alias(c) for c in df.columns))
+    return picked.selectExpr(*(f"`{c}`" if c in keys else f"_newest.`{c}` AS `{c}`" for c in df.columns))
 
 
 def exact_dedup(df: DataFrame) -> DataFrame:

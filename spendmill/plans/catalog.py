@@ -404,7 +404,8 @@ def check_unmapped_equals_orphans(x: Layers) -> DataFrame:
 
 @query
 def reconciliation_report(x: Layers) -> DataFrame:
-    good, rejected = split(settle(x.labelled))
+    read_by_checks = (x.config.key, x.config.order, *x.config.tie_breakers, "event_time", "quarantine_reason")
+    good, rejected = split(settle(x.labelled.select(*read_by_checks)))
     silver = settle(to_usd(build_silver(good, x.config)))
     gold = settle(daily_spend(silver, x.dim))
     report = C.reconcile(x.feeds, x.bronze, rejected, good, silver, gold, x.dim)

@@ -18,6 +18,7 @@ from ..operators import (
     to_usd,
     union_versions,
 )
+from ..sources.interim import settle
 from ..sources.vendor import advertisers, vendor_feeds
 
 # File names recorded as provenance.
@@ -106,19 +107,16 @@ class Layers:
 
     @cached_property
     def before_corrections(self) -> DataFrame:
-        """Clean rows of the first delivery: one row per event."""
-        return split(label_quarantine(normalise(self.first_delivery)))[0]
+        """Clean rows of the first delivery: one row per event, stored as the target of corrections."""
+        return settle(split(label_quarantine(normalise(self.first_delivery)))[0])
 
     @cached_property
     def corrections(self) -> DataFrame:
         """Late corrections: some older, some equally old, some newer; some move to the next day."""
-        key = F.col("event_id")
-        shift = F.make_dt_interval(hours=(key % 3 - 1).cast("int"))
-        move = F.make_dt_interval(days=F.when(key % 5 == 0, 1).otherwise(0))
-        return self.before_corrections.where(key % 53 == 6).withColumns(
+        return self.before_corrections.where("event_id % 53 = 6").withColumns(
             {
-                "ingest_time": F.col("ingest_time") + shift,
-                "cost_raw": F.col("cost_raw") * 2,
-                "event_time_utc": F.col("event_time_utc") + move,
+                "ingest_time": F.expr("ingest_time + INTERVAL 1 HOUR * (event_id % 3 - 1)"),
+                "cost_raw": F.expr("cost_raw * 2"),
+                "event_time_utc": F.expr("event_time_utc + INTERVAL 1 DAY * IF(event_id % 5 = 0, 1, 0)"),
             }
         )

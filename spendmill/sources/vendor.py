@@ -11,52 +11,44 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # The columns of the given tables, so reading them never samples a file.
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 CUSTOMER = "c_custkey BIGINT, c_name STRING"
 
-_ORIGINAL, _COPY, _CORRECTION = 0, 1, 2
-
-
 class Feeds(NamedTuple):
     v1: DataFrame
     v2: DataFrame
 
 
-def _hits(modulus: int, remainder: int) -> Column:
-    return F.col("event_id") % modulus == remainder
-
-
-def _event_time(utc_file: bool) -> Column:
-    local = F.col("ts") if utc_file else F.col("ts") + F.expr("INTERVAL 330 MINUTES")
-    text = F.concat(
-        F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z" if utc_file else "+05:30")
-    )
-    return F.when(_hits(97, 5), F.lit("N/A")).when(~_hits(89, 3), text)
+# 0 = the event as first sent, 1 = an exact copy, 2 = a later correction.
+_FIRST = "array(0)"
+_ALL_SENT = "array_compact(array(0, IF(event_id % 41 = 1, 1, NULL), IF(event_id % 53 = 6, 2, NULL)))"
+_SIGNED = "IF(event_id % 73 = 4, -value, value) * IF(_sent = 2, 2, 1)"
+_COST = f"CASE WHEN event_id % 79 <> 2 THEN {_SIGNED} END"
+_TEXT = "date_format({when}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+_WHEN = ("ts", "ts + INTERVAL 330 MINUTES")
+_OFFSET = ("Z", "+05:30")
+_OWN = ([f"{_COST} AS spend"], [f"{_COST} AS media_cost", "value / 500 AS viewability"])
 
 
 def _feed(events: DataFrame, version: int, resends: bool, extra: Sequence[str]) -> DataFrame:
-    copies = [F.lit(_ORIGINAL)]
-    if resends:
-        copies += [F.when(_hits(41, 1), F.lit(_COPY)), F.when(_hits(53, 6), F.lit(_CORRECTION))]
-    sent = events.where(F.col("event_id") % 2 == version).withColumns(
-        {"_sent": F.explode(F.array_compact(F.array(*copies)))}
+    text = _TEXT.format(when=_WHEN[version])
+    return (
+        events.where(f"event_id % 2 = {version}")
+        .selectExpr("*", f"explode({_ALL_SENT if resends else _FIRST}) AS _sent")
+        .selectExpr(
+            "event_id",
+            f"""CASE WHEN event_id % 97 = 5 THEN 'N/A'
+                     WHEN event_id % 89 <> 3 THEN concat({text}, '{_OFFSET[version]}') END AS event_time""",
+            "IF(_sent = 2, ts + INTERVAL 1 HOUR, ts) AS ingest_time",
+            "user_id AS advertiser_id",
+            "CASE WHEN event_id % 83 <> 7 THEN IF(user_id % 3 = 0, 'INR', 'USD') END AS currency",
+            *_OWN[version],
+            *extra,
+        )
     )
-    corrected = F.col("_sent") == _CORRECTION
-    signed = F.when(_hits(73, 4), -F.col("value")).otherwise(F.col("value"))
-    cost = F.when(~_hits(79, 2), F.when(corrected, signed * 2).otherwise(signed))
-    common = [
-        F.col("event_id"),
-        _event_time(utc_file=version == 0).alias("event_time"),
-        F.when(corrected, F.col("ts") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("ts")).alias("ingest_time"),
-        F.col("user_id").alias("advertiser_id"),
-        F.when(~_hits(83, 7), F.when(F.col("user_id") % 3 == 0, "INR").otherwise("USD")).alias("currency"),
-    ]
-    own = [cost.alias("spend")] if version == 0 else [cost.alias("media_cost"), (F.col("value") / 500).alias("viewability")]
-    return sent.select(*common, *own, *extra)
 
 
 def given_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,22 +66,16 @@ def vendor_feeds(spark: SparkSession, sf_dir: str, resends: bool = True, extra:
 
 def advertisers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension, with some advertisers missing and some present without a name."""
-    key = F.col("c_custkey")
-    name = F.when(key % 11 != 5, F.col("c_name"))
-    return (
-        spark.read.schema(CUSTOMER)
-        .parquet(f"{sf_dir}/customer.parquet")
-        .where(key % 10 != 9)
-        .select(key.alias("advertiser_id"), name.alias("advertiser_name"))
+    customers = spark.read.schema(CUSTOMER).parquet(f"{sf_dir}/customer.parquet")
+    return customers.where("c_custkey % 10 <> 9").selectExpr(
+        "c_custkey AS advertiser_id", "CASE WHEN c_custkey % 11 <> 5 THEN c_name END AS advertiser_name"
     )
 
 
 def inr_rates(spark: SparkSession, days: int = 30, every: int = 3) -> DataFrame:
     """INR per USD on every third day of January 2024, so that most days need the as-of rate."""
-    steps = spark.range(days // every)
-    offset = (F.col("id") * every).cast("int")
-    return steps.select(
-        F.lit("INR").alias("currency"),
-        F.date_add(F.lit("2024-01-01").cast("date"), offset).alias("rate_date"),
-        (80 + (1 + F.col("id") * every) / 10.0).alias("rate"),
+    return spark.range(days // every).selectExpr(
+        "'INR' AS currency",
+        f"date_add(DATE '2024-01-01', CAST(id * {every} AS INT)) AS rate_date",
+        f"80 + (1 + id * {every}) / 10 AS rate",
     )
