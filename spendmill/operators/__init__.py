@@ -26,6 +26,15 @@ from .money import fill_daily, to_usd, to_usd_daily
 from .quality import DataQualityError, Rule, dq_report, enforce, run_dq_checks
 from .rollup import daily_spend, on_days, refresh_days
 from .trends import active_days, first_days, longest_streak, rolling_spend, streaks
-from .upsert import days_of_change, merge_statement, replace_rows, touched_days, upsert_latest, winning_rows
+from .upsert import (
+    beating,
+    days_of_change,
+    held_rows,
+    merge_statement,
+    replace_rows,
+    touched_days,
+    upsert_latest,
+    winning_rows,
+)
 
 __all__ = [n for n, v in list(globals().items()) if not n.startswith("_") and not isinstance(v, _ModuleType)]

@@ -18,6 +18,36 @@ def _newer(incoming: Column, held: Column) -> Column:
     return F.coalesce(incoming > held, incoming.isNotNull() & held.isNull())
 
 
+def held_rows(
+    target: DataFrame, incoming: DataFrame, key: str = "event_id", order: str = "ingest_time", day: Column | None = None
+) -> DataFrame:
+    """(_key, _held, _day): key, order and calendar day of the target's rows whose key is incoming.
+
+    This is all an upsert needs to know of the target before it rewrites anything: one read of the
+    few columns, cut to the incoming keys. While those are under the broadcast threshold the target
+    is not shuffled. ``day`` may name a stored date column, which then replaces the event time.
+    """
+    keys = incoming.select(F.col(key).alias("_in_key"))
+    day = calendar_day("event_time_utc") if day is None else day
+    held = target.select(F.col(key).alias("_key"), F.col(order).alias("_held"), day.alias("_day"))
+    return held.join(keys, F.col("_key").eqNullSafe(F.col("_in_key")), "left_semi")
+
+
+def beating(incoming: DataFrame, held: DataFrame, key: str = "event_id", order: str = "ingest_time") -> DataFrame:
+    """The incoming rows (one per key) that are new, or strictly newer than the held row of their key."""
+    beaten = F.col(key).eqNullSafe(F.col("_key")) & ~_newer(F.col(order), F.col("_held"))
+    return incoming.join(held, beaten, "left_anti")
+
+
+def days_of_change(held: DataFrame, winners: DataFrame, key: str = "event_id") -> DataFrame:
+    """Distinct ``event_date`` that replacing rows touches: the winners' days and, since a correction
+    may move an event to another day, the days of the held rows they replace."""
+    keys = winners.select(F.col(key).alias("_won"))
+    old = held.join(keys, F.col("_key").eqNullSafe(F.col("_won")), "left_semi")
+    new = winners.select(calendar_day("event_time_utc"))
+    return old.select(F.col("_day").alias("event_date")).union(new).distinct()
+
+
 def winning_rows(
     target: DataFrame,
     source: DataFrame,
@@ -25,18 +55,9 @@ def winning_rows(
     order: str = "ingest_time",
     tie_breakers: Sequence[str] = TIES,
 ) -> DataFrame:
-    """The rows of ``source`` that change ``target`` (unique on ``key``): newest per key, and either
-    new to the target or strictly newer than its row.
-
-    The target is read for two columns and cut to the source's keys before it meets the source
-    again. While the source is under the broadcast threshold the target is not shuffled.
-    """
+    """The rows of ``source`` that change ``target`` (unique on ``key``), at most one per key."""
     incoming = dedup_latest(source, key, order, tie_breakers)
-    keys = incoming.select(F.col(key).alias("_in_key"))
-    held = target.select(F.col(key).alias("_key"), F.col(order).alias("_held"))
-    met = held.join(keys, F.col("_key").eqNullSafe(F.col("_in_key")), "left_semi")
-    beaten = F.col(key).eqNullSafe(F.col("_key")) & ~_newer(F.col(order), F.col("_held"))
-    return incoming.join(met, beaten, "left_anti")
+    return beating(incoming, held_rows(target, incoming, key, order), key, order)
 
 
 def replace_rows(target: DataFrame, winners: DataFrame, key: str = "event_id") -> DataFrame:
@@ -46,17 +67,6 @@ def replace_rows(target: DataFrame, winners: DataFrame, key: str = "event_id") -
     return kept.unionByName(winners, allowMissingColumns=True)
 
 
-def days_of_change(
-    target: DataFrame, winners: DataFrame, key: str = "event_id", instant: str = "event_time_utc"
-) -> DataFrame:
-    """Distinct ``event_date`` that replacing rows touches: the winners' days and, since a correction
-    may move an event to another day, the days of the rows they replace."""
-    keys = winners.select(F.col(key).alias("_won"))
-    old = target.join(keys, F.col(key).eqNullSafe(F.col("_won")), "left_semi")
-    day = calendar_day(instant).alias("event_date")
-    return old.select(day).union(winners.select(day)).distinct()
-
-
 def upsert_latest(
     target: DataFrame,
     source: DataFrame,
@@ -80,7 +90,9 @@ def touched_days(
     tie_breakers: Sequence[str] = TIES,
 ) -> DataFrame:
     """Distinct ``event_date`` whose daily rows the upsert of ``source`` changes."""
-    return days_of_change(target, winning_rows(target, source, key, order, tie_breakers), key)
+    incoming = dedup_latest(source, key, order, tie_breakers)
+    held = held_rows(target, incoming, key, order)
+    return days_of_change(held, beating(incoming, held, key, order), key)
 
 
 def merge_statement(

@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from ..operators import checks as C
 from ..operators import (
     active_days,
+    beating,
     daily_spend,
     days_of_change,
+    dedup_latest,
     detect_version,
     dq_report,
     duplicate_keys,
     exact_dedup,
     first_days,
+    held_rows,
     join_dimension,
     keep_payload,
     longest_streak,
@@ -36,7 +39,6 @@ from ..operators import (
     union_versions,
     unknown_names,
     upsert_latest,
-    winning_rows,
     with_offset,
 )
 from ..sources.interim import settle
@@ -318,11 +320,12 @@ def touched_days_query(x: Layers) -> DataFrame:
 @query
 def gold_incremental(x: Layers) -> DataFrame:
     old = x.before_corrections
-    won = settle(winning_rows(old, x.corrections))
-    days = settle(days_of_change(old, won))
+    incoming = settle(dedup_latest(x.corrections, tie_breakers=x.config.tie_breakers))
+    held = settle(held_rows(old, incoming))
+    won = beating(incoming, held)
     gold = daily_spend(to_usd(old), x.dim)
     corrected = to_usd(replace_rows(old, won))
-    return gold_columns(refresh_days(gold, corrected, x.dim, days))
+    return gold_columns(refresh_days(gold, corrected, x.dim, days_of_change(held, won)))
 
 
 # -- data quality -----------------------------------------------------------------------------

@@ -18,16 +18,18 @@ from pyspark.sql import types as T
 from ..config import ADVERTISER_DIM, CLEAN_EVENTS, DAILY_SPEND, QUARANTINE_EVENTS, RAW_EVENTS, MillConfig, assert_utc
 from ..operators import (
     Rule,
+    beating,
     daily_spend,
     days_of_change,
+    dedup_latest,
     dq_report,
     enforce,
+    held_rows,
     join_dimension,
     replace_rows,
     split,
     stamp_ingest,
     to_usd,
-    winning_rows,
 )
 from ..operators.rollup import GOLD_COLUMNS
 from ..sources.tables import LayerTables
@@ -70,7 +72,7 @@ class IncrementalLoad:
             enforce(dq_report(good, self.rules, self.now))
         days = self._upsert(good, tag)
         self._refresh(days)
-        for part in ("rows", "days", "winners"):
+        for part in ("rows", "days", "held", "incoming"):
             self.tables.drop_staged(self.silver, f"{tag}_{part}")
         return days
 
@@ -120,13 +122,15 @@ class IncrementalLoad:
         staged = tables.find_staged(self.silver, f"{tag}_rows")
         if staged is None:
             current = tables.read(self.silver)
-            won = winning_rows(current, good, c.key, c.order, c.tie_breakers)
-            winners = tables.read(tables.stage(won, self.silver, f"{tag}_winners"))
-            changed = days_of_change(current, winners, c.key)
-            tables.stage(changed, self.silver, f"{tag}_days")
-            days = self._days(tag)
+            newest = dedup_latest(good, c.key, c.order, c.tie_breakers)
+            incoming = tables.read(tables.stage(newest, self.silver, f"{tag}_incoming"))
+            held = held_rows(current, incoming, c.key, c.order, F.col("event_date"))
+            held = tables.read(tables.stage(held, self.silver, f"{tag}_held"))
+            winners = beating(incoming, held, c.key, c.order)
+            tables.drop_staged(self.silver, f"{tag}_days")
+            tables.stage(days_of_change(held, winners, c.key), self.silver, f"{tag}_days")
             # The listed days become partition filters: the rest of the table is not opened.
-            affected = current.where(F.col("event_date").isin(days))
+            affected = current.where(F.col("event_date").isin(self._days(tag)))
             staged = tables.stage(
                 by_day(replace_rows(affected, winners, c.key)), self.silver, f"{tag}_rows", ["event_date"]
             )

@@ -112,3 +112,4 @@ def test_merge_statement_parses_and_reduces_the_source(spark):
     got = spark.sql(using).select("event_id", "cost_raw").collect()
     assert sorted((r.event_id, r.cost_raw) for r in got) == [("a", 2.0), ("b", 5.0)]
     assert content(spark.sql(using)) == content(dedup_latest(frame(spark, rows), tie_breakers=TIES))
+    spark.catalog.dropTempView("corrections")
