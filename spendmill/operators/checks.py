@@ -121,8 +121,11 @@ def spend_measures(events_usd: DataFrame) -> DataFrame:
 
 
 def gold_measures(gold: DataFrame) -> DataFrame:
+    unmapped, who = F.col("is_unmapped_advertiser"), F.col("advertiser_id")
+    nameless = F.coalesce(F.max((unmapped & who.isNull()).cast("int")), F.lit(0))
     return measure(
         gold,
+        gold_unmapped_advertisers=F.count_distinct(F.when(unmapped, who)) + nameless,
         gold_spend=F.coalesce(F.sum("total_spend_usd"), F.lit(0.0)),
         gold_events=F.coalesce(F.sum("event_count"), F.lit(0)),
         gold_unmapped_rows=F.count_if("is_unmapped_advertiser"),
@@ -130,11 +133,6 @@ def gold_measures(gold: DataFrame) -> DataFrame:
     )
 
 
-def unmapped_measures(gold: DataFrame) -> DataFrame:
-    flagged = gold.where("is_unmapped_advertiser").select("advertiser_id").distinct()
-    return rows_of("gold_unmapped_advertisers", flagged)
-
-
 def dimension_measures(dim: DataFrame, silver: DataFrame, key: str = "advertiser_id") -> list[DataFrame]:
     return [
         rows_of("dim_duplicate_keys", duplicate_keys(dim, key)),
@@ -160,7 +158,6 @@ def reconcile(
         good_measures(good),
         silver_measures(silver_usd),
         gold_measures(gold),
-        unmapped_measures(gold),
         *dimension_measures(dim, silver_usd),
     ]
     return compare(measures, CHECKS)

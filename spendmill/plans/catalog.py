@@ -401,7 +401,7 @@ def check_event_conservation(x: Layers) -> DataFrame:
 
 @query
 def check_unmapped_equals_orphans(x: Layers) -> DataFrame:
-    parts = [C.unmapped_measures(x.gold), C.rows_of("orphan_advertisers", orphans(x.spend_events, x.dim))]
+    parts = [C.gold_measures(x.gold), C.rows_of("orphan_advertisers", orphans(x.spend_events, x.dim))]
     return _check(parts, "unmapped_equals_orphans")
 
 
@@ -410,6 +410,5 @@ def reconciliation_report(x: Layers) -> DataFrame:
     read_by_checks = (x.config.key, x.config.order, *x.config.tie_breakers, "event_time", "quarantine_reason")
     good, rejected = split(settle(x.labelled.select(*read_by_checks)))
     silver = settle(to_usd(build_silver(good, x.config)))
-    gold = settle(daily_spend(silver, x.dim))
-    report = C.reconcile(x.feeds, x.bronze, rejected, good, silver, gold, x.dim)
+    report = C.reconcile(x.feeds, x.bronze, rejected, good, silver, daily_spend(silver, x.dim), x.dim)
     return report.select("check_name", rounded("expected", 2), rounded("actual", 2), "passed")

@@ -8,6 +8,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
+from spendmill.plans import catalog, layers
+
 from .compare import canonical, connect, oracle_rows
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
@@ -32,6 +34,15 @@ def test_query_matches_sql(spark, con, name):
     assert canonical(got, frame.columns) == canonical(want, columns)
 
 
+@pytest.mark.parametrize("name", ["gold_incremental", "reconciliation_report", "silver_upsert"])
+def test_without_a_shared_folder_the_plan_stays_lazy(spark, con, monkeypatch, name):
+    for module in (catalog, layers):
+        monkeypatch.setattr(module, "settle", lambda df: df)
+    frame = queries()[name](spark, SF_DIR)
+    columns, want = oracle_rows(con, oracle_sql()[name])
+    assert canonical(frame.collect(), frame.columns) == canonical(want, columns)
+
+
 def test_entry(spark):
     frame = entry(spark)
     assert frame.count() == 392

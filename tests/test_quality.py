@@ -86,7 +86,7 @@ def test_gate_lists_every_failure(spark):
 
 def test_checks_notice_lost_rows_and_spend(spark):
     rows = spark.range(10).select(F.col("id").alias("event_id"), F.lit(1.0).alias("cost_usd"))
-    gold = spark.createDataFrame([(9.5, 9, False, dt.date(2024, 1, 1))], "total_spend_usd double, event_count bigint, is_unmapped_advertiser boolean, event_date date")
+    gold = spark.createDataFrame([(9.5, 9, False, dt.date(2024, 1, 1))], "total_spend_usd double, event_count bigint, is_unmapped_advertiser boolean, event_date date").withColumn("advertiser_id", F.lit("a"))
     report = C.compare([C.spend_measures(rows), C.gold_measures(gold)], C.pick("spend_conservation", "event_conservation"))
     got = {r.check_name: (r.expected, r.actual, r.passed) for r in report.collect()}
     assert got == {"spend_conservation": (10.0, 9.5, False), "event_conservation": (10.0, 9.0, False)}
@@ -109,3 +109,12 @@ def test_missing_measure_does_not_pass(spark):
 def test_surplus_of_no_rows_is_zero(spark):
     empty = spark.createDataFrame([], "event_id string")
     assert {r.measure: r.value for r in C.good_measures(empty).collect()} == {"good_rows": 0.0, "surplus_rows": 0.0}
+
+
+def test_unmapped_advertisers_count_null_like_the_anti_join(spark):
+    rows = [("x", True), ("x", True), (None, True), ("k", False)]
+    gold = spark.createDataFrame(rows, "advertiser_id string, is_unmapped_advertiser boolean").selectExpr(
+        "*", "1.0D AS total_spend_usd", "1L AS event_count", "DATE '2024-01-01' AS event_date"
+    )
+    got = {r.measure: r.value for r in C.gold_measures(gold).collect()}
+    assert got["gold_unmapped_advertisers"] == 2.0 and got["gold_unmapped_rows"] == 3.0
