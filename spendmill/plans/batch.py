@@ -5,13 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import ADVERTISER_DIM, CLEAN_EVENTS, DAILY_SPEND, QUARANTINE_EVENTS, RAW_EVENTS, MillConfig, assert_utc
+from ..config import assert_utc
 from ..functions import calendar_day
 from ..operators import Rule, daily_spend, dq_report, enforce, reconcile, split, stamp_ingest, to_usd
-from ..sources.tables import LayerTables
+from ..sources.tables import StoredLayers
 from .layers import build_bronze, build_labelled, build_silver
 
 FULL_LOAD = "full"
@@ -27,19 +27,7 @@ def by_day(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", F.col("event_date"))
 
 
-class FullLoad:
-    def __init__(self, spark: SparkSession, config: MillConfig | None = None):
-        self.spark = spark
-        self.config = config or MillConfig()
-        self.tables = LayerTables(spark, self.config)
-        c = self.config
-        self.bronze = c.table("bronze", RAW_EVENTS)
-        self.dim = c.table("bronze", ADVERTISER_DIM)
-        self.silver = c.table("silver", CLEAN_EVENTS)
-        self.quarantine = c.table("silver", QUARANTINE_EVENTS)
-        self.gold = c.table("gold", DAILY_SPEND)
-        self.report = c.table("gold", "load_report")
-
+class FullLoad(StoredLayers):
     def run(
         self, v1: DataFrame, v2: DataFrame, dim: DataFrame, rules: Sequence[Rule | Mapping] = (), now=None
     ) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import ADVERTISER_DIM, CLEAN_EVENTS, DAILY_SPEND, QUARANTINE_EVENTS, RAW_EVENTS, MillConfig, assert_utc
+from ..config import MillConfig, assert_utc
 from ..operators import (
     Rule,
     beating,
@@ -32,12 +32,12 @@ from ..operators import (
     to_usd,
 )
 from ..operators.rollup import GOLD_COLUMNS
-from ..sources.tables import LayerTables
+from ..sources.tables import StoredLayers
 from .batch import by_day, dated
 from .layers import build_labelled
 
 
-class IncrementalLoad:
+class IncrementalLoad(StoredLayers):
     """``rules`` are checked on the clean rows of every batch, before any clean or daily row changes."""
 
     def __init__(
@@ -47,16 +47,8 @@ class IncrementalLoad:
         rules: Sequence[Rule | Mapping] = (),
         now: Column | datetime | str | None = None,
     ):
-        self.spark = spark
+        super().__init__(spark, config)
         self.rules, self.now = rules, now
-        self.config = config or MillConfig()
-        self.tables = LayerTables(spark, self.config)
-        c = self.config
-        self.bronze = c.table("bronze", RAW_EVENTS)
-        self.dim = c.table("bronze", ADVERTISER_DIM)
-        self.silver = c.table("silver", CLEAN_EVENTS)
-        self.quarantine = c.table("silver", QUARANTINE_EVENTS)
-        self.gold = c.table("gold", DAILY_SPEND)
 
     def apply(self, rows: DataFrame, label: str) -> list[date]:
         """Take in ``rows`` (tagged with their provenance) as batch ``label``; returns the days refreshed.

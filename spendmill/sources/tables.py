@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import MillConfig
+from ..config import ADVERTISER_DIM, CLEAN_EVENTS, DAILY_SPEND, QUARANTINE_EVENTS, RAW_EVENTS, MillConfig
 
 
 class LayerTables:
@@ -111,3 +111,18 @@ class LayerTables:
             self.replace_partitions(new, table)
             self.drop_days(table, days, day)
         self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
+
+
+class StoredLayers:
+    """The names of the stored layers under one configuration."""
+
+    def __init__(self, spark: SparkSession, config: MillConfig | None = None):
+        self.spark = spark
+        self.tables = LayerTables(spark, config)
+        self.config = c = self.tables.config
+        self.bronze = c.table("bronze", RAW_EVENTS)
+        self.dim = c.table("bronze", ADVERTISER_DIM)
+        self.silver = c.table("silver", CLEAN_EVENTS)
+        self.quarantine = c.table("silver", QUARANTINE_EVENTS)
+        self.gold = c.table("gold", DAILY_SPEND)
+        self.report = c.table("gold", "load_report")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from spendmill import DataQualityError, MillConfig, tag_provenance
 from spendmill.plans import FullLoad, IncrementalLoad
 from spendmill.plans.layers import Layers
+from spendmill.sources import vendor_feeds
 from spendmill.streaming import VendorFolder, start_incremental
 
 SF = "/root/testdata/sf0.001"
@@ -132,6 +133,20 @@ def test_new_dimension_renames_only_the_days_it_changes(spark, load):
     assert got == {"a": ("Ann", False, 5.0), "b": ("UNKNOWN", False, 5.0)}
 
 
+def test_batches_on_top_of_a_full_load_equal_one_full_load(spark, full):
+    """First delivery in full, then everything re-sent in two batches, newest batch first."""
+    config = MillConfig(bronze="ob", silver="os", gold="og")
+    first = vendor_feeds(spark, SF, resends=False)
+    FullLoad(spark, config).run(*first, full.dim)
+    load = IncrementalLoad(spark, config)
+    late = full.bronze.where("ingest_time >= '2024-01-15'")
+    early = full.bronze.where("ingest_time < '2024-01-15'")
+    load.apply(late, "late")
+    load.apply(early, "early")
+    assert gold_rows(spark, load.gold) == gold_rows(spark, "rg.daily_advertiser_spend")
+    assert silver_rows(spark, load.silver) == silver_rows(spark, "rs.events")
+
+
 def test_stream_equals_batch_and_restart_adds_nothing(spark, full, tmp_path):
     x = full
     config = MillConfig(bronze="stb", silver="sts", gold="stg")
