@@ -6,8 +6,9 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from spendmill import DataQualityError, MillConfig, tag_provenance
+from spendmill import EVENTS_V1, EVENTS_V2, DataQualityError, MillConfig, tag_provenance
 from spendmill.plans import FullLoad, IncrementalLoad
+from spendmill.plans.batch import by_day
 from spendmill.plans.layers import Layers
 from spendmill.sources import vendor_feeds
 from spendmill.streaming import VendorFolder, start_incremental
@@ -194,3 +195,42 @@ def test_stream_can_run_on_a_cadence(spark, full, tmp_path):
         query.stop()
     assert spark.table("cas.events").count() > 0
     assert spark.table("cag.daily_advertiser_spend").where("NOT is_unmapped_advertiser").count() == 0
+
+
+def test_csv_folders_of_both_versions(spark, tmp_path):
+    head = "event_id,event_time,ingest_time,advertiser_id,currency"
+    for version, extra, line in (
+        ("v1", "spend", "e1,2024-01-01T23:00:00Z,2024-01-02T00:00:00Z,adv_1,USD,5.0"),
+        ("v2", "media_cost,viewability", "e2,2024-01-02T03:00:00+05:30,2024-01-02T00:00:00Z,adv_1,INR,83.0,0.5"),
+    ):
+        (tmp_path / version).mkdir()
+        (tmp_path / version / "day_1.csv").write_text(f"{head},{extra}\n{line}\n")
+    folders = [VendorFolder(str(tmp_path / "v1"), EVENTS_V1, "v1"), VendorFolder(str(tmp_path / "v2"), EVENTS_V2, "v2")]
+    config = MillConfig(bronze="cvb", silver="cvs", gold="cvg")
+    query = start_incremental(spark, folders, config, f"ingest_{uuid.uuid4().hex}", str(tmp_path / "cp"))
+    query.awaitTermination(300)
+    assert query.exception() is None
+    rows = {r.event_id: r for r in spark.table("cvs.events").collect()}
+    assert {k: (r.schema_version, str(r.event_date), r.cost_raw) for k, r in rows.items()} == {
+        "e1": ("v1", "2024-01-01", 5.0),
+        "e2": ("v2", "2024-01-01", 83.0),
+    }
+    assert rows["e2"].source_file.endswith("v2/day_1.csv")
+    (day,) = spark.table("cvg.daily_advertiser_spend").collect()
+    assert (day.total_spend_usd, day.event_count, day.is_unmapped_advertiser) == (pytest.approx(6.0), 2, True)
+
+
+def test_heavy_day_is_written_by_several_tasks(spark, tmp_path):
+    days = F.when(F.col("id") % 10 > 0, F.lit("2024-01-01")).otherwise(F.concat(F.lit("2024-01-1"), F.col("id") % 7))
+    rows = spark.range(0, 400_000, numPartitions=8).select(F.xxhash64("id").alias("v"), days.cast("date").alias("event_date"))
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "256KB")
+    try:
+        by_day(rows).write.partitionBy("event_date").parquet(str(tmp_path / "t"))
+    finally:
+        spark.conf.unset(setting)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "t").glob("event_date=*")}
+    assert files.pop("event_date=2024-01-01") > 4
+    # A light day that hashes to the heavy day's partition is split along with it; the others are not.
+    assert sum(n == 1 for n in files.values()) >= 5
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 400_000
