@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
+from .storage import new_folder, stored
+from .warc import captures, read_records, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,3 +40,27 @@ WITH d AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(bare) AS text_sha256 FROM g
 """
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return captures(stored(read_records(spark, path, payload=False), "records"))
+
+
+ORACLE["op4_warc"] = r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), d AS (
+  SELECT page_id, payload_bytes, min(page_id) OVER (PARTITION BY hex) AS original,
+         list_aggregate(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS INTEGER), 5))::INTEGER >> CAST(15 - i % 4 * 5 AS INTEGER)) & 31) + 1, 1)),
+           'string_agg', '') AS payload_digest
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM d
+"""
