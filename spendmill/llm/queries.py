@@ -54,7 +54,7 @@ WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
 ), d AS (
   SELECT page_id, payload_bytes, min(page_id) OVER (PARTITION BY hex) AS original,
-         list_aggregate(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            ((('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS INTEGER), 5))::INTEGER >> CAST(15 - i % 4 * 5 AS INTEGER)) & 31) + 1, 1)),
            'string_agg', '') AS payload_digest
   FROM p
