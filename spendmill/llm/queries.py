@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .exact_dedup import exact_dedup
 from .exact_dedup import exact_dedup
 from .storage import new_folder, stored
+from .token_counts import token_counts
 from .warc import captures, read_records, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """A public tokenizer's file; it is read where it is installed, never copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
@@ -64,3 +73,8 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id <> original THEN original END AS refers_to
 FROM d
 """
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), limit=2048)

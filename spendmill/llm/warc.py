@@ -196,46 +196,63 @@ def read_records(spark: SparkSession, path: str, *, payload: bool = True) -> Dat
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: its head record (response, revisit or resource), requests and metadata records.
 
-    A record belongs to the head that its ``concurrent_to`` names, that names it, or that is one such step away.
-    Records tied to no head are left out; a head without request or metadata has empty arrays.
+    A record belongs to the head that its ``concurrent_to`` names, that names it, or that the record it names
+    belongs to. Records tied to no head are left out; a head without request or metadata has empty arrays. Joins
+    go by the ids' MD5, which is a third of their length.
     """
-    head = F.col("warc_type").isin(*HEADS)
-    one = records.select("record_id", F.explode("concurrent_to").alias("to"), head.alias("is_head"))
-    links = one.where("not is_head").select("record_id", "to").union(one.where("is_head").select(F.col("to").alias("record_id"), F.col("record_id").alias("to")))
-    onward = links.select(F.col("record_id").alias("to"), F.col("to").alias("further"))
-    owners = links.join(onward, "to", "left").select("record_id", F.explode(F.array_compact(F.array("to", "further"))).alias("capture_id")).distinct()
-    part = F.struct("record_id", "target_uri", "headers", "fields")
-
-    def tied(kind: str) -> DataFrame:
-        rows = records.where(F.col("warc_type") == kind).join(owners, "record_id")
-        return rows.groupBy("capture_id").agg(F.collect_list(part).alias(kind))
-
-    heads = records.where(head).withColumnRenamed("record_id", "capture_id")
-    full = heads.join(tied("request"), "capture_id", "left").join(tied("metadata"), "capture_id", "left")
-    names = [c for c in records.columns if c not in ("record_id", "concurrent_to")]
+    is_head = F.col("warc_type").isin(*HEADS)
+    names = [c for c in records.columns if c != "concurrent_to"]
+    heads = records.where(is_head).select(_key("record_id").alias("capture"), "concurrent_to", F.struct(*names).alias("head"))
+    tails = records.where(~is_head).select(_key("record_id").alias("id"), F.explode_outer("concurrent_to").alias("to"), F.struct(*names).alias("part"))
+    tails = tails.withColumn("capture", _key("to")).drop("to")
+    known = heads.select("capture")
+    direct = tails.join(known, "capture", "left_semi")
+    loose = tails.join(known, "capture", "left_anti")
+    via = direct.select(F.col("id").alias("capture"), F.col("capture").alias("owner"))
+    named = heads.select(F.explode("concurrent_to").alias("to"), F.col("capture").alias("owner")).select(_key("to").alias("id"), "owner")
+    further = loose.join(via, "capture").select("id", "owner", "part").union(loose.join(named, "id").select("id", "owner", "part"))
+    further = further.dropDuplicates(["id", "owner"]).select("id", F.col("owner").alias("capture"), "part")
+    tied = direct.select("id", "capture", "part").union(further)
+
+    def by_id(kind: str) -> Column:
+        """A capture's records of one kind, ordered by record id (maps themselves cannot be compared)."""
+        own = F.collect_list(F.when(F.col("part.warc_type") == kind, F.col("part")))
+        return F.array_sort(own, lambda x, y: F.when(x["record_id"] < y["record_id"], -1).when(x["record_id"] > y["record_id"], 1).otherwise(0))
+
+    parts = tied.groupBy("capture").agg(by_id("request").alias("requests"), by_id("metadata").alias("metadata"))
+    return heads.join(parts, "capture", "left").select(
+        F.col("head.record_id").alias("capture_id"),
+        "head",
+        F.coalesce("requests", F.array()).alias("requests"),
+        F.coalesce("metadata", F.array()).alias("metadata"),
+    )
 
-    def by_id(name: str) -> Column:
-        """Ordered by record id; maps themselves cannot be compared."""
-        smaller = F.array_sort(name, lambda x, y: F.when(x["record_id"] < y["record_id"], -1).when(x["record_id"] > y["record_id"], 1).otherwise(0))
-        return F.coalesce(smaller, F.array())
 
-    return full.select("capture_id", F.struct(*names).alias("head"), by_id("request").alias("requests"), by_id("metadata").alias("metadata"))
+def _key(record_id: str) -> Column:
+    return F.unhex(F.md5(record_id))
 
 
 def captures(records: DataFrame) -> DataFrame:
     """Assembled captures as page_id, payload_bytes, payload_digest, record_type, refers_to (the response's page_id)."""
-    flat = assemble(records).select(
-        "capture_id",
-        F.col("metadata")[0]["fields"]["page-id"].cast("long").alias("page_id"),
-        F.col("head.payload_bytes").alias("payload_bytes"),
-        F.col("head.payload_digest").alias("payload_digest"),
-        F.col("head.warc_type").alias("record_type"),
-        F.col("head.refers_to").alias("refers"),
+    page_id = F.col("fields")["page-id"].cast("long").alias("page_id")
+    narrow = records.select("record_id", "warc_type", "concurrent_to", "refers_to", page_id, "payload_bytes", "payload_digest")
+    rows = stored(
+        assemble(narrow).select(
+            _key("capture_id").alias("capture"),
+            F.col("metadata")[0]["page_id"].alias("page_id"),
+            "head.payload_bytes",
+            "head.payload_digest",
+            F.col("head.warc_type").alias("record_type"),
+            _key("head.refers_to").alias("refers"),
+        ),
+        "captures",
     )
-    flat = stored(flat, "captures")
-    answers = flat.where("record_type = 'response'").select(
-        F.col("capture_id").alias("refers"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes")
+    answers = rows.where("record_type = 'response'").select(
+        F.col("capture").alias("refers"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes")
     )
-    return flat.join(answers, "refers", "left").select(
+    # Only revisits look up a response.
+    revisits = rows.where("refers is not null").join(answers, "refers", "left")
+    others = rows.where("refers is null").withColumns({"refers_to": F.lit(None).cast("long"), "full_bytes": F.lit(None).cast("long")})
+    return revisits.unionByName(others).select(
         "page_id", F.coalesce("payload_bytes", "full_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"
     )
