@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
 from .exact_dedup import exact_dedup
+from .pieces import piece_digests
 from .storage import new_folder, stored
 from .token_counts import token_counts
 from .warc import captures, read_records, write_archives
@@ -78,3 +79,8 @@ FROM d
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), limit=2048)
+
+
+@query
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
