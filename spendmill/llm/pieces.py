@@ -19,9 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from .words import text_groups
+
 SPACE = "▁"
 CACHED_WORDS = 300_000
-GROUP_CHARS = 1 << 19
 _WORD = re.compile(f"[ {SPACE}]*[^ {SPACE}]+|[ {SPACE}]+")
 _NONE = np.iinfo(np.int64).max
 
@@ -206,18 +207,6 @@ def _encoder(definition: tuple) -> Encoder:
     return Encoder(PieceModel(*map(list, definition)))
 
 
-def text_groups(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``GROUP_CHARS`` characters; a longer text is a range of its own."""
-    lo, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > lo and size + len(text) > GROUP_CHARS:
-            yield lo, i
-            lo, size = i, 0
-        size += len(text)
-    if texts:
-        yield lo, len(texts)
-
-
 def _mapped(docs: DataFrame, model_path: str, columns: list[tuple[str, pa.DataType]], row: Callable) -> DataFrame:
     """doc_id and what ``row(model, ids)`` gives for each text, with the model's tables sent to the tasks once."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(map(tuple, read_model(model_path))))

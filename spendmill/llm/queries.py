@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
 from .exact_dedup import exact_dedup
+from .language_id import identify_languages
 from .pieces import piece_digests
 from .storage import new_folder, stored
 from .token_counts import token_counts
@@ -84,3 +85,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))

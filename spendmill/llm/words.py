@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+GROUP_CHARS = 1 << 19
 _STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
 _WINDOW = np.uint64(0xD1342543DE82EF95)
@@ -154,3 +155,15 @@ def whole_windows(words: Words, k: int) -> np.ndarray:
     """Word indexes at which a window of ``k`` words of one row starts."""
     n = max(0, len(words.hashes) - k + 1)
     return np.flatnonzero(words.row[:n] == words.row[k - 1 : k - 1 + n]) if n else np.empty(0, dtype=np.int64)
+
+
+def text_groups(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``GROUP_CHARS`` characters; a longer text is a range of its own."""
+    lo, size = 0, 0
+    for i, text in enumerate(texts):
+        if i > lo and size + len(text) > GROUP_CHARS:
+            yield lo, i
+            lo, size = i, 0
+        size += len(text)
+    if texts:
+        yield lo, len(texts)
