@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import contamination
 from .exact_dedup import exact_dedup
+from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .language_id import identify_languages
 from .pieces import piece_digests
@@ -90,3 +92,37 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hits")
+
+
+ORACLE["op6_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, w[i:i + least(10, len(w)) - 1] AS phrase
+  FROM b, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS t(i) WHERE len(w) > 0
+), dw AS (
+  SELECT doc_id, i, n, w[i:i + n - 1] AS phrase
+  FROM d, (SELECT DISTINCT n FROM bw), unnest(generate_series(1, len(w) - n + 1)) AS t(i)
+), hit AS (
+  SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw ON dw.phrase = bw.phrase
+), cover AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM hit, unnest(generate_series(i, i + n - 1)) AS t(p) GROUP BY doc_id
+), item AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN item USING (doc_id)
+"""
