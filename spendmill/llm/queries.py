@@ -12,6 +12,7 @@ from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .language_id import identify_languages
 from .pieces import piece_digests
+from .sharding import shard_documents
 from .storage import new_folder, stored
 from .token_counts import token_counts
 from .warc import captures, read_records, write_archives
@@ -126,3 +127,8 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN item USING (doc_id)
 """
+
+
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
