@@ -5,7 +5,7 @@ widened until it holds a position where a word starts after ASCII white space. T
 such a position (white space ends every pre-token, takes no part in composition and is in no special token), so
 a token that starts there in both encodings is a boundary of the whole text's encoding too: left of it the
 earlier piece counts, right of it the later one. A text without such a position stays one piece, and a text whose
-pieces all the same fail to align is put together again and encoded whole.
+pieces all the same fail to align is put together again. Shorter texts are cut at every such position.
 """
 
 from __future__ import annotations
@@ -20,11 +20,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .storage import stored
+from .words import text_groups
 
 PIECE_CHARS = 32_768
 OVERLAP_CHARS = 256
-GROUP_BYTES = 1 << 18
+KNOWN_PARTS = 300_000
 _START = re.compile(r"(?<=[ \t\n\r\x0b\x0c])[\w!-~]")
+_BREAK = re.compile(r"[ \t\n\r\x0b\x0c]+(?=[\w!-~])")
 _PIECES = "uid long, doc_id long, n_bytes long, number int, begins long, shared long, next long, piece string"
 _COUNTS = "uid long, doc_id long, n_bytes long, number int, total long, head array<long>, head_tokens array<long>, tail array<long>, tail_tokens array<long>"
 
@@ -61,19 +63,36 @@ def cut(text: str, piece_chars: int, overlap: int) -> Iterator[tuple[int, int, i
         begins, shared = following, end
 
 
+class _Counter:
+    """Tokens of texts cut at every certain boundary; each distinct part is encoded once while it is remembered."""
+
+    def __init__(self, definition: str) -> None:
+        self.encode = _tokenizer(definition).encode_batch_fast
+        self.known: dict[str, int] = {}
+
+    def count(self, texts: list[str]) -> list[int]:
+        parts = [_BREAK.split(t) for t in texts]
+        new = {w for words in parts for w in words if w not in self.known}
+        if len(self.known) + len(new) > KNOWN_PARTS:
+            self.known.clear()
+            new = {w for words in parts for w in words}
+        listed = list(new)
+        for lo in range(0, len(listed), 20_000):
+            some = listed[lo : lo + 20_000]
+            self.known.update(zip(some, map(len, self.encode(some, add_special_tokens=False)), strict=True))
+        return [sum(map(self.known.__getitem__, words)) for words in parts]
+
+
+@lru_cache(maxsize=2)
+def _counter(definition: str) -> _Counter:
+    return _Counter(definition)
+
+
 def _count(definition, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    encode = _tokenizer(definition.value).encode_batch_fast
+    counter = _counter(definition.value)
     for batch in batches:
         texts = [x or "" for x in batch["text"].to_pylist()]
-        counts: list[int] = []
-        held, size = [], 0
-        for text in [*texts, None]:
-            if held and (text is None or size + len(text) > GROUP_BYTES):
-                counts += [len(x) for x in encode(held, add_special_tokens=False)]
-                held, size = [], 0
-            if text is not None:
-                held.append(text)
-                size += len(text)
+        counts = [n for lo, hi in text_groups(texts) for n in counter.count(texts[lo:hi])]
         columns = [batch["doc_id"], batch["n_bytes"], pa.array(counts, pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens"])
 
