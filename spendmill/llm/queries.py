@@ -14,6 +14,7 @@ from .language_id import identify_languages
 from .pieces import piece_digests
 from .sharding import shard_documents
 from .storage import new_folder, stored
+from .substring_dedup import remove_repeats
 from .token_counts import token_counts
 from .warc import captures, read_records, write_archives
 
@@ -132,3 +133,28 @@ FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN item USING (doc_id)
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
+ORACLE["op8_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS words FROM d, unnest(generate_series(1, len(w) - 12)) AS t(i)
+), seen AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY words) AS first_doc FROM win
+), gone AS (
+  SELECT DISTINCT doc_id, p FROM seen, unnest(generate_series(i, i + 12)) AS t(p) WHERE first_doc < doc_id
+), kept AS (
+  SELECT doc_id, p, w[p] AS word FROM d, unnest(generate_series(1, len(w))) AS t(p)
+  WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = d.doc_id AND gone.p = t.p)
+), agg AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS words FROM kept GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN agg USING (doc_id)
+"""
