@@ -11,6 +11,7 @@ from .exact_dedup import exact_dedup
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .language_id import identify_languages
+from .ngram_join import near_duplicates
 from .pieces import piece_digests
 from .sharding import shard_documents
 from .storage import new_folder, stored
@@ -158,3 +159,32 @@ WITH d AS (
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
 FROM d LEFT JOIN agg USING (doc_id)
 """
+
+
+@query
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op9_ngram_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM d, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS t(i) WHERE len(w) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN n AS na ON na.doc_id = a JOIN n AS nb ON nb.doc_id = b WHERE c / (na.n + nb.n - c) >= 0.8
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT d.doc_id, min(b) AS class_id, (SELECT count(*) FROM links WHERE links.a = d.doc_id) AS n_links,
+       coalesce(any_value(n.n), 0) AS n_shingles
+FROM d JOIN reach ON reach.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""
