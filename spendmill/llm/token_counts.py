@@ -24,7 +24,8 @@ from .words import text_groups
 
 PIECE_CHARS = 32_768
 OVERLAP_CHARS = 256
-KNOWN_PARTS = 300_000
+KNOWN_PARTS = 1_000_000
+REMEMBERED_CHARS = 64
 _START = re.compile(r"(?<=[ \t\n\r\x0b\x0c])[\w!-~]")
 _BREAK = re.compile(r"[ \t\n\r\x0b\x0c]+(?=[\w!-~])")
 _PIECES = "uid long, doc_id long, n_bytes long, number int, begins long, shared long, next long, piece string"
@@ -80,7 +81,11 @@ class _Counter:
         for lo in range(0, len(listed), 20_000):
             some = listed[lo : lo + 20_000]
             self.known.update(zip(some, map(len, self.encode(some, add_special_tokens=False)), strict=True))
-        return [sum(map(self.known.__getitem__, words)) for words in parts]
+        counts = [sum(map(self.known.__getitem__, words)) for words in parts]
+        for part in listed:
+            if len(part) > REMEMBERED_CHARS:
+                del self.known[part]
+        return counts
 
 
 @lru_cache(maxsize=2)
