@@ -11,6 +11,7 @@ from .exact_dedup import exact_dedup
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .language_id import identify_languages
+from .lm_scores import score_documents
 from .ngram_join import near_duplicates
 from .pieces import piece_digests
 from .sharding import shard_documents
@@ -188,3 +189,41 @@ SELECT d.doc_id, min(b) AS class_id, (SELECT count(*) FROM links WHERE links.a =
        coalesce(any_value(n.n), 0) AS n_shingles
 FROM d JOIN reach ON reach.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
 """
+
+
+@query
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op3_lm_scores"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), t AS (
+  SELECT doc_id, w[i] AS w, CASE WHEN i > 1 THEN w[i - 1] END AS v FROM d, unnest(generate_series(1, len(w))) AS t(i)
+), uni AS (
+  SELECT doc_id, w, count(*) AS own, sum(count(*)) OVER (PARTITION BY w) - count(*) AS others FROM t GROUP BY doc_id, w
+), bi AS (
+  SELECT doc_id, v, w, count(*) AS own, sum(count(*)) OVER (PARTITION BY v, w) - count(*) AS others
+  FROM t WHERE v IS NOT NULL GROUP BY doc_id, v, w
+), units AS (
+  SELECT bi.doc_id, bi.own * CASE WHEN bi.others > 0 THEN round(ln(bi.others) * 1000000) - round(ln(c.others) * 1000000)
+           ELSE round(ln(0.4) * 1000000) + CASE WHEN u.others > 0 THEN round(ln(u.others) * 1000000) ELSE round(ln(0.4) * 1000000) END END AS units,
+         CASE WHEN bi.others > 0 THEN 0 ELSE bi.own END AS backed, CASE WHEN bi.others > 0 THEN 0 ELSE bi.own END AS by_word
+  FROM bi JOIN uni AS c ON c.doc_id = bi.doc_id AND c.w = bi.v JOIN uni AS u ON u.doc_id = bi.doc_id AND u.w = bi.w
+  UNION ALL
+  SELECT t.doc_id, CASE WHEN u.others > 0 THEN round(ln(u.others) * 1000000) ELSE round(ln(0.4) * 1000000) END, 0, 1
+  FROM t JOIN uni AS u ON u.doc_id = t.doc_id AND u.w = t.w WHERE v IS NULL
+), s AS (
+  SELECT doc_id, sum(units) AS units, sum(backed) AS backed, sum(by_word) AS by_word FROM units GROUP BY doc_id
+), r AS (
+  SELECT d.doc_id, len(w) AS n_tokens, CAST(coalesce(backed, 0) AS BIGINT) AS n_backoff,
+         CAST(coalesce(units, 0) - coalesce(by_word, 0) * round(ln(greatest(sum(len(w)) OVER () - len(w), 1)) * 1000000) AS BIGINT) AS units
+  FROM d LEFT JOIN s ON s.doc_id = d.doc_id
+)
+SELECT doc_id, n_tokens, n_backoff, units / 1000000 AS log_score,
+       CASE WHEN n_tokens > 0 THEN round(units / 1000000 / n_tokens, 6) END AS mean_log_score
+FROM r
+"""
