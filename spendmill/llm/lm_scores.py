@@ -162,6 +162,8 @@ def _untable(steps: np.ndarray, where: np.ndarray) -> np.ndarray:
 def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(group, kind="stable")
     starts = np.flatnonzero(np.diff(group[order], prepend=-1))
+    if not len(order):
+        return
     for lo, hi in zip(starts, np.append(starts[1:], len(order)), strict=True):
         yield int(group[order[lo]]), order[lo:hi]
 

@@ -142,7 +142,6 @@ def build_tree(groups: DataFrame, shards: int) -> Node:
                 node.dimension = None
                 continue
             node.key, left = keys[node.number]
-            # A group heavier than its share keeps a shard and leaves the others to the rest.
             share = min(max(round(node.shards * left / weights[node.number]), 1), node.shards - 1)
             node.left, node.right = Node(node.first, share, number + 1), Node(node.first + share, node.shards - share, number + 2)
             number += 2
@@ -151,6 +150,23 @@ def build_tree(groups: DataFrame, shards: int) -> Node:
     return root
 
 
+def heavy_groups(groups: DataFrame, shards: int) -> list[bytes]:
+    """Digests of the groups that outweigh an even share of what lighter groups leave; they fill shards alone.
+
+    At most ``shards - 1``, the heaviest first, so one shard is left for the others.
+    """
+    heavy: list[bytes] = []
+    while len(heavy) < shards - 1:
+        rest = groups.where(~F.col("digest").isin(heavy)) if heavy else groups
+        total = rest.agg(F.sum("weight")).first()[0] or 0
+        over = rest.where(F.col("weight") > total / (shards - len(heavy))).orderBy(F.desc("weight"), "digest")
+        new = [bytes(r["digest"]) for r in over.select("digest").limit(shards - 1 - len(heavy)).collect()]
+        if not new:
+            break
+        heavy += new
+    return heavy
+
+
 def numbered(rows: DataFrame, *, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """``slot`` from 0 without gaps in each shard: blocks of a shard are numbered apart and then lined up."""
     blocks = max(1, -(-rows.count() // rows_per_block))
@@ -181,8 +197,12 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, *, record_bytes: int
     )
     rows = stored(rows, "rows")
     groups = _groups(rows)
-    tree = build_tree(groups, shards)
-    placed = groups.select("digest", tree.value(lambda n: F.lit(n.first)).alias("shard"))
+    heavy = heavy_groups(groups, shards)
+    tree = build_tree(groups.where(~F.col("digest").isin(heavy)) if heavy else groups, shards - len(heavy))
+    shard = tree.value(lambda n: F.lit(n.first))
+    for k, digest in enumerate(heavy):
+        shard = F.when(F.col("digest") == F.lit(digest), shards - 1 - k).otherwise(shard)
+    placed = groups.select("digest", shard.alias("shard"))
     sharded = numbered(rows.select("doc_id", "size", "text_crc32", "digest").join(placed, "digest").drop("digest"))
     none = F.lit(None).cast("int").alias("grown_shard")
     return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), none)
