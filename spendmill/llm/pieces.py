@@ -12,7 +12,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from .words import text_groups
 
 SPACE = "▁"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_000_000
 _WORD = re.compile(f"[ {SPACE}]*[^ {SPACE}]+|[ {SPACE}]+")
 _NONE = np.iinfo(np.int64).max
 
@@ -46,6 +46,7 @@ class PieceModel:
             for p, k in zip(pieces, kinds, strict=True)
         ]
         self.kinds = kinds
+        self.decimal = [str(i) for i in range(self.size)]
         self.control = np.array([k == "control" for k in kinds])
         self.opens = np.array([k == "normal" and p.startswith(SPACE) for p, k in zip(pieces, kinds, strict=True)])
         order = {s: r for r, s in enumerate(sorted({scores[i] for i in self.ids.values()}, reverse=True))}
@@ -73,8 +74,8 @@ class PieceModel:
     def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return (left.astype(np.int64) << 22) | right
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each non-empty word, spaces already replaced."""
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of each word's) for non-empty words, spaces already replaced."""
         characters = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
         uniques, where = np.unique(characters, return_inverse=True)
         symbols = np.array([self.symbol(chr(c)) for c in uniques.tolist()], dtype=np.int64)[where]
@@ -112,16 +113,22 @@ class PieceModel:
             symbols, word = symbols[stay], word[stay]
         words_of, flat = (np.concatenate(x) for x in zip(*done, strict=True))
         order = np.argsort(words_of, kind="stable")
-        flat, words_of = flat[order], words_of[order]
-        ends = np.searchsorted(words_of, np.arange(1, len(words) + 1))
-        return [self._bytes(x) for x in np.split(flat, ends[:-1])]
-
-    def _bytes(self, symbols: np.ndarray) -> np.ndarray:
-        """Characters that are no piece become the pieces of their UTF-8 bytes."""
-        if symbols.max() < self.size:
-            return symbols.astype(np.int32)
-        parts = [[s] if s < self.size else self.byte_ids[list(chr(s - self.size).encode())].tolist() for s in symbols.tolist()]
-        return np.array([i for p in parts for i in p], dtype=np.int32)
+        flat, times = self._bytes(flat[order])
+        return flat, np.bincount(np.repeat(words_of[order], times), minlength=len(words))
+
+    def _bytes(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Characters that are no piece become the pieces of their UTF-8 bytes; and how many each symbol becomes."""
+        times = np.ones(len(symbols), dtype=np.int64)
+        strange = {s: self.byte_ids[list(chr(s - self.size).encode())] for s in np.unique(symbols[symbols >= self.size]).tolist()}
+        where = {s: np.flatnonzero(symbols == s) for s in strange}
+        for s, at in where.items():
+            times[at] = len(strange[s])
+        starts = np.cumsum(times) - times
+        ids = np.repeat(symbols, times)
+        for s, at in where.items():
+            for k, i in enumerate(strange[s]):
+                ids[starts[at] + k] = i
+        return ids.astype(np.int32), times
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of one sequence; in a run of byte pieces, bytes that make no UTF-8 become U+FFFD one by one."""
@@ -179,21 +186,21 @@ class Encoder:
         self.flat, self.starts = np.empty(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        ids = self.model.encode_words([w.replace(" ", SPACE) for w in words])
+        ids, sizes = self.model.encode_words([w.replace(" ", SPACE) for w in words])
         self.index.update(zip(words, range(len(self.index), len(self.index) + len(words)), strict=True))
-        self.flat = np.concatenate([self.flat, *ids])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(x) for x in ids])])
+        self.flat = np.concatenate([self.flat, ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets); every text but an empty one begins with a space of its own."""
         split = [_WORD.findall(f" {t}") if t else [] for t in texts]
-        new = {w for words in split for w in words if w not in self.index}
+        new = set(chain.from_iterable(split)).difference(self.index)
         if new and len(self.index) + len(new) > CACHED_WORDS:
             self._forget()
-            new = {w for words in split for w in words}
+            new = set(chain.from_iterable(split))
         if new:
-            self._learn(sorted(new))
-        at = np.fromiter((self.index[w] for words in split for w in words), dtype=np.int64)
+            self._learn(list(new))
+        at = np.array(list(map(self.index.__getitem__, chain.from_iterable(split))), dtype=np.int64)
         sizes = self.starts[at + 1] - self.starts[at]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
@@ -250,7 +257,7 @@ def piece_digests(docs: DataFrame, model_path: str) -> DataFrame:
     """
 
     def row(model: PieceModel, ids: np.ndarray) -> tuple:
-        listed = ",".join(map(str, ids.tolist())).encode()
+        listed = ",".join(map(model.decimal.__getitem__, ids.tolist())).encode()
         decoded = model.decode(ids).encode()
         return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
