@@ -12,6 +12,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -153,14 +154,14 @@ class Scorer:
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(posterior of each language, number of words) for each text."""
         split = [words_of(t) for t in texts]
-        new = {w for words in split for w in words if w not in self.index}
+        new = set(chain.from_iterable(split)).difference(self.index)
         if len(self.index) + len(new) > CACHED_WORDS:
             self._forget()
-            new = {w for words in split for w in words}
+            new = set(chain.from_iterable(split))
         if new:
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
             self.vectors = np.concatenate([self.vectors, [self.model.score_word(w) for w in new]])
-        at = np.fromiter((self.index[w] for words in split for w in words), dtype=np.int64)
+        at = np.array(list(map(self.index.__getitem__, chain.from_iterable(split))), dtype=np.int64)
         n = np.array([len(words) for words in split])
         row = np.repeat(np.arange(len(texts)), n)
         sums = [np.bincount(row, self.vectors[at, k], len(texts)) for k in range(len(self.model.languages))]

@@ -14,6 +14,7 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -73,10 +74,10 @@ class _Counter:
 
     def count(self, texts: list[str]) -> list[int]:
         parts = [_BREAK.split(t) for t in texts]
-        new = {w for words in parts for w in words if w not in self.known}
+        new = set(chain.from_iterable(parts)).difference(self.known)
         if len(self.known) + len(new) > KNOWN_PARTS:
             self.known.clear()
-            new = {w for words in parts for w in words}
+            new = set(chain.from_iterable(parts))
         listed = list(new)
         for lo in range(0, len(listed), 20_000):
             some = listed[lo : lo + 20_000]
