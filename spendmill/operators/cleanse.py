@@ -20,12 +20,14 @@ class Rejection(NamedTuple):
 
 
 # Reason names and their priority. The time test looks at the *parsed* value, so text
-# such as "N/A" is caught; the last rule makes the split total for rows without any cost.
+# such as "N/A" is caught; the rule on cost makes the split total, and rows
+# without a key are set aside because they would count as copies of one event.
 DEFAULT_REJECTIONS = (
     Rejection("malformed_timestamp", "event_time_utc IS NULL"),
     Rejection("negative_cost", "cost_raw < 0"),
     Rejection("missing_currency", "currency IS NULL"),
     Rejection("missing_cost", "cost_raw IS NULL"),
+    Rejection("missing_event_id", "event_id IS NULL"),
 )
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import calendar_day
 from .dimension import join_dimension
 
+EXACT_AMOUNT = "decimal(28,10)"
+# The published columns of the daily table.
 GOLD_COLUMNS = (
     "event_date",
     "advertiser_id",
@@ -23,10 +25,12 @@ def daily_spend(events: DataFrame, dim: DataFrame, on_duplicate: str = "error")
 
     The name and the flag depend on the advertiser alone, so events are summed first (partial sums
     on the map side) and only the per-day rows meet the dimension. No event row is joined, and a
-    heavy advertiser reaches the join as one row per day.
+    heavy advertiser reaches the join as one row per day. Spend is summed as a decimal, which is the same
+    in whatever order the tasks finish; an amount too large for it is an error.
     """
+    spend = F.sum(F.col("cost_usd").cast(EXACT_AMOUNT)).cast("double")
     per_day = events.groupBy(calendar_day("event_time_utc").alias("event_date"), "advertiser_id").agg(
-        F.sum("cost_usd").alias("total_spend_usd"), F.count("event_id").alias("event_count")
+        spend.alias("total_spend_usd"), F.count("event_id").alias("event_count")
     )
     return join_dimension(per_day, dim, on_duplicate=on_duplicate).select(*GOLD_COLUMNS)
 

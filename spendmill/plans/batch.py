@@ -32,39 +32,51 @@ class FullLoad(StoredLayers):
         self, v1: DataFrame, v2: DataFrame, dim: DataFrame, rules: Sequence[Rule | Mapping] = (), now=None
     ) -> DataFrame:
         """Rebuild all layers; returns the stored reconciliation report. Raises ``DataQualityError``, and
-        leaves the published daily table as it was, when a check or a rule (on the clean events) fails."""
+        leaves all published layers as they were, when a check or a rule (on the clean events) fails."""
         assert_utc(self.spark)
         self.tables.ensure_namespaces()
-        self.load_bronze(v1, v2, dim)
-        self.load_silver()
-        if rules:
-            enforce(dq_report(self.tables.read(self.silver), rules, now))
-        return self.load_gold([v1, v2])
-
-    def load_bronze(self, v1: DataFrame, v2: DataFrame, dim: DataFrame) -> None:
-        rows = build_bronze(v1, v2).withColumns({"ingest_batch": F.lit(FULL_LOAD)})
-        self.tables.overwrite(rows, self.bronze, ["ingest_batch"], keep_old_columns=True)
-        self.tables.overwrite(stamp_ingest(dim), self.dim)
-
-    def load_silver(self) -> None:
-        labelled = build_labelled(self.tables.read(self.bronze), self.config)
-        good, rejected = split(labelled)
-        self.tables.overwrite(rejected, self.quarantine, ["ingest_batch"])
-        self.tables.overwrite(by_day(dated(build_silver(good, self.config))), self.silver, ["event_date"])
-
-    def load_gold(self, feeds: Sequence[DataFrame]) -> DataFrame:
-        read = self.tables.read
-        events = to_usd(read(self.silver), self.config.usd_rates)
-        staged = self.tables.stage(daily_spend(events, read(self.dim)), self.gold, FULL_LOAD, ["event_date"])
-        good, _ = split(build_labelled(read(self.bronze), self.config))
-        report = reconcile(
-            feeds, read(self.bronze), read(self.quarantine), good, events, read(staged), read(self.dim)
-        )
-        self.tables.overwrite(report, self.report)
+        self._forget_stages()
         try:
-            enforce(read(self.report))
+            return self._run([v1, v2], dim, rules, now)
         except Exception:
-            self.tables.drop_staged(self.gold, FULL_LOAD)
+            self._forget_stages()
             raise
-        self.tables.publish(staged, self.gold)
+
+    def load_bronze(self, v1: DataFrame, v2: DataFrame, dim: DataFrame) -> None:
+        """Replace the raw layer and the dimension alone."""
+        self._publish_bronze(*self._stage_bronze(v1, v2, dim))
+
+    def _run(self, feeds: Sequence[DataFrame], dim: DataFrame, rules: Sequence[Rule | Mapping], now) -> DataFrame:
+        """Every layer is staged and checked before the first one is published."""
+        tables, read = self.tables, self.tables.read
+        bronze, advertisers = self._stage_bronze(*feeds, dim)
+        good, rejected = split(build_labelled(read(bronze), self.config))
+        quarantine = tables.stage(rejected, self.quarantine, FULL_LOAD, ["ingest_batch"])
+        silver = tables.stage(by_day(dated(build_silver(good, self.config))), self.silver, FULL_LOAD, ["event_date"])
+        if rules:
+            enforce(dq_report(read(silver), rules, now))
+        events = to_usd(read(silver), self.config.usd_rates)
+        gold = tables.stage(by_day(daily_spend(events, read(advertisers))), self.gold, FULL_LOAD, ["event_date"])
+        checks = reconcile(feeds, read(bronze), read(quarantine), good, events, read(gold), read(advertisers))
+        tables.overwrite(checks, self.report)
+        enforce(read(self.report))
+        self._publish_bronze(bronze, advertisers)
+        tables.publish(quarantine, self.quarantine, "ingest_batch")
+        tables.publish(silver, self.silver)
+        tables.publish(gold, self.gold)
         return read(self.report)
+
+    def _stage_bronze(self, v1: DataFrame, v2: DataFrame, dim: DataFrame) -> tuple[str, str]:
+        rows = build_bronze(v1, v2).withColumns({"ingest_batch": F.lit(FULL_LOAD)})
+        staged = self.tables.stage(rows, self.bronze, FULL_LOAD, ["ingest_batch"])
+        return staged, self.tables.stage(stamp_ingest(dim), self.dim, FULL_LOAD)
+
+    def _publish_bronze(self, bronze: str, dim: str) -> None:
+        """A full load is the whole delivery: partitions of other batches go, and are to be applied again."""
+        self.tables.publish(bronze, self.bronze, "ingest_batch", keep_old_columns=True)
+        self.tables.publish(dim, self.dim, None)
+
+    def _forget_stages(self) -> None:
+        """Stages that an earlier, killed load may have left."""
+        for table in (self.bronze, self.dim, self.quarantine, self.silver, self.gold):
+            self.tables.drop_staged(table, FULL_LOAD)

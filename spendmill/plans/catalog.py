@@ -83,7 +83,7 @@ def scan_events(x: Layers) -> DataFrame:
 
 @query
 def scan_dim(x: Layers) -> DataFrame:
-    return x.dim.select("*")
+    return x.all_advertisers
 
 
 @query
@@ -245,7 +245,7 @@ def orphan_advertisers(x: Layers) -> DataFrame:
 
 @query
 def dim_duplicate_keys(x: Layers) -> DataFrame:
-    return duplicate_keys(x.dim, "advertiser_id").agg(F.count(F.lit(1)).alias("n"))
+    return duplicate_keys(x.dim_deliveries, "advertiser_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query

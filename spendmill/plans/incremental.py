@@ -2,11 +2,13 @@
 
 Every step can be repeated: raw and quarantined rows are written to the batch's own partition, the
 upsert ignores rows that are not strictly newer, and the rewritten days are staged completely before
-the first one is swapped in. A run that is killed at any point is finished by running it again.
+the first one is swapped in. A run that is killed at any point is finished by running it again, or by
+the next batch, which completes what was staged before it adds its own rows. Batches run one at a time.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
@@ -17,12 +19,14 @@ from pyspark.sql import types as T
 
 from ..config import MillConfig, assert_utc
 from ..operators import (
+    DataQualityError,
     Rule,
     beating,
     daily_spend,
     days_of_change,
     dedup_latest,
     dq_report,
+    duplicate_keys,
     enforce,
     held_rows,
     join_dimension,
@@ -37,6 +41,14 @@ from .batch import by_day, dated
 from .layers import build_labelled
 
 
+STAGED_ROWS = re.compile(r"__([0-9a-f]{24})_rows_[0-9a-f]{8}$")
+
+
+def tag_of(label: str) -> str:
+    """A name for the batch's stages that no other label shares."""
+    return hashlib.sha256(label.encode()).hexdigest()[:24]
+
+
 class IncrementalLoad(StoredLayers):
     """``rules`` are checked on the clean rows of every batch, before any clean or daily row changes."""
 
@@ -57,12 +69,26 @@ class IncrementalLoad(StoredLayers):
         fails a rule raises ``DataQualityError``: its raw rows are kept, nothing is published.
         """
         assert_utc(self.spark)
-        tag = re.sub(r"\W", "_", label).lower()
+        tag = tag_of(label)
         self.tables.ensure_namespaces()
+        for pending in self._pending():
+            # Its days were computed from the rows that are stored now: later batches must find it done.
+            if pending != tag:
+                self._complete(pending)
         good = self._store_raw(rows, label)
         if self.rules:
             enforce(dq_report(good, self.rules, self.now))
-        days = self._upsert(good, tag)
+        self._stage_rows(good, tag)
+        return self._complete(tag)
+
+    def _pending(self) -> list[str]:
+        """Tags of batches whose rewritten days are staged but perhaps not all swapped in."""
+        if not self.tables.exists(self.silver):
+            return []
+        return sorted({m[1] for name in self.tables.staged(self.silver) if (m := STAGED_ROWS.search(name))})
+
+    def _complete(self, tag: str) -> list[date]:
+        days = self._swap(tag)
         self._refresh(days)
         for part in ("rows", "days", "held", "incoming"):
             self.tables.drop_staged(self.silver, f"{tag}_{part}")
@@ -75,7 +101,10 @@ class IncrementalLoad(StoredLayers):
         """
         tables = self.tables
         tables.ensure_namespaces()
-        tables.overwrite(stamp_ingest(dim), self.dim)
+        if not duplicate_keys(dim, "advertiser_id").isEmpty():
+            raise DataQualityError("the dimension's advertiser_id is not unique; the stored one stays")
+        staged = tables.stage(stamp_ingest(dim), self.dim, "dimension")
+        tables.publish(staged, self.dim, None)
         if not tables.exists(self.gold):
             return []
         before = tables.read(self.gold).withColumnsRenamed(
@@ -107,12 +136,11 @@ class IncrementalLoad(StoredLayers):
         tables.replace_partitions(rejected, self.quarantine)
         return dated(good)
 
-    def _upsert(self, good: DataFrame, tag: str) -> list[date]:
+    def _stage_rows(self, good: DataFrame, tag: str) -> None:
         tables, c = self.tables, self.config
         tables.ensure(self.silver, good.schema, ["event_date"])
         tables.add_columns(self.silver, good.schema)
-        staged = tables.find_staged(self.silver, f"{tag}_rows")
-        if staged is None:
+        if tables.find_staged(self.silver, f"{tag}_rows") is None:
             current = tables.read(self.silver)
             newest = dedup_latest(good, c.key, c.order, c.tie_breakers)
             incoming = tables.read(tables.stage(newest, self.silver, f"{tag}_incoming"))
@@ -123,11 +151,12 @@ class IncrementalLoad(StoredLayers):
             tables.stage(days_of_change(held, winners, c.key), self.silver, f"{tag}_days")
             # The listed days become partition filters: the rest of the table is not opened.
             affected = current.where(F.col("event_date").isin(self._days(tag)))
-            staged = tables.stage(
-                by_day(replace_rows(affected, winners, c.key)), self.silver, f"{tag}_rows", ["event_date"]
-            )
+            tables.stage(by_day(replace_rows(affected, winners, c.key)), self.silver, f"{tag}_rows", ["event_date"])
+
+    def _swap(self, tag: str) -> list[date]:
+        tables = self.tables
         days = self._days(tag)
-        rewritten = tables.read(staged)
+        rewritten = tables.read(tables.find_staged(self.silver, f"{tag}_rows"))
         tables.replace_partitions(rewritten, self.silver)
         tables.drop_days(self.silver, self._emptied(days, rewritten))
         return days
@@ -145,7 +174,7 @@ class IncrementalLoad(StoredLayers):
         """Recompute the daily rows of ``days`` from the stored clean events of those days."""
         tables = self.tables
         events = tables.read(self.silver).where(F.col("event_date").isin(days)).drop("event_date")
-        fresh = daily_spend(to_usd(events, self.config.usd_rates), self._dimension())
+        fresh = by_day(daily_spend(to_usd(events, self.config.usd_rates), self._dimension()))
         tables.ensure(self.gold, fresh.schema, ["event_date"])
         tables.replace_partitions(fresh, self.gold)
         present = tables.read(self.silver).where(F.col("event_date").isin(days))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from ..operators import (
     union_versions,
 )
 from ..sources.interim import settle
-from ..sources.vendor import advertisers, vendor_feeds
+from ..sources.vendor import advertisers, all_advertisers, vendor_feeds
 
 # File names recorded as provenance.
 SOURCE_NAMES = {"v1": "events_v1.csv", "v2": "events_v2.csv"}
@@ -91,6 +92,15 @@ class Layers:
     def dim(self) -> DataFrame:
         return advertisers(self.spark, self.sf_dir)
 
+    @cached_property
+    def dim_deliveries(self) -> DataFrame:
+        """The dimension as delivered twice in part, so that keys repeat."""
+        return self.dim.unionByName(self.dim.where("advertiser_id % 13 = 1"))
+
+    @cached_property
+    def all_advertisers(self) -> DataFrame:
+        return all_advertisers(self.spark, self.sf_dir)
+
     @cached_property
     def spend_events(self) -> DataFrame:
         """Clean events with only what the daily sums read.
@@ -112,8 +122,13 @@ class Layers:
 
     @cached_property
     def corrections(self) -> DataFrame:
-        """Late corrections: some older, some equally old, some newer; some move to the next day."""
-        return self.before_corrections.where("event_id % 53 = 6").withColumns(
+        """A late batch for two days: corrections (some older, equally old or newer; some move to the next
+        day) and events not seen before."""
+        known = self.before_corrections
+        unseen = known.where("event_id % 7 = 1").withColumns({"event_id": F.col("event_id") + 1_000_000_007})
+        late = known.unionByName(unseen).where("event_id % 3 < 2 OR event_id > 1000000000")
+        days = [datetime.date(2024, 1, 10), datetime.date(2024, 1, 11)]
+        return late.where(F.to_date("event_time_utc").isin(days)).withColumns(
             {
                 "ingest_time": F.expr("ingest_time + INTERVAL 1 HOUR * (event_id % 3 - 1)"),
                 "cost_raw": F.expr("cost_raw * 2"),

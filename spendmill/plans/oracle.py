@@ -53,7 +53,7 @@ named AS (
   FROM silver s LEFT JOIN dim d ON s.advertiser_id = d.advertiser_id),
 gold AS (
   SELECT CAST(event_time_utc AS DATE) AS event_date, advertiser_id, advertiser_name, is_unmapped_advertiser,
-         sum(cost_usd) AS total_spend_usd, count(*) AS event_count
+         CAST(sum(CAST(cost_usd AS DECIMAL(28, 10))) AS DOUBLE) AS total_spend_usd, count(*) AS event_count
   FROM named GROUP BY 1, 2, 3, 4),
 runs AS (
   SELECT advertiser_id, count(*) AS streak_length, min(event_date) AS streak_start, max(event_date) AS streak_end
@@ -71,7 +71,8 @@ cor AS (
   SELECT event_id, ingest_time + INTERVAL '1' HOUR * (event_id % 3 - 1) AS ingest_time, advertiser_id, currency,
          cost_raw * 2 AS cost_raw,
          event_time_utc + INTERVAL '1' DAY * (CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END) AS event_time_utc
-  FROM tgt WHERE event_id % 53 = 6),
+  FROM (SELECT * FROM tgt UNION ALL SELECT * REPLACE (event_id + 1000000007 AS event_id) FROM tgt WHERE event_id % 7 = 1) t
+  WHERE CAST(event_time_utc AS DATE) IN (DATE '2024-01-10', DATE '2024-01-11') AND (event_id % 3 < 2 OR event_id > 1000000000)),
 ups AS (
   SELECT * EXCLUDE (rn, prio) FROM (
     SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingest_time DESC, prio) AS rn
@@ -149,7 +150,7 @@ _CHECKS = {
 
 _SELECTS = {
     "scan_events": "SELECT * FROM raw",
-    "scan_dim": "SELECT * FROM dim",
+    "scan_dim": "SELECT c_custkey AS advertiser_id, c_name AS advertiser_name FROM customer",
     "load_events_clean": """SELECT DISTINCT event_id, event_time, ingest_time, advertiser_id, currency, cost_raw AS spend
         FROM uni u WHERE cost_raw IS NOT NULL
         AND NOT EXISTS (SELECT 1 FROM uni n WHERE n.event_id = u.event_id AND n.cost_raw < 0)""",
@@ -193,7 +194,8 @@ _SELECTS = {
     "gold_join_dim": "SELECT event_id, advertiser_id, advertiser_name, is_unmapped_advertiser FROM named",
     "orphan_advertisers": """SELECT DISTINCT advertiser_id FROM silver
         WHERE advertiser_id NOT IN (SELECT advertiser_id FROM dim)""",
-    "dim_duplicate_keys": "SELECT count(*) AS n FROM (SELECT advertiser_id FROM dim GROUP BY 1 HAVING count(*) > 1) x",
+    "dim_duplicate_keys": """SELECT count(*) AS n FROM (SELECT advertiser_id
+        FROM (SELECT * FROM dim UNION ALL SELECT * FROM dim WHERE advertiser_id % 13 = 1) d GROUP BY 1 HAVING count(*) > 1) x""",
     "dim_unknown_names": "SELECT advertiser_id FROM dim WHERE advertiser_name IS NULL OR advertiser_name = 'UNKNOWN'",
     "gold_daily_spend": """SELECT event_date, advertiser_id, advertiser_name, is_unmapped_advertiser,
         round(total_spend_usd, 4) AS total_spend_usd, event_count FROM gold""",
@@ -217,10 +219,11 @@ _SELECTS = {
     "touched_days": """SELECT CAST(t.event_time_utc AS DATE) AS event_date
         FROM tgt t JOIN cor c ON t.event_id = c.event_id AND c.ingest_time > t.ingest_time
         UNION SELECT CAST(c.event_time_utc AS DATE)
-        FROM tgt t JOIN cor c ON t.event_id = c.event_id AND c.ingest_time > t.ingest_time""",
+        FROM cor c LEFT JOIN tgt t ON t.event_id = c.event_id
+        WHERE t.event_id IS NULL OR c.ingest_time > t.ingest_time""",
     "gold_incremental": """SELECT CAST(u.event_time_utc AS DATE) AS event_date, u.advertiser_id,
         coalesce(d.advertiser_name, 'UNKNOWN') AS advertiser_name, d.advertiser_id IS NULL AS is_unmapped_advertiser,
-        round(sum(CASE currency WHEN 'INR' THEN cost_raw / 83.0 WHEN 'USD' THEN cost_raw END), 4) AS total_spend_usd,
+        round(CAST(sum(CAST(CASE currency WHEN 'INR' THEN cost_raw / 83.0 WHEN 'USD' THEN cost_raw END AS DECIMAL(28, 10))) AS DOUBLE), 4) AS total_spend_usd,
         count(*) AS event_count
         FROM ups u LEFT JOIN dim d ON u.advertiser_id = d.advertiser_id GROUP BY 1, 2, 3, 4""",
     "dq_null_rate": _NULL_RATE,

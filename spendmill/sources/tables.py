@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Iterable, Sequence
 
@@ -73,8 +74,13 @@ class LayerTables:
             conf.set(setting, before)
 
     def drop_days(self, table: str, days: Iterable[object], column: str = "event_date") -> None:
-        """Remove whole partitions, for days that no longer have any row."""
-        specs = ", ".join(f"PARTITION ({column} = DATE '{d}')" for d in days)
+        """Remove whole partitions, for days (or other values) that no longer have any row."""
+
+        def literal(value: object) -> str:
+            escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+            return f"DATE '{value}'" if isinstance(value, datetime.date) else f"'{escaped}'"
+
+        specs = ", ".join(f"PARTITION ({column} = {literal(d)})" for d in days)
         if specs:
             self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
@@ -91,19 +97,30 @@ class LayerTables:
         found = self.spark.sql(f"SHOW TABLES IN {namespace} LIKE '{base}__{label}_*'").select("tableName").take(1)
         return f"{namespace}.{found[0][0]}" if found else None
 
+    def staged(self, table: str) -> list[str]:
+        """Names of all completed staged tables of ``table`` (as many as unfinished loads)."""
+        namespace, base = table.rsplit(".", 1)
+        return [r.tableName for r in self.spark.sql(f"SHOW TABLES IN {namespace} LIKE '{base}__*'").collect()]
+
     def drop_staged(self, table: str, label: str) -> None:
         while staged := self.find_staged(table, label):
             self.spark.sql(f"DROP TABLE {staged}")
 
-    def publish(self, staged: str, table: str, day: str = "event_date") -> None:
-        """Make ``table`` equal to a finished staged table, partition by partition.
+    def publish(self, staged: str, table: str, day: str | None = "event_date", keep_old_columns: bool = False) -> None:
+        """Make ``table`` equal to a finished staged table, partition by partition (or whole without ``day``).
 
-        Readers keep the table throughout. A table with other columns or types is replaced whole.
+        Readers keep the table throughout. A table with other columns or types is replaced whole, but for
+        ``keep_old_columns``, which lets columns only be added.
         """
         new = self.read(staged)
         kinds = {f.name: f.dataType for f in new.schema.fields}
-        if not self.exists(table) or {f.name: f.dataType for f in self.read(table).schema.fields} != kinds:
-            self.overwrite(new, table, [day])
+        held = {f.name: f.dataType for f in self.read(table).schema.fields} if self.exists(table) else None
+        if held is not None and keep_old_columns and all(held.get(c, t) == t for c, t in kinds.items()):
+            held = kinds
+        if held != kinds:
+            self.overwrite(new, table, [day] if day else [], keep_old_columns)
+        elif day is None:
+            new.select(*self.read(table).columns).write.insertInto(table, overwrite=True)
         else:
             # One value per calendar day on either side.
             gone = self.read(table).select(day).distinct().join(new.select(day).distinct(), day, "left_anti")

@@ -64,6 +64,12 @@ def vendor_feeds(spark: SparkSession, sf_dir: str, resends: bool = True, extra:
     return Feeds(_feed(events, 0, resends, extra), _feed(events, 1, resends, extra))
 
 
+def all_advertisers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole dimension table under the names used here."""
+    customers = spark.read.schema(CUSTOMER).parquet(f"{sf_dir}/customer.parquet")
+    return customers.selectExpr("c_custkey AS advertiser_id", "c_name AS advertiser_name")
+
+
 def advertisers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension, with some advertisers missing and some present without a name."""
     customers = spark.read.schema(CUSTOMER).parquet(f"{sf_dir}/customer.parquet")

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from spendmill import DataQualityError, MillConfig, active_days, rolling_spend
+from spendmill import DataQualityError, MillConfig, active_days, daily_spend, rolling_spend
 from spendmill.plans import FullLoad
 from spendmill.plans.layers import Layers
 
@@ -70,24 +70,46 @@ def test_rerun_gives_the_same_tables(spark, loaded):
     assert sorted(r.tableName for r in spark.sql("SHOW TABLES IN fg").where("NOT isTemporary").collect()) == ["daily_advertiser_spend", "load_report"]
 
 
+LAYERS = ("fb.raw_events", "fb.advertiser_dim", "fs.quarantine_events", "fs.events", "fg.daily_advertiser_spend")
+
+
+def counts(spark):
+    return [spark.table(t).count() for t in LAYERS]
+
+
 def test_failed_rule_blocks_the_publish(spark, loaded):
     load, _ = loaded
     x = Layers(spark, SF)
-    before = spark.table("fg.daily_advertiser_spend").count()
+    before = counts(spark)
     v2 = x.feeds.v2.where("event_id < 0")
     with pytest.raises(DataQualityError, match="freshness"):
         load.run(x.feeds.v1, v2, x.dim, [{"type": "freshness", "column": "event_time_utc", "max_age_hours": 1}], "2025-01-01T00:00:00Z")
-    assert spark.table("fg.daily_advertiser_spend").count() == before
+    assert counts(spark) == before
+
+
+def test_null_keys_do_not_stop_the_load(spark, loaded):
+    x = Layers(spark, SF)
+    keyless = x.feeds.v1.where("event_id % 100 = 10").withColumn("event_id", F.lit(None).cast("long"))
+    load = FullLoad(spark, MillConfig(bronze="nb", silver="ns", gold="ng"))
+    report = load.run(x.feeds.v1.union(keyless), x.feeds.v2, x.dim)
+    assert report.where("NOT passed").count() == 0
+    assert spark.table("ns.quarantine_events").where("quarantine_reason = 'missing_event_id'").count() > 0
+
+
+def test_daily_sums_do_not_depend_on_the_partitions(spark):
+    x = Layers(spark, SF)
+    gold = [sorted(map(repr, daily_spend(x.spend_events.repartition(n), x.dim).collect())) for n in (1, 3, 17)]
+    assert gold[0] == gold[1] == gold[2]
 
 
 def test_duplicate_dimension_key_blocks_the_publish(spark, loaded):
     load, _ = loaded
     x = Layers(spark, SF)
-    before = spark.table("fg.daily_advertiser_spend").count()
+    before = counts(spark)
     doubled = x.dim.union(x.dim)
     with pytest.raises(Exception, match="not unique"):
         load.run(*x.feeds, doubled)
-    assert spark.table("fg.daily_advertiser_spend").count() == before
+    assert counts(spark) == before
 
 
 def test_bronze_schema_only_grows(spark, loaded):

@@ -234,3 +234,56 @@ def test_heavy_day_is_written_by_several_tasks(spark, tmp_path):
     # A light day that hashes to the heavy day's partition is split along with it; the others are not.
     assert sum(n == 1 for n in files.values()) >= 5
     assert spark.read.parquet(str(tmp_path / "t")).count() == 400_000
+
+
+def _ids(spark, table):
+    return sorted(r.event_id for r in spark.table(table).collect())
+
+
+@pytest.mark.parametrize("step", ["_swap", "_refresh"])
+def test_a_batch_in_between_does_not_lose_a_killed_one(spark, load, monkeypatch, step):
+    rows = {n: [_event(i, "2024-01-01T10:00:00Z", "2024-01-01 11:00:00", float(i))] for i, n in enumerate(("one", "two", "three"), 1)}
+    load.apply(batch(spark, rows["one"]), "one")
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(load, step, die)
+        with pytest.raises(RuntimeError):
+            load.apply(batch(spark, rows["two"]), "two")
+    load.apply(batch(spark, rows["three"]), "three")
+    load.apply(batch(spark, rows["two"]), "two")
+    assert _ids(spark, load.silver) == ["1", "2", "3"]
+    gold = spark.table(load.gold).collect()
+    assert [(r.event_count, r.total_spend_usd) for r in gold] == [(3, 6.0)]
+
+
+def test_labels_that_look_alike_stay_apart(spark, load, monkeypatch):
+    load.apply(batch(spark, [_event(1, "2024-01-01T10:00:00Z", "2024-01-01 11:00:00", 1.0)]), "one")
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    for i, label in enumerate(("day-1", "two"), 2):
+        with monkeypatch.context() as m:
+            m.setattr(load, "_swap", die)
+            with pytest.raises(RuntimeError):
+                load.apply(batch(spark, [_event(i, "2024-01-01T10:00:00Z", "2024-01-01 11:00:00", 1.0)]), label)
+        load.apply(batch(spark, [_event(i + 10, "2024-01-01T10:00:00Z", "2024-01-01 11:00:00", 1.0)]), {"day-1": "day_1", "two": "two_rows"}[label])
+    assert _ids(spark, load.silver) == ["1", "12", "13", "2", "3"]
+
+
+def test_a_repeated_dimension_key_leaves_the_stored_dimension(spark, load):
+    names = "advertiser_id string, advertiser_name string"
+    load.load_dimension(spark.createDataFrame([("a", "A")], names))
+    with pytest.raises(DataQualityError, match="not unique"):
+        load.load_dimension(spark.createDataFrame([("a", "B"), ("a", "C")], names))
+    assert [r.advertiser_name for r in spark.table(load.dim).collect()] == ["A"]
+
+
+def test_rows_without_a_key_are_quarantined(spark, load):
+    rows = [_event(1, "2024-01-01T10:00:00Z", "2024-01-01 11:00:00", 1.0)] + [(None, *_event(1, "2024-01-01T10:00:00Z", "2024-01-01 11:00:00", 2.0)[1:])] * 2
+    load.apply(batch(spark, rows), "one")
+    assert _ids(spark, load.silver) == ["1"]
+    assert [r.quarantine_reason for r in spark.table(load.quarantine).collect()] == ["missing_event_id"] * 2
