@@ -8,14 +8,14 @@ import numpy as np
 import zstandard
 
 
-def pack(*columns: np.ndarray) -> bytes:
+def pack(*columns: np.ndarray, level: int = 1) -> bytes:
     """Columns of any lengths; each is stored byte plane after byte plane, which makes small numbers compress."""
     parts = [struct.pack("<B", len(columns))]
     for column in columns:
         code = column.dtype.str.encode().ljust(4)
         planes = np.ascontiguousarray(column.reshape(-1, 1).view(np.uint8).T).tobytes() if len(column) else b""
         parts += [struct.pack("<4sQ", code, len(column)), planes]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    return zstandard.ZstdCompressor(level=level).compress(b"".join(parts))
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:

@@ -22,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packing import pack, smallest, unpack
-from .words import Words, extend, mix, visible, whole_windows, word_slices
+from .words import Words, extend, mix, text_buffers, visible, whole_windows, word_slices
 
 WINDOW = 13
 GROUP_SUFFIXES = 1_500_000
 CELLS = 1 << 14
 SLICE_BYTES = 1 << 21
+DOCUMENTS_PER_BUCKET = 2_000
 NO_ID = np.iinfo(np.int64).max  # stands for a null id: it comes after every other
 _SALT = np.uint64(0xA0761D6478BD642F)
 
@@ -118,16 +119,31 @@ def _repeats(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order, starts, docs[order] > np.repeat(least, np.diff(np.append(starts, len(keys))))
 
 
-def _rows_by_document(docs: np.ndarray, keys: np.ndarray) -> tuple[list[int | None], list[bytes]]:
-    order = np.argsort(docs, kind="stable")
-    docs, keys = docs[order], keys[order]
-    starts = _runs(docs)
-    ids = [None if d == NO_ID else d for d in docs[starts].tolist()]
-    return ids, [np.unique(x).tobytes() for x in np.split(keys, starts[1:])] if len(starts) else []
+def _bucket(docs: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(docs.astype(np.uint64) ^ _SALT) % np.uint64(buckets)).astype(np.int64)
 
 
-def _suffixes(partition: Partition, window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (group, blob of suffixes) and, under any group, (doc_id, keys of windows repeated inside a slice)."""
+def _by(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(value, where it is) for each distinct value."""
+    order = np.argsort(values, kind="stable")
+    starts = _runs(values[order])
+    for lo, hi in zip(starts, np.append(starts[1:], len(order))[: len(starts)], strict=True):
+        yield int(values[order[lo]]), order[lo:hi]
+
+
+def _flag_rows(docs: np.ndarray, keys: np.ndarray, buckets: int) -> tuple[list[int], list[bytes]]:
+    """(buckets, blobs of document ids with the keys of their repeated windows)."""
+    numbers, blobs = [], []
+    for bucket, mine in _by(_bucket(docs, buckets)):
+        mine = mine[np.lexsort((keys[mine], docs[mine]))]
+        starts = _runs(docs[mine])
+        numbers.append(bucket)
+        blobs.append(pack(docs[mine][starts], smallest(np.diff(np.append(starts, len(mine)))), keys[mine]))
+    return numbers, blobs
+
+
+def _suffixes(partition: Partition, window: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (group, blob of suffixes) and, under any group, (bucket, blob of windows repeated inside a slice)."""
     last_group = int(partition.first[-1])
     for batch in batches:
         for words in word_slices(batch["text"], visible(), SLICE_BYTES):
@@ -150,16 +166,16 @@ def _suffixes(partition: Partition, window: int, batches: Iterator[pa.RecordBatc
                 table, which = np.unique(least[own], return_inverse=True)
                 blobs.append(pack(np.diff(kept_keys[own], prepend=np.uint64(0)), table, smallest(which)))
                 groups.append(int(kept_group[own[0]]))
-            doc_ids, flags = _rows_by_document(sorted_docs[repeated], keys[order][repeated])
+            numbers, flags = _flag_rows(sorted_docs[repeated], keys[order][repeated], buckets)
             n, m = len(groups), len(flags)
             spread = [(words.first + i) * 7919 % last_group for i in range(m)]
             columns = [pa.array(groups + spread, pa.int32()), pa.array(blobs + [None] * m, pa.binary())]
-            columns += [pa.array([None] * n + doc_ids, pa.int64()), pa.array([None] * n + flags, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["group", "suffixes", "doc_id", "keys"])
+            columns += [pa.array([None] * n + numbers, pa.int32()), pa.array([None] * n + flags, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["group", "suffixes", "bucket", "flags"])
 
 
-def _subtree(table: pa.Table) -> pa.Table:
-    """(doc_id, keys of its windows that a smaller document has) of a group's suffixes, and the rows known before."""
+def _subtree(table: pa.Table, buckets: int) -> pa.Table:
+    """(bucket, blob of windows that a smaller document has) of a group's suffixes, and the rows known before."""
     keys, docs = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)]
     for blob in table["suffixes"]:
         if blob.is_valid:
@@ -168,79 +184,110 @@ def _subtree(table: pa.Table) -> pa.Table:
             docs.append(ids[which])
     keys, docs = np.concatenate(keys), np.concatenate(docs)
     order, _, repeated = _repeats(keys, docs)
-    ids, flags = _rows_by_document(docs[order][repeated], keys[order][repeated])
-    known = table.filter(table["keys"].is_valid()).select(["doc_id", "keys"])
-    found = pa.table({"doc_id": pa.array(ids, pa.int64()), "keys": pa.array(flags, pa.binary())})
+    numbers, flags = _flag_rows(docs[order][repeated], keys[order][repeated], buckets)
+    known = table.filter(table["flags"].is_valid()).select(["bucket", "flags"])
+    found = pa.table({"bucket": pa.array(numbers, pa.int32()), "flags": pa.array(flags, pa.binary())})
     return pa.concat_tables([known, found])
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW, *, group_suffixes: int = GROUP_SUFFIXES, cells: int = CELLS) -> DataFrame:
-    """(doc_id, keys): for each document the hashes of its windows that a document with a smaller id has too."""
-    rows = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    partition = Partition(count_prefixes(rows, window, cells), group_suffixes)
+def repeated_windows(docs: DataFrame, buckets: int, window: int = WINDOW, *, group_suffixes: int = GROUP_SUFFIXES, cells: int = CELLS) -> DataFrame:
+    """(bucket, flags): by bucket of documents, the hashes of windows that a document with a smaller id has too."""
+    partition = Partition(count_prefixes(docs, window, cells), group_suffixes)
     shared = docs.sparkSession.sparkContext.broadcast(partition)
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _suffixes(shared.value, window, batches)
+        return _suffixes(shared.value, window, buckets, batches)
 
-    dealt = rows.mapInArrow(suffixes, "group int, suffixes binary, doc_id long, keys binary")
-    flags = dealt.groupBy("group").applyInArrow(_subtree, "doc_id long, keys binary")
-    return flags.groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
+    def subtree(table: pa.Table) -> pa.Table:
+        return _subtree(table, buckets)
 
-
-def _cut(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Take out the words that flagged windows cover."""
-    for batch in batches:
-        flagged = np.flatnonzero(batch["keys"].is_valid().to_numpy(zero_copy_only=False))
-        spans: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-        keep: dict[int, np.ndarray] = {}
-        for words in word_slices(batch["text"].take(pa.array(flagged)), visible(), SLICE_BYTES):
-            at = whole_windows(words, window)
-            keys = prefix_sums(words, window)[-1]
-            begin = np.searchsorted(at, words.bounds)
-            for i in range(words.rows):
-                row = int(flagged[words.first + i])
-                wanted = np.frombuffer(b"".join(batch["keys"][row].as_py()), dtype=np.uint64)
-                own = at[begin[i] : begin[i + 1]][np.isin(keys[begin[i] : begin[i + 1]], wanted)] - words.bounds[i]
-                covered = np.zeros(words.bounds[i + 1] - words.bounds[i] + 1, dtype=np.int64)
-                covered[own] += 1
-                np.subtract.at(covered, own + window, 1)
-                gone = np.cumsum(covered) > 0
-                keep[row] = ~gone[:-1]
-                edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0))
-                spans[row] = [{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)]
-        sizes, removed, texts = [], [], []
-        for row, text in enumerate(batch["text"].to_pylist()):
-            words_ = (text or "").encode().split()
-            kept = list(compress(words_, keep[row].tolist())) if row in keep else words_
-            sizes.append(len(words_))
-            removed.append(len(words_) - len(kept))
-            texts.append(b" ".join(kept).decode())
-        ranges = pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
-        columns = [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string()), ranges]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept", "repeats"])
-
-
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        digests = [hashlib.sha256(x.encode()).hexdigest() for x in batch["kept"].to_pylist()]
-        columns = [*(batch[c] for c in ("doc_id", "n_words", "n_removed")), pa.array(digests, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256"])
+    dealt = docs.mapInArrow(suffixes, "group int, suffixes binary, bucket int, flags binary")
+    return dealt.groupBy("group").applyInArrow(subtree, "bucket int, flags binary")
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, *, group_suffixes: int = GROUP_SUFFIXES, cells: int = CELLS, digest: bool = False) -> DataFrame:
+def _pack_texts(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, blob of ids and texts): compressed together, texts take half of what a shuffle makes of them."""
+    for batch in batches:
+        ids = batch["doc_id"].fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)
+        for bucket, mine in _by(_bucket(ids, buckets)):
+            data, offsets = text_buffers(batch["text"].take(pa.array(mine)))
+            blob = pack(ids[mine], np.diff(offsets), data, level=3)
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([blob], pa.binary())], ["bucket", "texts"])
+
+
+def _cut(window: int, texts: list[bytes], ids: np.ndarray, flagged: dict[int, np.ndarray]) -> Iterator[tuple[int, list[bytes], list[dict]]]:
+    """(number of words, kept words, removed ranges) of each text: flagged windows cover what goes."""
+    keep: dict[int, np.ndarray] = {}
+    spans: dict[int, list[dict]] = {}
+    rows = np.array([r for r, i in enumerate(ids.tolist()) if i in flagged], dtype=np.int64)
+    for words in word_slices(pa.array([texts[r] for r in rows], pa.large_binary()).view(pa.large_string()), visible(), SLICE_BYTES):
+        at = whole_windows(words, window)
+        keys = prefix_sums(words, window)[-1]
+        begin = np.searchsorted(at, words.bounds)
+        for i in range(words.rows):
+            row = int(rows[words.first + i])
+            own = at[begin[i] : begin[i + 1]][np.isin(keys[begin[i] : begin[i + 1]], flagged[int(ids[row])])] - words.bounds[i]
+            covered = np.zeros(words.bounds[i + 1] - words.bounds[i] + 1, dtype=np.int64)
+            covered[own] += 1
+            np.subtract.at(covered, own + window, 1)
+            gone = np.cumsum(covered) > 0
+            keep[row] = ~gone[:-1]
+            edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0))
+            spans[row] = [{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)]
+    for row, text in enumerate(texts):
+        words_ = text.split()
+        yield len(words_), list(compress(words_, keep[row].tolist())) if row in keep else words_, spans.get(row, [])
+
+
+def _cut_bucket(window: int, digest: bool, docs: pa.Table, flags: pa.Table) -> pa.Table:
+    parts: dict[int, list[np.ndarray]] = {}
+    for blob in flags["flags"]:
+        ids, n, keys = unpack(blob.as_buffer())
+        for i, own in zip(ids.tolist(), np.split(keys, np.cumsum(n)[:-1]), strict=True):
+            parts.setdefault(i, []).append(own)
+    flagged = {i: np.unique(np.concatenate(x)) for i, x in parts.items()}
+    rows: list[tuple] = []
+    for blob in docs["texts"]:
+        ids, sizes, data = unpack(blob.as_buffer())
+        ends = np.cumsum(sizes)
+        texts = [data[a:b].tobytes() for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+        for i, (n, kept, spans) in zip(ids.tolist(), _cut(window, texts, ids, flagged), strict=True):
+            text = b" ".join(kept)
+            what = (hashlib.sha256(text).hexdigest(),) if digest else (text.decode(), spans)
+            rows.append((None if i == NO_ID else i, n, n - len(kept), *what))
+    kinds = [pa.int64()] * 3 + [pa.string()] + [pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))] * (not digest)
+    names = ["doc_id", "n_words", "n_removed", *(["kept_sha256"] if digest else ["kept", "repeats"])]
+    columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def remove_repeats(
+    docs: DataFrame,
+    window: int = WINDOW,
+    *,
+    group_suffixes: int = GROUP_SUFFIXES,
+    cells: int = CELLS,
+    documents_per_bucket: int = DOCUMENTS_PER_BUCKET,
+    digest: bool = False,
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, the kept text and the removed word ranges.
 
     With ``digest`` the text's SHA-256 is returned in place of text and ranges. Words are what ASCII white space
     separates. A window is repeated if a document with a smaller id has it (a null id is larger than all; rows with
-    one id do not repeat each other). Null texts have no words. Only doc_id and text are read.
+    one id do not repeat each other). Null texts have no words. Only doc_id and text are read. Documents and what
+    is known of their windows meet in buckets of ids.
     """
-    flags = repeated_windows(docs, window, group_suffixes=group_suffixes, cells=cells).withColumnRenamed("doc_id", "_id")
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    joined = rows.join(flags, rows["doc_id"].eqNullSafe(flags["_id"]), "left").select("doc_id", "text", "keys")
+    buckets = max(1, -(-rows.count() // documents_per_bucket))
+    flags = repeated_windows(rows, buckets, window, group_suffixes=group_suffixes, cells=cells)
+
+    def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _pack_texts(buckets, batches)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _digest(_cut(window, batches)) if digest else _cut(window, batches)
+    def cut(texts: pa.Table, flags: pa.Table) -> pa.Table:
+        return _cut_bucket(window, digest, texts, flags)
 
     kept = "kept_sha256 string" if digest else "kept string, repeats array<struct<start:int,end:int>>"
-    return joined.mapInArrow(cut, f"doc_id long, n_words long, n_removed long, {kept}")
+    texts = rows.mapInArrow(pack_texts, "bucket int, texts binary")
+    schema = f"doc_id long, n_words long, n_removed long, {kept}"
+    return texts.groupBy("bucket").cogroup(flags.groupBy("bucket")).applyInArrow(cut, schema)
