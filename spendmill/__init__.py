@@ -3,7 +3,7 @@
 from .config import MillConfig, assert_utc, build_session, pin_utc
 from .operators import *  # noqa: F401,F403
 from .operators import __all__ as _operators
-from .sources import EVENTS_V1, EVENTS_V2, LayerTables, clean_events, load_events
+from .sources import EVENTS_V1, EVENTS_V2, LayerTables, clean_events, load_drifting, load_events
 
 __all__ = [
     *_operators,
@@ -14,6 +14,7 @@ __all__ = [
     "assert_utc",
     "build_session",
     "clean_events",
+    "load_drifting",
     "load_events",
     "pin_utc",
 ]

@@ -19,11 +19,15 @@ QUARANTINE_EVENTS = "quarantine_events"
 DAILY_SPEND = "daily_advertiser_spend"
 
 
+FILE_FORMATS = ("parquet", "orc")
+
+
 @dataclass(frozen=True)
 class MillConfig:
     """Where the layer tables live and how rows are normalised.
 
-    ``fmt`` may be any table format the cluster offers; only Parquet is assumed to exist.
+    ``fmt`` is a file format: layers are rewritten and dropped partition by partition, which transactional table
+    formats refuse. For those, ``merge_statement`` renders the upsert.
     """
 
     fmt: str = "parquet"
@@ -38,6 +42,10 @@ class MillConfig:
     order: str = "ingest_time"
     tie_breakers: Sequence[str] = ("cost_raw", "currency", "advertiser_id", "event_time_utc")
 
+    def __post_init__(self) -> None:
+        if self.fmt not in FILE_FORMATS:
+            raise ValueError(f"fmt must be one of {FILE_FORMATS}, not {self.fmt!r}")
+
     def table(self, layer: str, name: str) -> str:
         parts = [self.catalog, getattr(self, layer), name]
         return ".".join(p for p in parts if p)

@@ -61,7 +61,8 @@ def _now(now: Column | dt.datetime | str | None) -> Column:
 def dq_report(df: DataFrame, rules: Sequence[Rule | Mapping], now: Column | dt.datetime | str | None = None) -> DataFrame:
     """One row per rule: (rule_no, rule, column, threshold, actual_value, passed).
 
-    All rules share one aggregation over ``df``. Uniqueness counts NULL as one value. Freshness is
+    Null rates, freshness and the row count share one aggregation over ``df``; each column that must be unique is
+    made distinct on its own, so no row is multiplied by the rules. Uniqueness counts NULL as one value. Freshness is
     hours from the newest instant to ``now`` (default: the clock); without any instant its value is
     NULL and it fails. An empty frame has null rate 0.
     """
@@ -70,13 +71,14 @@ def dq_report(df: DataFrame, rules: Sequence[Rule | Mapping], now: Column | dt.d
         raise ValueError("no rules given")
     total = F.count(F.lit(1)).cast("double")
     measures: list[Column] = [total.alias("_rows")]
+    distinct: dict[str, DataFrame] = {}
     for i, rule in enumerate(parsed):
         c = F.col(rule.column)
         if rule.type == "null_rate":
             measure = F.coalesce(F.count_if(c.isNull()) / F.nullif(total, F.lit(0.0)), F.lit(0.0))
         elif rule.type == "uniqueness":
-            null_seen = F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))
-            measure = (F.count_distinct(c) + null_seen).cast("double")
+            distinct[f"_m{i}"] = df.select(c).distinct().agg(F.count(F.lit(1)).cast("double"))
+            continue
         else:
             measure = unix_hours_between(F.max(_as_instant(df, rule.column)), _now(now))
         measures.append(measure.alias(f"_m{i}"))
@@ -95,7 +97,11 @@ def dq_report(df: DataFrame, rules: Sequence[Rule | Mapping], now: Column | dt.d
                 F.coalesce(ok, F.lit(False)).alias("passed"),
             )
         )
-    return df.agg(*measures).select(F.inline(F.array(*lines)))
+    measured = df.agg(*measures)
+    for name, count in distinct.items():
+        # One row each: the counts stand side by side.
+        measured = measured.join(F.broadcast(count.toDF(name)))
+    return measured.select(F.inline(F.array(*lines)))
 
 
 def run_dq_checks(

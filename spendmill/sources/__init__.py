@@ -1,4 +1,4 @@
-from .readers import clean_events, load_events
+from .readers import clean_events, load_drifting, load_events
 from .schemas import ADVERTISERS, EVENTS_V1, EVENTS_V2
 from .tables import LayerTables
 from .vendor import advertisers, inr_rates, vendor_feeds
@@ -11,6 +11,7 @@ __all__ = [
     "advertisers",
     "clean_events",
     "inr_rates",
+    "load_drifting",
     "load_events",
     "vendor_feeds",
 ]

@@ -39,8 +39,6 @@ class LayerTables:
             gone = [f for f in self.read(table).schema.fields if f.name not in df.columns]
             df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in gone}) if gone else df
         writer = df.write.format(self.config.fmt).mode("overwrite")
-        if self.config.fmt == "delta":
-            writer = writer.option("mergeSchema" if keep_old_columns else "overwriteSchema", "true")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(table)

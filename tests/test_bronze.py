@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from spendmill import load_drifting  # noqa: I001
 from spendmill import (
     EVENTS_V1,
     EVENTS_V2,
@@ -107,3 +108,21 @@ def test_rescue_and_payload_lose_nothing(spark):
 def test_distinct_sample_is_deterministic(spark):
     df = spark.range(100).select((F.col("id") % 30).alias("k"))
     assert [r.k for r in distinct_sample(df, ["k"], 10).collect()] == list(range(10))
+
+
+def test_drifting_files_lose_nothing(spark, tmp_path):
+    """Two headers in one folder: other order, extra columns, a bad number and a missing column."""
+    (tmp_path / "a.csv").write_text(
+        "campaign,event_id,event_time,ingest_time,advertiser_id,currency,spend,clicks\n"
+        'c1,1,2024-01-01T00:00:00Z,2024-01-01T01:00:00Z,7,USD,1.5,9\n"c,2",2,N/A,2024-01-01T01:00:00Z,7,USD,oops,\n'
+    )
+    (tmp_path / "b.csv").write_text("event_id,media_cost,viewability,currency\n3,2.5,0.7,INR\n")
+    got = {r.event_id: r for r in load_drifting(spark, str(tmp_path), EVENTS_V1).collect()}
+    assert set(got) == {"1", "2", "3"}
+    assert (got["1"].spend, got["1"].schema_version, got["1"]._corrupt_record) == (1.5, "v1", None)
+    assert json.loads(got["1"]._rescued_data) == {"campaign": "c1", "clicks": "9"}
+    assert got["2"].spend is None and "oops" in got["2"]._corrupt_record
+    assert json.loads(got["2"]._rescued_data) == {"campaign": "c,2", "clicks": None}
+    assert (got["3"].spend, got["3"].schema_version, got["3"].currency) == (None, "v2", "INR")
+    assert json.loads(got["3"]._rescued_data) == {"media_cost": "2.5", "viewability": "0.7"}
+    assert got["3"].source_file.endswith("b.csv")

@@ -11,6 +11,7 @@ from spendmill.operators import checks as C
 NOW = "2024-01-31T00:00:00Z"
 
 
+# The three example cases below must give what they are documented to give.
 def test_null_rate_over_its_limit(spark):
     df = spark.createDataFrame([("adv_1",), ("adv_2",), (None,), (None,)], "advertiser_id string")
     (result,) = run_dq_checks(df, [{"type": "null_rate", "column": "advertiser_id", "max_rate": 0.05}])
@@ -67,12 +68,15 @@ def test_rule_mistakes_are_errors(spark):
         dq_report(df, [])
 
 
-def test_all_rules_share_one_scan(spark, tmp_path):
+def test_plain_rules_share_one_scan_and_unique_columns_read_themselves(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10).select("id", F.col("id").alias("other"), F.lit("x").alias("unused")).write.parquet(path)
     rules = [Rule("null_rate", "id", 0.1), Rule("uniqueness", "id"), Rule("uniqueness", "other")]
     plan = dq_report(spark.read.parquet(path), rules)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") == 1 and "unused" not in plan
+    assert plan.count("FileScan parquet") == 3 and "unused" not in plan
+    assert plan.count("ReadSchema: struct<other:") == 1
+    rules = [Rule("null_rate", "id", 0.1), Rule("null_rate", "other", 0.1)]
+    assert dq_report(spark.read.parquet(path), rules)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 
 def test_gate_lists_every_failure(spark):
@@ -118,3 +122,17 @@ def test_unmapped_advertisers_count_null_like_the_anti_join(spark):
     )
     got = {r.measure: r.value for r in C.gold_measures(gold).collect()}
     assert got["gold_unmapped_advertisers"] == 2.0 and got["gold_unmapped_rows"] == 3.0
+
+
+def test_rules_do_not_multiply_rows(spark):
+    df = spark.range(50).selectExpr("id AS a", "id % 7 AS b", "IF(id % 5 = 0, NULL, id) AS c")
+    rules = [{"type": "uniqueness", "column": c} for c in ("a", "b", "c")] + [{"type": "null_rate", "column": "c", "max_rate": 0.1}]
+    report = dq_report(df, rules)
+    assert "Expand" not in report._jdf.queryExecution().executedPlan().toString()
+    got = {(r.rule, r.column): (r.actual_value, r.passed) for r in report.collect()}
+    assert got == {
+        ("uniqueness", "a"): (50.0, True),
+        ("uniqueness", "b"): (7.0, False),
+        ("uniqueness", "c"): (41.0, False),
+        ("null_rate", "c"): (0.2, False),
+    }
