@@ -28,7 +28,7 @@ from .storage import stored
 from .words import Words, alphanumeric, mix, word_slices
 
 ALPHA = 0.4
-GROUP_ENTRIES = 2_000_000
+GROUP_ENTRIES = 1_600_000
 BYTES_PER_WORD = 6
 LEAST_SHARE = 1e-5
 SLICE_BYTES = 1 << 21
@@ -263,8 +263,23 @@ def _columns(table: pa.Table, kind: int) -> tuple[np.ndarray, list[list[np.ndarr
 
 
 def _joined(lists: list[list[np.ndarray]], kinds: list[type]) -> list[np.ndarray]:
-    """Columns of several rows, one after the other."""
-    return [np.concatenate([np.empty(0, dtype=k), *(x[i].astype(k, copy=False) for x in lists)]) for i, k in enumerate(kinds)]
+    """Columns of several rows, one after the other. ``lists`` is emptied on the way, so that nothing is held twice."""
+    out = []
+    for kind in reversed(kinds):
+        out.append(np.concatenate([np.empty(0, dtype=kind), *(x.pop().astype(kind, copy=False) for x in lists)]))
+    return out[::-1]
+
+
+def _times(keys: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For each entry the sum of ``n`` over entries with its key."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, dtype=np.int64)
+    del keys
+    out = np.empty(len(n), dtype=np.int64)
+    if len(n):
+        out[order] = np.repeat(np.add.reduceat(n[order], starts, dtype=np.int64), np.diff(np.append(starts, len(n))))
+    return out
 
 
 def _score_bigrams(setting: Setting, table: pa.Table) -> pa.Table:
@@ -283,14 +298,13 @@ def _score_bigrams(setting: Setting, table: pa.Table) -> pa.Table:
 
     parts, entries = _columns(table, ENTRIES)
     part = np.repeat(np.arange(len(entries), dtype=np.int64), [len(x[1]) for x in entries])
-    unpacked = [[_untable(a, b), _untable(c, d), *rest] for a, b, c, d, *rest in entries]
+    # The columns of numbers are taken first; then the keys are spelled out, one column at a time.
+    document, n, own_context, own_word = _joined([x[4:] for x in entries], [np.int32] * 4)
+    word, context = (np.concatenate([np.empty(0, dtype=np.uint64), *(_untable(x[k], x[k + 1]) for x in entries)]) for k in (2, 0))
     del entries
-    context, word, document, n, own_context, own_word = _joined(unpacked, [np.uint64, np.uint64] + [np.int32] * 4)
-    del unpacked
-    pair, which = np.unique(pair_keys(context, word), return_inverse=True)
-    left = np.bincount(which, n, len(pair)).astype(np.int64)[which] - n
-    del pair, which
+    left = _times(pair_keys(context, word), n) - n
     in_context = np.maximum(known.of(context), setting.words.of(context)) - own_context
+    del context
     # Other documents' bigrams are other documents' words, so a seen one has a context.
     units = np.where(left > 0, log_units(np.maximum(left, 1)) - log_units(np.maximum(in_context, 1)), setting.penalty)
     back = left == 0
