@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .storage import stored
-from .words import text_groups
+from .words import remembered, text_groups
 
 DOCUMENTS_PER_LANGUAGE = 4_000
 MAX_WORDS = 100_000
@@ -170,16 +170,6 @@ class Scorer:
         return weight / weight.sum(axis=1, keepdims=True), n
 
 
-_SCORERS: dict[int, Scorer] = {}  # of this worker, by broadcast
-
-
-def _scorer(key: int, shared) -> Scorer:
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(shared.value)
-    return _SCORERS[key]
-
-
 def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, lang_pred, score) of each row: the likeliest language (ties: the first by name) and its posterior.
 
@@ -187,10 +177,10 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     text are read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    key = uuid.uuid4().int
+    key = f"languages-{uuid.uuid4().hex}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(key, shared)
+        scorer = remembered(key, lambda: Scorer(shared.value))
         for batch in batches:
             texts = [x or "" for x in batch["text"].to_pylist()]
             for lo, hi in text_groups(texts):

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import chain, groupby
 
 import numpy as np
@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from .words import text_groups
+from .words import remembered, text_groups
 
 SPACE = "▁"
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 500_000
 _WORD = re.compile(f"[ {SPACE}]*[^ {SPACE}]+|[ {SPACE}]+")
 _NONE = np.iinfo(np.int64).max
 
@@ -209,18 +209,14 @@ class Encoder:
         return ids, np.concatenate([[0], ends])[words_before]
 
 
-@lru_cache(maxsize=2)
-def _encoder(definition: tuple) -> Encoder:
-    return Encoder(PieceModel(*map(list, definition)))
-
-
 def _mapped(docs: DataFrame, model_path: str, columns: list[tuple[str, pa.DataType]], row: Callable) -> DataFrame:
     """doc_id and what ``row(model, ids)`` gives for each text, with the model's tables sent to the tasks once."""
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(map(tuple, read_model(model_path))))
+    shared = docs.sparkSession.sparkContext.broadcast(read_model(model_path))
+    key = f"pieces-{uuid.uuid4().hex}"
     schema = pa.schema([("doc_id", pa.int64()), *columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value)
+        encoder = remembered(key, lambda: Encoder(PieceModel(*shared.value)))
         for batch in batches:
             texts = [x or "" for x in batch["text"].to_pylist()]
             for lo, hi in text_groups(texts):
@@ -239,10 +235,11 @@ def encode_pieces(docs: DataFrame, model_path: str) -> DataFrame:
 
 def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); null and empty ids give the empty text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(tuple(map(tuple, read_model(model_path))))
+    shared = encoded.sparkSession.sparkContext.broadcast(read_model(model_path))
+    key = f"decoder-{uuid.uuid4().hex}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _encoder(shared.value).model
+        model = remembered(key, lambda: PieceModel(*shared.value))
         for batch in batches:
             texts = [model.decode(np.array(x or [], dtype=np.int32)) for x in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(texts, pa.string())], ["doc_id", "text"])

@@ -10,6 +10,7 @@ pieces all the same fail to align is put together again. Shorter texts are cut a
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .storage import stored
-from .words import text_groups
+from .words import remembered, text_groups
 
 PIECE_CHARS = 32_768
 OVERLAP_CHARS = 256
@@ -89,13 +90,8 @@ class _Counter:
         return counts
 
 
-@lru_cache(maxsize=2)
-def _counter(definition: str) -> _Counter:
-    return _Counter(definition)
-
-
 def _count(definition, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counter = _counter(definition.value)
+    counter = remembered("counter-" + hashlib.md5(definition.value.encode()).hexdigest(), lambda: _Counter(definition.value))
     for batch in batches:
         texts = [x or "" for x in batch["text"].to_pylist()]
         counts = [n for lo, hi in text_groups(texts) for n in counter.count(texts[lo:hi])]

@@ -6,7 +6,7 @@ at the end. Texts are taken in slices of about a megabyte; a longer text is a sl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -121,6 +121,7 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def word_slices(column: pa.Array, alphabet: Alphabet, slice_bytes: int = SLICE_BYTES) -> Iterator[Words]:
     """The words of a column, slice after slice; every row is in exactly one slice."""
+    _REMEMBERED.clear()
     if not len(column):
         return
     data, offsets = text_buffers(column)
@@ -157,6 +158,18 @@ def whole_windows(words: Words, k: int) -> np.ndarray:
     return np.flatnonzero(words.row[:n] == words.row[k - 1 : k - 1 + n]) if n else np.empty(0, dtype=np.int64)
 
 
+#: What this Python worker remembers between tasks: of one operator at a time, since workers outlive jobs.
+_REMEMBERED: dict[str, object] = {}
+
+
+def remembered(key: str, make: Callable[[], object]) -> object:
+    """The worker's object for ``key``, made at first use; whatever was remembered for another key is let go."""
+    if key not in _REMEMBERED:
+        _REMEMBERED.clear()
+        _REMEMBERED[key] = make()
+    return _REMEMBERED[key]
+
+
 def text_groups(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``GROUP_CHARS`` characters; a longer text is a range of its own."""
     lo, size = 0, 0
