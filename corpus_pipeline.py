@@ -5,8 +5,10 @@ drops texts in which it finds no language, exact deduplication all copies but on
 the smallest id of a class of near copies, decontamination every document with a benchmark phrase. The last stage
 encodes what is left.
 
-Decisions go by doc_id (null ids match null ids): rows that repeat an id and a text stay or go together. Empty
-tables pass through every stage; columns beyond those of documents are not carried on.
+Decisions go by row: the first stage numbers the stored rows once (``pipeline_row``), every operator carries the
+number through, and a stage keeps rows by it. Ids may be null or repeated: each row has its own decision, and of a
+group of copies one row stays. Empty tables pass through every stage; columns beyond those of documents and the
+number are not carried on.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendmill.llm.decontaminate import contamination
 from spendmill.llm.exact_dedup import exact_dedup
@@ -23,34 +26,42 @@ from spendmill.llm.pieces import piece_digests
 from spendmill.llm.queries import tokenizer
 from spendmill.llm.storage import stored
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+ROW = "pipeline_row"
+COLUMNS = (*DOCUMENT, ROW)
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is among ``ids`` (a null id too)."""
-    wanted = ids.select(ids["doc_id"].alias("_wanted"))
-    return docs.select(*COLUMNS).join(wanted, docs["doc_id"].eqNullSafe(wanted["_wanted"]), "left_semi")
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` stored with a number of its own for each row."""
+    return stored(docs.select(*DOCUMENT, F.monotonically_increasing_id().alias(ROW)), "rows")
+
+
+def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose number is among those of ``kept``."""
+    return docs.select(*COLUMNS).join(kept.select(ROW), ROW, "left_semi").select(*COLUMNS)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that are null or have no letter: those for which no language is found."""
-    return only(docs, identify_languages(docs).where(f"lang_pred <> '{UNKNOWN}'"))
+    docs = numbered(docs)
+    return only(docs, identify_languages(docs, row_col=ROW).where(f"lang_pred <> '{UNKNOWN}'"))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return only(docs, exact_dedup(docs).where("kept"))
+    return only(docs, exact_dedup(docs, row_col=ROW).where("kept"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each class of texts that share at least 0.8 of their five-word shingles."""
-    return only(docs, near_duplicates(docs).where("class_id <=> doc_id"))
+    """Keeps one row of each class of texts that share at least 0.8 of their five-word shingles: the smallest id's."""
+    return only(docs, near_duplicates(docs, row_col=ROW).where("kept"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return only(docs, contamination(docs, items).where("not contaminated"))
+    by_row = docs.select(F.col(ROW).alias("doc_id"), "text")
+    return only(docs, contamination(by_row, items).where("not contaminated").withColumnRenamed("doc_id", ROW))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

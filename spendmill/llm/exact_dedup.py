@@ -311,26 +311,35 @@ def combined_copies(rows: DataFrame) -> DataFrame:
     return narrow.mapInArrow(_combine_task, _GROUP)
 
 
-def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, digest, n_cp) per row: SHA-256 of the text without ASCII white space, code points of the original."""
+def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """(id, digest, n_cp) per row: SHA-256 of the text without ASCII white space, code points of the original.
+
+    With ``row_col`` also that column, as row.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     bare = F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")
     return docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.unhex(F.sha2(bare.cast("binary"), 256)).alias("digest"),
         F.char_length(text).cast("long").alias("n_cp"),
+        *([F.col(row_col).cast("long").alias("row")] if row_col else []),
     )
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, keys_per_bucket: int = KEYS_PER_BUCKET) -> DataFrame:
+def exact_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, row_col: str | None = None, keys_per_bucket: int = KEYS_PER_BUCKET
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts equal without white space form a group (null counts as empty; empty texts are a group); the longest
     original, then the smallest id stays. A null id comes last. Rows that repeat both the survivor's id and its
     length are the same document and all kept; group_size counts rows. No other column of ``docs`` is read, so
     names cannot clash. An empty table gives an empty result.
+
+    ``row_col`` names a column with a number of its own for each row. It is carried into the result, and exactly one
+    row of each group is kept: of the rows that would be, the one with the smallest number.
     """
-    rows = stored(text_digests(docs, id_col, text_col), "digests")
+    rows = stored(text_digests(docs, id_col, text_col, row_col), "digests")
     buckets = max(1, -(-rows.count() // keys_per_bucket))
     placed = combined_copies(rows).withColumn("bucket", bucket_of(F.col("digest"), buckets))
     groups = placed.groupBy("bucket").applyInArrow(_index_bucket, _GROUP)
@@ -339,7 +348,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     alone = F.col("group_size").isNull()
     keep = F.when(alone, F.col("id")).otherwise(F.col("keep_id"))
     kept = alone | (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("n_cp") == F.col("keep_cp")))
+    if row_col:
+        # The group's first row is marked by its number, so that no group's rows meet in one task.
+        firsts = joined.where(~alone & kept).groupBy("digest").agg(F.min("row").alias("first")).select("first")
+        joined = joined.join(firsts, F.col("row") == F.col("first"), "left")
+        kept = alone | F.col("first").isNotNull()
     return joined.select(
+        *([F.col("row").alias(row_col)] if row_col else []),
         F.col("id").alias("doc_id"),
         keep.alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),

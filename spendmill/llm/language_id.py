@@ -170,11 +170,11 @@ class Scorer:
         return weight / weight.sum(axis=1, keepdims=True), n
 
 
-def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
+def predict_languages(docs: DataFrame, model: LanguageModel, row_col: str | None = None) -> DataFrame:
     """(doc_id, lang_pred, score) of each row: the likeliest language (ties: the first by name) and its posterior.
 
     ``und`` with score 0 where the text is null or has no letter, or the model knows no language. Only doc_id and
-    text are read.
+    text are read, and ``row_col``, a column of numbers that is carried into the result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     key = f"languages-{uuid.uuid4().hex}"
@@ -190,16 +190,21 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     best = posterior.argmax(axis=1)
                     names = [scorer.model.languages[k] if some else UNKNOWN for k, some in zip(best, n, strict=True)]
                     scores = np.where(n > 0, posterior[np.arange(hi - lo), best], 0.0)
-                yield pa.RecordBatch.from_arrays([batch["doc_id"][lo:hi], pa.array(names), pa.array(scores)], ["doc_id", "lang_pred", "score"])
+                carried = [batch[c][lo:hi] for c in numbers]
+                yield pa.RecordBatch.from_arrays([*carried, pa.array(names), pa.array(scores)], [*numbers, "lang_pred", "score"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    numbers = [row_col, "doc_id"] if row_col else ["doc_id"]
+    read = docs.select(*(F.col(c).cast("long").alias(c) for c in numbers), "text")
+    return read.mapInArrow(run, "".join(f"`{c}` long, " for c in numbers) + "lang_pred string, score double")
 
 
-def identify_languages(docs: DataFrame, *, documents_per_language: int = DOCUMENTS_PER_LANGUAGE) -> DataFrame:
+def identify_languages(docs: DataFrame, *, row_col: str | None = None, documents_per_language: int = DOCUMENTS_PER_LANGUAGE) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): learned from rows that are not held out, predicted for all rows.
 
-    Rows with a null id are not held out and not learned from. Repeated rows each get their prediction.
+    Rows with a null id are not held out and not learned from. Repeated rows each get their prediction, with the
+    row's number where ``row_col`` names a column that has it.
     """
     seen = docs.where(F.col("doc_id").isNotNull() & ~is_held_out())
     model = fit_languages(seen, documents_per_language=documents_per_language)
-    return predict_languages(docs, model).select("doc_id", is_held_out().alias("held_out"), "lang_pred", "score")
+    number = [row_col] if row_col else []
+    return predict_languages(docs, model, row_col).select(*number, "doc_id", is_held_out().alias("held_out"), "lang_pred", "score")

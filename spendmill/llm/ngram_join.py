@@ -28,7 +28,7 @@ MAX_HASHES = 320
 BLOCK_NODES = 512
 BLOCK_SHINGLES = 1_000_000
 COLUMNS = 4096
-_SIGNATURE = "doc_id long, node binary, n int, bands array<long>"
+_SIGNATURE = "doc_id long, row long, node binary, n int, bands array<long>"
 
 
 def bands_and_rows(threshold: float, recall: float, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -77,7 +77,7 @@ def _minhash(hashes: np.ndarray, starts: np.ndarray, bands: int, rows: int) -> n
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, node, n, bands) of every row; without words node and bands are null and n is 0."""
+    """(doc_id, row, node, n, bands) of every row; without words node and bands are null and n is 0."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,26 +91,26 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                     sizes.append(len(distinct))
                     nodes.append(_set_id(distinct) if b > a else None)
                     listed.append(next(table) if b > a else None)
-                columns = [batch["doc_id"][words.first : words.first + words.rows], pa.array(nodes, pa.binary())]
-                columns += [pa.array(sizes, pa.int32()), pa.array(listed, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "bands"])
+                columns = [batch[c][words.first : words.first + words.rows] for c in ("doc_id", "row")]
+                columns += [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), pa.array(listed, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "node", "n", "bands"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(sign, _SIGNATURE)
+    return docs.select("doc_id", "row", "text").mapInArrow(sign, _SIGNATURE)
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, node, shingles): the distinct n-gram hashes of each row with words."""
+    """(node, shingles): the distinct n-gram hashes of each row with words."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words in word_slices(batch["text"], alphanumeric()):
                 hashes, bounds = shingles(words, n)
                 distinct = [np.unique(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                columns = [batch["doc_id"][words.first : words.first + words.rows], pa.array([_set_id(x) if len(x) else None for x in distinct], pa.binary())]
+                columns = [pa.array([_set_id(x) if len(x) else None for x in distinct], pa.binary())]
                 columns.append(pa.array([x.tobytes() for x in distinct], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "shingles"])
+                yield pa.RecordBatch.from_arrays(columns, ["node", "shingles"])
 
-    return docs.mapInArrow(collect, "doc_id long, node binary, shingles binary").where("node is not null")
+    return docs.select("text").mapInArrow(collect, "node binary, shingles binary").where("node is not null")
 
 
 def _overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -205,6 +205,7 @@ def near_duplicates(
     n: int = WORDS,
     threshold: float = THRESHOLD,
     recall: float = RECALL,
+    row_col: str | None = None,
     block_nodes: int = BLOCK_NODES,
     block_shingles: int = BLOCK_SHINGLES,
 ) -> DataFrame:
@@ -214,19 +215,26 @@ def near_duplicates(
     have a Jaccard similarity of at least ``threshold``. class_id is the least doc_id that links lead to (nulls
     last), n_links the number of other rows linked to this one, copies included. Texts without words are linked to
     nothing. Rows with the same set are copies, whatever their ids. Only doc_id and text are read.
+
+    ``row_col`` names a column with a number of its own for each row. The result then has it, and kept, which is true
+    for exactly one row of each class: of the least doc_id's rows the one with the least number.
     """
     bands, rows = bands_and_rows(threshold, recall)
+    row = F.col(row_col) if row_col else F.lit(None)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.cast("long").alias("row"), "text")
     signed = stored(signatures(docs, n, bands, rows), "signatures")
     full = signed.where("node is not null")
     # A node's 64-bit id finds candidates; the set itself is what is compared.
-    nodes = full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
+    nodes = full.groupBy("node").agg(first, F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     nodes = stored(nodes.withColumn("id", F.xxhash64("node")), "nodes")
     groups = stored(candidate_groups(nodes), "candidates")
     size = groups.join(nodes.select("id", "n"), "id").groupBy("group").agg(F.count("*").alias("members"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("members") / block_nodes), F.ceil(F.col("total") / block_shingles)).cast("int")
-    wanted = groups.join(size.select("group", blocks.alias("blocks")), "group").join(nodes.select("id", "node", "first_id", "copies"), "id")
-    texts = docs.selectExpr("cast(doc_id as long) doc_id", "text").join(wanted.select("first_id").distinct(), F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    members = _sets(texts, n).select("node", "shingles").join(wanted.drop("first_id"), "node")
+    wanted = groups.join(size.select("group", blocks.alias("blocks")), "group").join(nodes.select("id", "node", "first", "copies"), "id")
+    by = "row" if row_col else "doc_id"
+    texts = docs.select(by, "text").join(wanted.select(F.col("first")[by].alias("first_key")).distinct(), F.col(by).eqNullSafe(F.col("first_key")), "left_semi")
+    members = _sets(texts, n).join(wanted.drop("first"), "node")
     members = members.withColumn("block", F.pmod(F.col("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     pairs = members.withColumn("other", other).select(
@@ -240,14 +248,16 @@ def near_duplicates(
     found = stored(dealt.mapInArrow(verify, "a long, b long, links long"), "links")
     labels = components(found.select("a", "b"))
     linked = found.groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "id")
-    known = nodes.select("node", "id", "first_id", "copies").join(labels.withColumnRenamed("node", "id"), "id", "left").join(linked, "id", "left")
+    known = nodes.select("node", "id", "first", "copies").join(labels.withColumnRenamed("node", "id"), "id", "left").join(linked, "id", "left")
     known = known.where("copies > 1 or links is not null").withColumn("label", F.coalesce("label", "id"))
-    classes = known.groupBy("label").agg(F.min("first_id").alias("class_id"))
-    known = known.join(classes, "label").select("node", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.lit(True).alias("known"))
-    joined = signed.select("doc_id", "node", "n").join(known, "node", "left")
+    classes = known.groupBy("label").agg(F.min("first").alias("class"))
+    known = known.join(classes, "label").select("node", "class", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.lit(True).alias("known"))
+    joined = signed.select("doc_id", "row", "node", "n").join(known, "node", "left")
     return joined.select(
+        *([F.col("row").alias(row_col)] if row_col else []),
         "doc_id",
-        F.when(F.col("known"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(F.col("known"), F.col("class")["doc_id"]).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.col("n").cast("long").alias("n_shingles"),
+        *([(F.col("known").isNull() | (F.col("row") == F.col("class")["row"])).alias("kept")] if row_col else []),
     )
