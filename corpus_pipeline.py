@@ -1,7 +1,7 @@
 """A corpus pipeline over ``documents``: each stage's result is stored and read again by the next.
 
 Every stage works on all rows that its predecessor kept, and its decision takes effect: language identification
-drops texts in which it finds no language, exact deduplication all copies but one, the n-gram Jaccard join all but
+drops texts that are null or have no letter, exact deduplication all copies but one, the n-gram Jaccard join all but
 the smallest id of a class of near copies, decontamination every document with a benchmark phrase. The last stage
 encodes what is left.
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from spendmill.llm.decontaminate import contamination
 from spendmill.llm.exact_dedup import exact_dedup
-from spendmill.llm.language_id import UNKNOWN, identify_languages
+from spendmill.llm.language_id import identify_languages
 from spendmill.llm.ngram_join import near_duplicates
 from spendmill.llm.pieces import piece_digests
 from spendmill.llm.queries import tokenizer
@@ -44,9 +44,9 @@ def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts that are null or have no letter: those for which no language is found."""
+    """Drops texts that are null or have no letter; where no row has a label to learn from, the others stay all the same."""
     docs = numbered(docs)
-    return only(docs, identify_languages(docs, row_col=ROW).where(f"lang_pred <> '{UNKNOWN}'"))
+    return only(docs, identify_languages(docs, row_col=ROW).where("not rejected"))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -171,9 +171,10 @@ class Scorer:
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel, row_col: str | None = None) -> DataFrame:
-    """(doc_id, lang_pred, score) of each row: the likeliest language (ties: the first by name) and its posterior.
+    """(doc_id, lang_pred, score, rejected) of each row: the likeliest language (ties: the first by name), its posterior.
 
-    ``und`` with score 0 where the text is null or has no letter, or the model knows no language. Only doc_id and
+    ``und`` with score 0 where the text is null or has no letter, or the model knows no language; rejected is true
+    for the former alone, whatever the model knows. Only doc_id and
     text are read, and ``row_col``, a column of numbers that is carried into the result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -185,21 +186,24 @@ def predict_languages(docs: DataFrame, model: LanguageModel, row_col: str | None
             texts = [x or "" for x in batch["text"].to_pylist()]
             for lo, hi in text_groups(texts):
                 names, scores = [UNKNOWN] * (hi - lo), np.zeros(hi - lo)
-                if scorer.model.languages:
+                if not scorer.model.languages:
+                    n = np.array([len(words_of(t)) for t in texts[lo:hi]])
+                else:
                     posterior, n = scorer.score(texts[lo:hi])
                     best = posterior.argmax(axis=1)
                     names = [scorer.model.languages[k] if some else UNKNOWN for k, some in zip(best, n, strict=True)]
                     scores = np.where(n > 0, posterior[np.arange(hi - lo), best], 0.0)
                 carried = [batch[c][lo:hi] for c in numbers]
-                yield pa.RecordBatch.from_arrays([*carried, pa.array(names), pa.array(scores)], [*numbers, "lang_pred", "score"])
+                found = [pa.array(names), pa.array(scores), pa.array(n == 0)]
+                yield pa.RecordBatch.from_arrays([*carried, *found], [*numbers, "lang_pred", "score", "rejected"])
 
     numbers = [row_col, "doc_id"] if row_col else ["doc_id"]
     read = docs.select(*(F.col(c).cast("long").alias(c) for c in numbers), "text")
-    return read.mapInArrow(run, "".join(f"`{c}` long, " for c in numbers) + "lang_pred string, score double")
+    return read.mapInArrow(run, "".join(f"`{c}` long, " for c in numbers) + "lang_pred string, score double, rejected boolean")
 
 
 def identify_languages(docs: DataFrame, *, row_col: str | None = None, documents_per_language: int = DOCUMENTS_PER_LANGUAGE) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score): learned from rows that are not held out, predicted for all rows.
+    """(doc_id, held_out, lang_pred, score, rejected): learned from rows that are not held out, predicted for all rows.
 
     Rows with a null id are not held out and not learned from. Repeated rows each get their prediction, with the
     row's number where ``row_col`` names a column that has it.
@@ -207,4 +211,4 @@ def identify_languages(docs: DataFrame, *, row_col: str | None = None, documents
     seen = docs.where(F.col("doc_id").isNotNull() & ~is_held_out())
     model = fit_languages(seen, documents_per_language=documents_per_language)
     number = [row_col] if row_col else []
-    return predict_languages(docs, model, row_col).select(*number, "doc_id", is_held_out().alias("held_out"), "lang_pred", "score")
+    return predict_languages(docs, model, row_col).select(*number, "doc_id", is_held_out().alias("held_out"), "lang_pred", "score", "rejected")

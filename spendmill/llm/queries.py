@@ -95,7 +95,7 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identify_languages(table(spark, sf_dir, "documents"))
+    return identify_languages(table(spark, sf_dir, "documents")).drop("rejected")
 
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import corpus_pipeline as cp
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -37,3 +39,11 @@ def test_null_and_repeated_ids_have_decisions_of_their_own(spark, tmp_path):
 def test_a_fully_repeated_row_stays_once(spark, tmp_path):
     got = survivors(spark, tmp_path, rows((1, FIRST), (1, FIRST), (1, FIRST), (2, "another labelled text"), (3, "more words")))
     assert [i for i, _ in got] == [1, 2, 3]
+
+
+def test_a_table_without_labels_passes_the_language_stage(spark, tmp_path):
+    texts = rows((1, FIRST), (2, "12 34"), (3, None), (4, "words of no known language"), lang=None)
+    assert [i for i, _ in survivors(spark, tmp_path / "null", texts)] == [1, 4]
+    held = [(i, f"held out text number {w}", "en", "a", 20) for i, w in zip(range(400), "ab" * 200) if zlib.crc32(str(i).encode()) % 4 == 2]
+    frame = cp.language_stage(spark, spark.createDataFrame(held, SCHEMA), str(tmp_path))
+    assert frame.count() == len(held) > 0
