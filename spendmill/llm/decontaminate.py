@@ -92,6 +92,7 @@ class Phrases:
     terms: np.ndarray
     windows: np.ndarray
     items: np.ndarray
+    no_id: np.ndarray  # whether the item's id is null (``items`` is 0 there)
 
     def in_slice(self, part: Slice) -> tuple[np.ndarray, np.ndarray]:
         """(phrases all of whose terms the slice has, their term numbers in order of the phrase)."""
@@ -148,24 +149,26 @@ class Block:
 
     @staticmethod
     def of(hashes: dict[int, list[np.ndarray]]) -> Block:
-        """From (length -> rows of item id and hashes)."""
+        """From (length -> rows of whether the item's id is null, item id and hashes)."""
         block = Block()
         for rows in hashes.values():
             table = np.stack(rows)
-            terms, windows = np.unique(table[:, 1:], return_inverse=True)
-            block.phrases.append(Phrases(terms, windows.reshape(len(rows), -1), table[:, 0].view(np.int64)))
+            terms, windows = np.unique(table[:, 2:], return_inverse=True)
+            block.phrases.append(Phrases(terms, windows.reshape(len(rows), -1), table[:, 1].view(np.int64), table[:, 0] > 0))
         return block
 
 
-def query_blocks(items: DataFrame, window: int, block_windows: int = BLOCK_WINDOWS) -> Iterator[Block]:
+def query_blocks(items: DataFrame, window: int, block_windows: int = BLOCK_WINDOWS, null_ids: bool = False) -> Iterator[Block]:
     """Distinct phrases of the items, block by block; no more than a block is held by the driver."""
     held: dict[int, dict[bytes, np.ndarray]] = {}
-    rows = items.where(F.col("item_id").isNotNull()).selectExpr("cast(item_id as long) item_id", "text")
+    rows = items.selectExpr("cast(item_id as long) item_id", "text", "item_id is null no_id")
+    rows = rows if null_ids else rows.where("not no_id")
     for row in rows.toLocalIterator():
         for words in word_slices(pa.array([row["text"]], pa.string()), alphanumeric()):
             length = min(window, len(words.hashes))
             for i in range(len(words.hashes) - length + 1 if length else 0):
-                phrase = np.concatenate([np.array([row["item_id"]], dtype=np.int64).view(np.uint64), words.hashes[i : i + length]])
+                item = np.array([row["no_id"], row["item_id"] or 0], dtype=np.int64).view(np.uint64)
+                phrase = np.concatenate([item, words.hashes[i : i + length]])
                 held.setdefault(length, {})[phrase.tobytes()] = phrase
         if sum(map(len, held.values())) >= block_windows:
             yield Block.of({k: list(v.values()) for k, v in held.items()})
@@ -185,7 +188,7 @@ def _find(block: Block, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
                 phrase, start = phrases.exact(part)
                 np.add.at(covered, start, 1)
                 np.add.at(covered, start + phrases.windows.shape[1], -1)
-                pairs.append(np.stack([part.document(start), phrases.items[phrase]], axis=1))
+                pairs.append(np.stack([part.document(start), phrases.no_id[phrase], phrases.items[phrase]], axis=1))
             inside = np.diff((np.cumsum(covered) > 0).astype(np.int8), prepend=0)
             starts, ends = np.flatnonzero(inside == 1), np.flatnonzero(inside == -1)
             n = len(row["doc_ids"])
@@ -193,8 +196,8 @@ def _find(block: Block, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
             for d, lo, hi in zip(part.document(starts).tolist(), starts.tolist(), ends.tolist(), strict=True):
                 first = int(part.begins[d])
                 hits[d].append({"start": lo - first, "end": hi - first})
-            for d, item in np.unique(np.concatenate(pairs), axis=0).tolist() if pairs else ():
-                items[d].append(item)
+            for d, no_id, item in np.unique(np.concatenate(pairs), axis=0).tolist() if pairs else ():
+                items[d].append(None if no_id else item)
             spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             columns = [pa.array([row["slice"]] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(row["doc_ids"], pa.int64())]
             columns += [pa.array(row["n_words"], pa.int32()), pa.array(hits, spans), pa.array(items, pa.list_(pa.int64()))]
@@ -209,7 +212,7 @@ def _find_close(block: Block, slop: int, batches: Iterator[pa.RecordBatch]) -> I
                 phrase, start = phrases.close(part, slop)
                 document = part.document(start)
                 ids = pa.array([row["doc_ids"][d] for d in document.tolist()], pa.int64())
-                columns = [ids, pa.array(phrases.items[phrase]), pa.array((start - part.begins[document]).astype(np.int32))]
+                columns = [ids, pa.array(phrases.items[phrase], mask=phrases.no_id[phrase]), pa.array((start - part.begins[document]).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "start"])
 
 
@@ -234,13 +237,14 @@ class PositionalIndex:
 
         return self.slices.mapInArrow(run, schema)
 
-    def phrases(self, items: DataFrame, window: int = WINDOW, *, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    def phrases(self, items: DataFrame, window: int = WINDOW, *, block_windows: int = BLOCK_WINDOWS, null_ids: bool = False) -> DataFrame:
         """One row per document: slice, ordinal, doc_id, n_words, hits (word ranges that phrases cover), items.
 
         A phrase is ``window`` consecutive words of an item; an item of fewer words is one phrase, one without
-        words or with a null id is none.
+        words is none. Items with a null id are searched with ``null_ids`` only; they are one null among a document's
+        items.
         """
-        parts = [self._run(_find, b, _FOUND) for b in query_blocks(items, window, block_windows)]
+        parts = [self._run(_find, b, _FOUND) for b in query_blocks(items, window, block_windows, null_ids)]
         if len(parts) <= 1:
             return parts[0] if parts else self._run(_find, Block(), _FOUND)
         all_parts = parts[0]
@@ -274,9 +278,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hits.
 
     ``items`` has item_id and text; other columns of either table are not read. Empty tables are allowed: without
-    items nothing is contaminated.
+    items nothing is contaminated. The words of items with a null id count as any other's; all such items together
+    are one in n_items and have no name in items_sha256, the digest of the ids as text in their order.
     """
-    found = PositionalIndex.build(docs).phrases(items, window)
+    found = PositionalIndex.build(docs).phrases(items, window, null_ids=True)
     names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
     return found.select(
         "doc_id",
