@@ -18,7 +18,6 @@ from functools import partial
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,19 +65,13 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _render(date: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Three records for each page; pages with one id are neighbours."""
-    task, number, last, answered = TaskContext.get().partitionId(), 0, object(), set()
+    """Three records for each page."""
     for batch in batches:
         out: list[bytes] = []
         for page in batch.to_pylist():
-            number += 1
-            page_id, digest, uri = page["page_id"], page["digest"], page["url"]
-            if page_id != last:
-                last, answered = page_id, set()
-            first = not page["equal"] or (page["original"] == page_id and digest not in answered)
-            answered.add(digest)
-            unique = page["equal"] and first
-            head = _record_id(page_id, digest) if unique else _record_id(page_id, digest, task, number)
+            page_id, digest, uri, row = page["page_id"], page["digest"], page["url"], page["row"]
+            first = page["first_row"] is None or page["first_row"] == row
+            head = _record_id(page_id, digest, row)
             payload = (page["html"] or "").encode()
             http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
             about = {"WARC_Target_URI": None if uri is None else _clean(uri), "WARC_Payload_Digest": f"sha1:{digest}"}
@@ -86,7 +79,7 @@ def _render(date: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             if first:
                 out.append(_record("response", head, http.encode() + payload, date, answer, **about))
             else:
-                target = {"WARC_Profile": REVISIT_PROFILE, "WARC_Refers_To": _record_id(page["original"], digest)}
+                target = {"WARC_Profile": REVISIT_PROFILE, "WARC_Refers_To": _record_id(page["original"], digest, page["first_row"])}
                 out.append(_record("revisit", head, http.encode(), date, answer, **about, **target))
             tied = {"WARC_Target_URI": about["WARC_Target_URI"], "WARC_Concurrent_To": head}
             try:
@@ -114,23 +107,19 @@ def write_archives(
     Of rows with equal payloads of at least ``smallest`` bytes the one with the smallest page_id (nulls last) is
     a response, the others revisit it. Null html is an empty payload, a null url gives no target, a null page_id
     no page-id field. Repeated rows are captures of their own.
+
+    The rows are numbered once. Originals are found by digest among rows without their payloads and come to the pages
+    by row number, so pages of one id, null among them, spread over the tasks.
     """
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    hashed = pages.mapInArrow(_digests, "page_id long, url string, html string, digest string")
-    narrow = stored(
-        pages.select("page_id", "html").withColumn("size", F.coalesce(F.octet_length("html"), F.lit(0)))
-        .mapInArrow(_digests, "page_id long, html string, size int, digest string").drop("html"),
-        "digests",
-    )
-    groups = narrow.where(F.col("size") >= smallest).groupBy("digest").agg(F.min("page_id").alias("original"), F.count("*").alias("n"))
-    several = groups.where("n > 1").select("digest", "original")
-    entry = F.struct("digest", "original")
-    known = narrow.join(several, "digest").groupBy("page_id").agg(F.map_from_entries(F.collect_set(entry)).alias("originals"))
-    known = known.select(F.col("page_id").alias("_id"), "originals")
-    planned = hashed.repartition("page_id").join(known, hashed["page_id"].eqNullSafe(known["_id"]), "left")
-    equal = F.coalesce(F.map_contains_key("originals", F.col("digest")), F.lit(False))
-    planned = planned.select("page_id", "url", "html", "digest", equal.alias("equal"), F.col("originals")[F.col("digest")].alias("original"))
-    records = planned.sortWithinPartitions("page_id").mapInArrow(partial(_render, date), "record binary")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.monotonically_increasing_id().alias("row"))
+    hashed = stored(rows.mapInArrow(_digests, "page_id long, url string, html string, row long, digest string"), "pages")
+    large = hashed.where(F.coalesce(F.octet_length("html"), F.lit(0)) >= smallest) if smallest > 0 else hashed
+    narrow = large.select("row", "page_id", "digest")
+    least = F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "row")).alias("least")
+    groups = narrow.groupBy("digest").agg(least, F.count("*").alias("n"))
+    several = groups.where("n > 1").select("digest", F.col("least.page_id").alias("original"), F.col("least.row").alias("first_row"))
+    known = narrow.select("row", "digest").join(several, "digest").select("row", "original", "first_row")
+    records = hashed.join(known, "row", "left").mapInArrow(partial(_render, date), "record binary")
     writer = records.select(F.col("record").cast("string").alias("value")).write
     writer.option("lineSep", END).option("maxRecordsPerFile", records_per_file).option("compression", compression).text(path)
 
