@@ -1,10 +1,11 @@
-"""Substring deduplication with prefix-partitioned suffix trees.
+"""Substring deduplication by hashes of windows, partitioned by prefixes.
 
 A suffix starts at every word that begins a whole window of ``WINDOW`` words. Suffixes are dealt to groups by a
 prefix of theirs, one word long where that prefix is rare enough for memory and 2, 4, 8 or ``WINDOW`` words long
-where it is not; suffixes that share a window share their group. A group's subtree is cut off below depth
-``WINDOW``: its nodes there are the distinct windows, its internal ones (leaves of several documents) the repeats,
-and of each the smallest document keeps its words. Touching windows of a document make up its maximal repeats.
+where it is not; suffixes that share a window share their group. A group compares the hashes of its windows: those
+of several documents are the repeats, and of each the smallest document keeps its words. Suffixes are not ordered
+and no tree is built. Touching windows of a document are one removed range, which need not be a repeat itself: two
+repeats that follow each other directly, from different documents, are one range.
 
 Windows are 64-bit hashes inside a group that another hash chose. A task sends each window of a slice once, with the
 smallest document of the slice; the slice's other documents are known to repeat it, however many they are.
