@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .centroid_clusters import clustered
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
-from .decontaminate import contamination
-from .exact_dedup import exact_dedup
+from .hard_negatives import hard_negatives
 from .language_id import identify_languages
 from .lm_scores import score_documents
+from .mixing import mixed
 from .ngram_join import near_duplicates
 from .pieces import piece_digests
 from .sharding import shard_documents
@@ -227,3 +229,107 @@ SELECT doc_id, n_tokens, n_backoff, units / 1000000 AS log_score,
        CASE WHEN n_tokens > 0 THEN round(units / 1000000 / n_tokens, 6) END AS mean_log_score
 FROM r
 """
+
+
+@query
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustered(table(spark, sf_dir, "embeddings"))
+
+
+def _clusters_sql(clusters: int = 8, rounds: int = 10) -> str:
+    """The rounds written out: each assigns all vectors and takes exact floors of the means."""
+    steps = [
+        """WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, x) - 1 AS cluster, x AS c
+  FROM v ORDER BY sha256('3:' || vec_id) NULLS LAST, x LIMIT {clusters}
+)""",
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(x) AS x, arg_min(cluster, [d, cluster]) AS cluster, min(d) AS distance FROM (
+    SELECT r, vec_id, x, cluster, CAST(list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+    FROM v CROSS JOIN c{n}) GROUP BY r
+)""")
+        if n < rounds:
+            steps.append(f"""s{n} AS (
+  SELECT cluster, i, sum(x[i]) AS s, count(*) AS n FROM a{n}, unnest(generate_series(1, 64)) AS t(i) GROUP BY cluster, i
+), m{n} AS (
+  SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM s{n} GROUP BY cluster
+), c{n + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(m{n}.c, c{n}.c) AS c FROM c{n} LEFT JOIN m{n} USING (cluster)
+)""")
+    return ",\n".join(steps) + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)
+"""
+
+
+ORACLE["op11_centroid_clusters"] = _clusters_sql()
+
+
+@query
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS size,
+         sha256(coalesce(CAST(doc_id AS VARCHAR), '-') || ',' || coalesce(sha256(text), '-') || ',' || coalesce(sha256(source), '-')) AS key
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM d GROUP BY source
+), o AS (  -- in the order in which sources reach their limit as the share of a unit of weight grows
+  SELECT *, row_number() OVER (ORDER BY 3 * source_size / w, source NULLS LAST) AS k FROM s
+), p AS (
+  SELECT *, coalesce(sum(3 * source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS fixed,
+         sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free, sum(source_size) OVER () AS total FROM o
+), u AS (
+  SELECT (total - fixed) / free AS unit FROM p WHERE w * ((total - fixed) / free) < 3 * source_size ORDER BY k LIMIT 1
+), r AS (
+  SELECT source, source_size, least(w * coalesce((SELECT unit FROM u), 0), CAST(3 * source_size AS DOUBLE)) AS target,
+         CASE WHEN source_size > 0 THEN least(least(w * coalesce((SELECT unit FROM u), 0), CAST(3 * source_size AS DOUBLE)) / source_size, 3.0) ELSE 0 END AS rate
+  FROM s
+), n AS (
+  SELECT *, row_number() OVER (PARTITION BY key) - 1 AS occurrence FROM d
+), t AS (
+  SELECT doc_id, size, source_size, target, rate,
+         CAST('0x' || substr(sha256('12,' || key || ',' || occurrence), 1, 13) AS BIGINT) / 4503599627370496 AS drawn
+  FROM n JOIN r ON n.source IS NOT DISTINCT FROM r.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(least(floor(rate) + CASE WHEN drawn < rate - floor(rate) THEN 1 ELSE 0 END, 3) AS BIGINT) * size AS taken
+FROM t
+"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op13_hard_negatives"] = """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)
+), s AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.r AS other, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e AS a JOIN e AS b ON a.vec_id % 100 = 0 AND a.r <> b.r
+), p AS (
+  SELECT r, anchor_id, other, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER pair AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.r = p.r AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW pair AS (PARTITION BY p.r, p.other ORDER BY score DESC, vec_id NULLS LAST) QUALIFY row_number() OVER pair <= 10
+"""
