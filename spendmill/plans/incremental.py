@@ -1,15 +1,14 @@
 """Apply one batch of new or corrected vendor rows to stored layers, rewriting only the days it touches.
 
-Every step can be repeated: raw and quarantined rows are written to the batch's own partition, the
-upsert ignores rows that are not strictly newer, and the rewritten days are staged completely before
-the first one is swapped in. A run that is killed at any point is finished by running it again, or by
-the next batch, which completes what was staged before it adds its own rows. Batches run one at a time.
+Raw and rejected rows, the rewritten days and their daily rows are all staged first and then committed as one version
+of the layers. A run killed before the commit has changed nothing and is to be run again; one killed after it is
+finished by running it again, or by the next load of any kind, before that load looks at the layers. The upsert ignores
+rows that are not strictly newer, so a batch may be applied twice. Loads run one at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
@@ -36,14 +35,12 @@ from ..operators import (
     to_usd,
 )
 from ..operators.rollup import GOLD_COLUMNS
-from ..sources.tables import StoredLayers
+from ..sources.commits import Change
+from ..sources.layers import StoredLayers
 from .batch import by_day, dated
 from .layers import build_labelled
 
 
-STAGED_ROWS = re.compile(r"__([0-9a-f]{24})_rows_[0-9a-f]{8}$")
-
-
 def tag_of(label: str) -> str:
     """A name for the batch's stages that no other label shares."""
     return hashlib.sha256(label.encode()).hexdigest()[:24]
@@ -69,29 +66,26 @@ class IncrementalLoad(StoredLayers):
         fails a rule raises ``DataQualityError``: its raw rows are kept, nothing is published.
         """
         assert_utc(self.spark)
-        tag = tag_of(label)
-        self.tables.ensure_namespaces()
-        for pending in self._pending():
-            # Its days were computed from the rows that are stored now: later batches must find it done.
-            if pending != tag:
-                self._complete(pending)
-        good = self._store_raw(rows, label)
+        tag, tables = tag_of(label), self.tables
+        done = self.recover()
+        if done and done.label == tag:
+            return [date.fromisoformat(d) for d in done.days]
+        batch = tables.conform(rows.withColumns({"ingest_batch": F.lit(label)}), self.bronze)
+        raw = tables.stage(batch, self.bronze, f"{tag}_raw", ["ingest_batch"])
+        good, rejected = split(build_labelled(tables.read(raw), self.config))
+        quarantine = tables.stage(rejected, self.quarantine, f"{tag}_rejected", ["ingest_batch"])
+        changes = [Change(self.bronze, raw, "ingest_batch"), Change(self.quarantine, quarantine, "ingest_batch")]
         if self.rules:
-            enforce(dq_report(good, self.rules, self.now))
-        self._stage_rows(good, tag)
-        return self._complete(tag)
-
-    def _pending(self) -> list[str]:
-        """Tags of batches whose rewritten days are staged but perhaps not all swapped in."""
-        if not self.tables.exists(self.silver):
-            return []
-        return sorted({m[1] for name in self.tables.staged(self.silver) if (m := STAGED_ROWS.search(name))})
-
-    def _complete(self, tag: str) -> list[date]:
-        days = self._swap(tag)
-        self._refresh(days)
-        for part in ("rows", "days", "held", "incoming"):
-            self.tables.drop_staged(self.silver, f"{tag}_{part}")
+            try:
+                enforce(dq_report(good, self.rules, self.now))
+            except DataQualityError:
+                self.publish(f"{tag} refused", changes)
+                raise
+        days, rewritten = self._stage_days(dated(good), tag)
+        if days:
+            changes += [Change(self.silver, rewritten, "event_date", dropped=self._emptied(days, rewritten))]
+            changes += [Change(self.gold, self._stage_gold(rewritten, tag), "event_date", dropped=changes[-1].dropped)]
+        self.publish(tag, changes, days)
         return days
 
     def load_dimension(self, dim: DataFrame) -> list[date]:
@@ -100,89 +94,62 @@ class IncrementalLoad(StoredLayers):
         Sums do not depend on the dimension, so no event is read again.
         """
         tables = self.tables
-        tables.ensure_namespaces()
+        self.recover()
         if not duplicate_keys(dim, "advertiser_id").isEmpty():
             raise DataQualityError("the dimension's advertiser_id is not unique; the stored one stays")
         staged = tables.stage(stamp_ingest(dim), self.dim, "dimension")
-        tables.publish(staged, self.dim, None)
-        if not tables.exists(self.gold):
-            return []
-        before = tables.read(self.gold).withColumnsRenamed(
-            {"advertiser_name": "_name", "is_unmapped_advertiser": "_unmapped"}
-        )
-        renamed = join_dimension(before, tables.read(self.dim))
-        differs = ~(
-            F.col("_name").eqNullSafe(F.col("advertiser_name"))
-            & F.col("_unmapped").eqNullSafe(F.col("is_unmapped_advertiser"))
-        )
-        # One value per calendar day.
-        days = [r.event_date for r in renamed.where(differs).select("event_date").distinct().collect()]
-        if days:
-            affected = renamed.where(F.col("event_date").isin(days)).select(*GOLD_COLUMNS)
-            staged = tables.stage(affected, self.gold, "dimension", ["event_date"])
-            tables.replace_partitions(tables.read(staged), self.gold)
-            tables.drop_staged(self.gold, "dimension")
+        changes, days = [Change(self.dim, staged, None, whole=True)], []
+        if tables.exists(self.gold):
+            before = tables.read(self.gold).withColumnsRenamed(
+                {"advertiser_name": "_name", "is_unmapped_advertiser": "_unmapped"}
+            )
+            renamed = join_dimension(before, tables.read(staged))
+            differs = ~(
+                F.col("_name").eqNullSafe(F.col("advertiser_name"))
+                & F.col("_unmapped").eqNullSafe(F.col("is_unmapped_advertiser"))
+            )
+            # One value per calendar day.
+            days = [r.event_date for r in renamed.where(differs).select("event_date").distinct().collect()]
+            if days:
+                affected = renamed.where(F.col("event_date").isin(days)).select(*GOLD_COLUMNS)
+                changes.append(Change(self.gold, tables.stage(affected, self.gold, "dimension", ["event_date"]), "event_date"))
+        self.publish("dimension", changes, sorted(days))
         return sorted(days)
 
-    def _store_raw(self, rows: DataFrame, label: str) -> DataFrame:
-        """Raw and quarantined rows of the batch, each in its own partition; returns the good rows."""
-        tables = self.tables
-        batch = rows.withColumns({"ingest_batch": F.lit(label)})
-        tables.ensure(self.bronze, batch.schema, ["ingest_batch"])
-        tables.replace_partitions(batch, self.bronze)
-        stored = tables.read(self.bronze).where(F.col("ingest_batch") == label)
-        good, rejected = split(build_labelled(stored, self.config))
-        tables.ensure(self.quarantine, rejected.schema, ["ingest_batch"])
-        tables.replace_partitions(rejected, self.quarantine)
-        return dated(good)
-
-    def _stage_rows(self, good: DataFrame, tag: str) -> None:
+    def _stage_days(self, good: DataFrame, tag: str) -> tuple[list[date], str]:
+        """The days that the batch touches, and the staged clean events of those days after the upsert."""
         tables, c = self.tables, self.config
-        tables.ensure(self.silver, good.schema, ["event_date"])
-        tables.add_columns(self.silver, good.schema)
-        if tables.find_staged(self.silver, f"{tag}_rows") is None:
+        if tables.exists(self.silver):
             current = tables.read(self.silver)
-            newest = dedup_latest(good, c.key, c.order, c.tie_breakers)
-            incoming = tables.read(tables.stage(newest, self.silver, f"{tag}_incoming"))
-            held = held_rows(current, incoming, c.key, c.order, F.col("event_date"))
-            held = tables.read(tables.stage(held, self.silver, f"{tag}_held"))
-            winners = beating(incoming, held, c.key, c.order)
-            tables.drop_staged(self.silver, f"{tag}_days")
-            tables.stage(days_of_change(held, winners, c.key), self.silver, f"{tag}_days")
-            # The listed days become partition filters: the rest of the table is not opened.
-            affected = current.where(F.col("event_date").isin(self._days(tag)))
-            tables.stage(by_day(replace_rows(affected, winners, c.key)), self.silver, f"{tag}_rows", ["event_date"])
-
-    def _swap(self, tag: str) -> list[date]:
-        tables = self.tables
-        days = self._days(tag)
-        rewritten = tables.read(tables.find_staged(self.silver, f"{tag}_rows"))
-        tables.replace_partitions(rewritten, self.silver)
-        tables.drop_days(self.silver, self._emptied(days, rewritten))
-        return days
-
-    def _days(self, tag: str) -> list[date]:
-        """Days the batch touches. One value per calendar day, so the list is bounded by the calendar."""
-        name = self.tables.find_staged(self.silver, f"{tag}_days")
-        return [r.event_date for r in self.tables.read(name).distinct().orderBy("event_date").collect()]
-
-    def _emptied(self, days: list[date], rewritten: DataFrame) -> list[date]:
-        left = {r.event_date for r in rewritten.select("event_date").distinct().collect()}
-        return [d for d in days if d not in left]
-
-    def _refresh(self, days: list[date]) -> None:
-        """Recompute the daily rows of ``days`` from the stored clean events of those days."""
-        tables = self.tables
-        events = tables.read(self.silver).where(F.col("event_date").isin(days)).drop("event_date")
-        fresh = by_day(daily_spend(to_usd(events, self.config.usd_rates), self._dimension()))
-        tables.ensure(self.gold, fresh.schema, ["event_date"])
-        tables.replace_partitions(fresh, self.gold)
-        present = tables.read(self.silver).where(F.col("event_date").isin(days))
-        tables.drop_days(self.gold, self._emptied(days, present))
-
-    def _dimension(self) -> DataFrame:
+        else:
+            current = self.spark.createDataFrame([], good.schema)
+        newest = dedup_latest(good, c.key, c.order, c.tie_breakers)
+        incoming = tables.read(tables.stage(newest, self.silver, f"{tag}_incoming"))
+        held = held_rows(current, incoming, c.key, c.order, F.col("event_date"))
+        held = tables.read(tables.stage(held, self.silver, f"{tag}_held"))
+        winners = beating(incoming, held, c.key, c.order)
+        # One value per calendar day, so the list is bounded by the calendar.
+        touched = days_of_change(held, winners, c.key).distinct().collect()
+        days = sorted(r.event_date for r in touched)
+        if not days:
+            return [], ""
+        # The listed days become partition filters: the rest of the table is not opened.
+        affected = current.where(F.col("event_date").isin(days))
+        return days, tables.stage(by_day(replace_rows(affected, winners, c.key)), self.silver, f"{tag}_rows", ["event_date"])
+
+    def _stage_gold(self, rewritten: str, tag: str) -> str:
+        """The daily rows of the rewritten days, from their staged events: those are all the events of the days."""
+        events = self.tables.read(rewritten)
+        fresh = daily_spend(to_usd(events.drop("event_date"), self.config.usd_rates), self._dimension(events))
+        return self.tables.stage(by_day(fresh), self.gold, f"{tag}_gold", ["event_date"])
+
+    def _emptied(self, days: list[date], rewritten: str) -> list[str]:
+        left = {r.event_date for r in self.tables.read(rewritten).select("event_date").distinct().collect()}
+        return [str(d) for d in days if d not in left]
+
+    def _dimension(self, events: DataFrame) -> DataFrame:
         if self.tables.exists(self.dim):
             return self.tables.read(self.dim)
-        kind = self.tables.read(self.silver).schema["advertiser_id"].dataType
+        kind = events.schema["advertiser_id"].dataType
         fields = [T.StructField("advertiser_id", kind), T.StructField("advertiser_name", T.StringType())]
         return self.spark.createDataFrame([], T.StructType(fields))

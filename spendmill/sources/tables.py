@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 import uuid
 from collections.abc import Iterable, Sequence
 
@@ -30,19 +29,21 @@ class LayerTables:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(table)
 
-    def overwrite(
-        self, df: DataFrame, table: str, partition_by: Sequence[str] = (), keep_old_columns: bool = False
-    ) -> None:
-        """Replace the table. ``keep_old_columns`` makes the schema change additive: a column the
-        table had and ``df`` lacks stays, filled with NULL."""
-        if keep_old_columns and self.exists(table):
-            gone = [f for f in self.read(table).schema.fields if f.name not in df.columns]
-            df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in gone}) if gone else df
+    def overwrite(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+        """Replace the table."""
         writer = df.write.format(self.config.fmt).mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(table)
 
+    def conform(self, df: DataFrame, table: str) -> DataFrame:
+        """``df`` with all columns of ``table``, in its types: what ``df`` lacks is NULL, what is new comes after."""
+        if not self.exists(table):
+            return df
+        fields = {f.name: f.dataType for f in self.read(table).schema.fields}
+        known = [(F.col(n) if n in df.columns else F.lit(None)).cast(k).alias(n) for n, k in fields.items()]
+        return df.select(*known, *(c for c in df.columns if c not in fields))
+
     def ensure(self, table: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
         """Create the table, without rows, if it does not exist yet."""
         if not self.exists(table):
@@ -71,14 +72,14 @@ class LayerTables:
         finally:
             conf.set(setting, before)
 
-    def drop_days(self, table: str, days: Iterable[object], column: str = "event_date") -> None:
-        """Remove whole partitions, for days (or other values) that no longer have any row."""
+    def drop_partitions(self, table: str, column: str, values: Iterable[str], kind: str) -> None:
+        """Remove whole partitions, for values (as text) that no longer have any row. Safe to repeat."""
 
-        def literal(value: object) -> str:
-            escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
-            return f"DATE '{value}'" if isinstance(value, datetime.date) else f"'{escaped}'"
+        def literal(value: str) -> str:
+            escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+            return f"DATE '{value}'" if kind == "date" else f"'{escaped}'"
 
-        specs = ", ".join(f"PARTITION ({column} = {literal(d)})" for d in days)
+        specs = ", ".join(f"PARTITION ({column} = {literal(v)})" for v in values)
         if specs:
             self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
@@ -89,55 +90,32 @@ class LayerTables:
         self.overwrite(df, name, partition_by)
         return name
 
-    def find_staged(self, table: str, label: str) -> str | None:
-        """A completed staged table of this label, if an earlier attempt left one."""
-        namespace, base = table.rsplit(".", 1)
-        found = self.spark.sql(f"SHOW TABLES IN {namespace} LIKE '{base}__{label}_*'").select("tableName").take(1)
-        return f"{namespace}.{found[0][0]}" if found else None
-
     def staged(self, table: str) -> list[str]:
         """Names of all completed staged tables of ``table`` (as many as unfinished loads)."""
         namespace, base = table.rsplit(".", 1)
-        return [r.tableName for r in self.spark.sql(f"SHOW TABLES IN {namespace} LIKE '{base}__*'").collect()]
+        found = self.spark.sql(f"SHOW TABLES IN {namespace} LIKE '{base}__*'").select("tableName").collect()
+        return [f"{namespace}.{r.tableName}" for r in found]
 
-    def drop_staged(self, table: str, label: str) -> None:
-        while staged := self.find_staged(table, label):
-            self.spark.sql(f"DROP TABLE {staged}")
+    def drop_staged(self, table: str) -> None:
+        for staged in self.staged(table):
+            self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
 
-    def publish(self, staged: str, table: str, day: str | None = "event_date", keep_old_columns: bool = False) -> None:
+    def publish(self, staged: str, table: str, day: str | None = "event_date") -> None:
         """Make ``table`` equal to a finished staged table, partition by partition (or whole without ``day``).
 
-        Readers keep the table throughout. A table with other columns or types is replaced whole, but for
-        ``keep_old_columns``, which lets columns only be added.
+        Readers keep the table throughout, but for one with other columns or types, which is replaced whole. Safe to
+        repeat; the staged table stays.
         """
         new = self.read(staged)
         kinds = {f.name: f.dataType for f in new.schema.fields}
         held = {f.name: f.dataType for f in self.read(table).schema.fields} if self.exists(table) else None
-        if held is not None and keep_old_columns and all(held.get(c, t) == t for c, t in kinds.items()):
-            held = kinds
         if held != kinds:
-            self.overwrite(new, table, [day] if day else [], keep_old_columns)
+            self.overwrite(new, table, [day] if day else [])
         elif day is None:
             new.select(*self.read(table).columns).write.insertInto(table, overwrite=True)
         else:
             # One value per calendar day on either side.
             gone = self.read(table).select(day).distinct().join(new.select(day).distinct(), day, "left_anti")
-            days = [r[0] for r in gone.collect()]
+            days = [str(r[0]) for r in gone.collect()]
             self.replace_partitions(new, table)
-            self.drop_days(table, days, day)
-        self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
-
-
-class StoredLayers:
-    """The names of the stored layers under one configuration."""
-
-    def __init__(self, spark: SparkSession, config: MillConfig | None = None):
-        self.spark = spark
-        self.tables = LayerTables(spark, config)
-        self.config = c = self.tables.config
-        self.bronze = c.table("bronze", RAW_EVENTS)
-        self.dim = c.table("bronze", ADVERTISER_DIM)
-        self.silver = c.table("silver", CLEAN_EVENTS)
-        self.quarantine = c.table("silver", QUARANTINE_EVENTS)
-        self.gold = c.table("gold", DAILY_SPEND)
-        self.report = c.table("gold", "load_report")
+            self.drop_partitions(table, day, days, kinds[day].simpleString())
