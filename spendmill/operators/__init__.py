@@ -21,7 +21,19 @@ from .cleanse import (
     with_offset,
 )
 from .dedup import dedup_latest, duplicate_keys, exact_dedup, purge_keys
+from .deltas import (
+    changed_activity,
+    merge_state,
+    refresh_rolling,
+    refresh_streaks,
+    replaced_rows,
+    spend_of_state,
+    spend_state,
+    stale_frames,
+    state_changes,
+)
 from .dimension import join_dimension, orphans, unique_dimension, unknown_names
+from .fingerprints import differing_nodes, fingerprints, layer_differences
 from .money import fill_daily, to_usd, to_usd_daily
 from .quality import DataQualityError, Rule, dq_report, enforce, run_dq_checks
 from .rollup import daily_spend, on_days, refresh_days

@@ -11,6 +11,7 @@ from ..operators import checks as C
 from ..operators import (
     active_days,
     beating,
+    changed_activity,
     daily_spend,
     days_of_change,
     dedup_latest,
@@ -22,15 +23,23 @@ from ..operators import (
     held_rows,
     join_dimension,
     keep_payload,
+    layer_differences,
     longest_streak,
+    merge_state,
     orphans,
     parse_event_time,
     purge_keys,
     refresh_days,
+    refresh_rolling,
+    refresh_streaks,
+    replaced_rows,
     replace_rows,
     rescue_unknown,
     rolling_spend,
+    spend_of_state,
+    spend_state,
     split,
+    state_changes,
     streaks,
     to_usd,
     to_usd_daily,
@@ -328,6 +337,63 @@ def gold_incremental(x: Layers) -> DataFrame:
     return gold_columns(refresh_days(gold, corrected, x.dim, days_of_change(held, won)))
 
 
+class Amended:
+    """Stored sums per day and advertiser before and after the amendments, and the signed changes between them."""
+
+    def __init__(self, x: Layers):
+        old = x.before_corrections
+        incoming = settle(dedup_latest(x.amendments, tie_breakers=x.config.tie_breakers))
+        won = settle(to_usd(beating(incoming, held_rows(old, incoming))))
+        self.changes = settle(state_changes(to_usd(replaced_rows(old, won)), won))
+        self.before = settle(spend_state(to_usd(old)))
+        self.after = merge_state(self.before, self.changes)
+
+
+@query
+def gold_delta(x: Layers) -> DataFrame:
+    return gold_columns(spend_of_state(Amended(x).after, x.dim))
+
+
+@query
+def rolling_spend_incremental(x: Layers) -> DataFrame:
+    c = Amended(x)
+    trend = settle(rolling_spend(spend_of_state(c.before, x.dim)))
+    return _trend_columns(refresh_rolling(trend, settle(spend_of_state(c.after, x.dim)), c.changes))
+
+
+@query
+def rolling_spend_calendar_incremental(x: Layers) -> DataFrame:
+    c = Amended(x)
+    trend = settle(rolling_spend(spend_of_state(c.before, x.dim), calendar=True))
+    return _trend_columns(refresh_rolling(trend, settle(spend_of_state(c.after, x.dim)), c.changes, calendar=True))
+
+
+@query
+def streaks_incremental(x: Layers) -> DataFrame:
+    c = Amended(x)
+    appeared, vanished = changed_activity(c.before, settle(c.after), c.changes)
+    return refresh_streaks(settle(streaks(c.before)), settle(appeared), settle(vanished))
+
+
+# -- where layers differ ----------------------------------------------------------------------
+
+COMPARED = ("event_id", "ingest_time", "advertiser_id", "currency", "cost_raw", "event_time_utc")
+
+
+@query
+def changed_event_keys(x: Layers) -> DataFrame:
+    """Which events a late batch changed, found by comparing the layer before and after it."""
+    after = settle(upsert_latest(x.before_corrections, x.amendments).select(*COMPARED))
+    return layer_differences(x.before_corrections.select(*COMPARED), after, COMPARED)
+
+
+@query
+def dedup_difference_keys(x: Layers) -> DataFrame:
+    """The keys behind the difference that ``check_dedup_arithmetic`` only counts."""
+    good = settle(x.good.select(*COMPARED))
+    return layer_differences(good, settle(build_silver(good, x.config)), COMPARED)
+
+
 # -- data quality -----------------------------------------------------------------------------
 
 

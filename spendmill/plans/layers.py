@@ -135,3 +135,18 @@ class Layers:
                 "event_time_utc": F.expr("event_time_utc + INTERVAL 1 DAY * IF(event_id % 5 = 0, 1, 0)"),
             }
         )
+
+    @cached_property
+    def amendments(self) -> DataFrame:
+        """A late batch for a quarter of the advertisers: newer versions of known events, many of which move by two days
+        (so that days lose their last event), and events not seen before."""
+        known = self.before_corrections.where("advertiser_id % 4 = 0")
+        unseen = known.where("event_id % 29 = 1").withColumns({"event_id": F.col("event_id") + 1_000_000_007})
+        late = known.where("event_id % 4 IN (1, 2)").unionByName(unseen)
+        return late.withColumns(
+            {
+                "ingest_time": F.expr("ingest_time + INTERVAL 1 HOUR"),
+                "cost_raw": F.expr("cost_raw * 3"),
+                "event_time_utc": F.expr("event_time_utc + INTERVAL 1 DAY * IF(event_id % 3 = 0, 2, 0)"),
+            }
+        )

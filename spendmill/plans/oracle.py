@@ -78,6 +78,17 @@ ups AS (
     SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingest_time DESC, prio) AS rn
     FROM (SELECT *, 0 AS prio FROM tgt UNION ALL SELECT *, 1 AS prio FROM cor) u) v
   WHERE rn = 1),
+amd AS (
+  SELECT event_id, ingest_time + INTERVAL '1' HOUR AS ingest_time, advertiser_id, currency, cost_raw * 3 AS cost_raw,
+         event_time_utc + INTERVAL '1' DAY * (CASE WHEN event_id % 3 = 0 THEN 2 ELSE 0 END) AS event_time_utc
+  FROM (SELECT * FROM tgt WHERE event_id % 4 IN (1, 2)
+        UNION ALL SELECT * REPLACE (event_id + 1000000007 AS event_id) FROM tgt WHERE event_id % 29 = 1) t
+  WHERE advertiser_id % 4 = 0),
+amended AS (
+  SELECT * EXCLUDE (rn, prio) FROM (
+    SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingest_time DESC, prio) AS rn
+    FROM (SELECT *, 0 AS prio FROM tgt UNION ALL SELECT *, 1 AS prio FROM amd) u) v
+  WHERE rn = 1),
 rates AS (
   SELECT DATE '2024-01-01' + CAST(3 * g AS INTEGER) AS rate_date, 'INR' AS ccy, 80 + (1 + 3 * g) / 10.0 AS rate
   FROM range(10) r(g))
@@ -90,6 +101,19 @@ _TREND = f"""SELECT event_date, advertiser_id, advertiser_name, round(total_spen
         ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS rolling_7day_avg_spend,
   {_PCT} AS pct_change_vs_prior_day FROM gold"""
 
+_CALENDAR_TREND = f"""SELECT event_date, advertiser_id, advertiser_name,
+        round(total_spend_usd, 4) AS total_spend_usd,
+        round(avg(total_spend_usd) OVER (PARTITION BY advertiser_id ORDER BY event_date
+              RANGE BETWEEN INTERVAL '6' DAY PRECEDING AND CURRENT ROW), 4) AS rolling_7day_avg_spend,
+        CASE WHEN event_date - lag(event_date) OVER (PARTITION BY advertiser_id ORDER BY event_date) = 1
+             THEN {_PCT} END AS pct_change_vs_prior_day FROM gold"""
+_CORRECTED_GOLD = """SELECT CAST(u.event_time_utc AS DATE) AS event_date, u.advertiser_id,
+        coalesce(d.advertiser_name, 'UNKNOWN') AS advertiser_name, d.advertiser_id IS NULL AS is_unmapped_advertiser,
+        CAST(sum(CAST(CASE currency WHEN 'INR' THEN cost_raw / 83.0 WHEN 'USD' THEN cost_raw END AS DECIMAL(28, 10))) AS DOUBLE) AS total_spend_usd,
+        count(*) AS event_count
+        FROM ups u LEFT JOIN dim d ON u.advertiser_id = d.advertiser_id GROUP BY 1, 2, 3, 4"""
+_AMENDED_GOLD = _CORRECTED_GOLD.replace("FROM ups u", "FROM amended u")
+
 _NULL_RATE = """SELECT 'null_rate' AS rule, 'currency' AS "column", CAST(0.05 AS DOUBLE) AS threshold,
   round(v, 6) AS actual_value, v <= 0.05 AS passed
   FROM (SELECT count(*) FILTER (WHERE currency IS NULL) / CAST(count(*) AS DOUBLE) AS v FROM allr) q"""
@@ -201,12 +225,7 @@ _SELECTS = {
         round(total_spend_usd, 4) AS total_spend_usd, event_count FROM gold""",
     "unmapped_gold_rows": "SELECT count(*) AS n FROM gold WHERE is_unmapped_advertiser",
     "rolling_spend": f"{_TREND} ORDER BY advertiser_id, event_date",
-    "rolling_spend_calendar": f"""SELECT event_date, advertiser_id, advertiser_name,
-        round(total_spend_usd, 4) AS total_spend_usd,
-        round(avg(total_spend_usd) OVER (PARTITION BY advertiser_id ORDER BY event_date
-              RANGE BETWEEN INTERVAL '6' DAY PRECEDING AND CURRENT ROW), 4) AS rolling_7day_avg_spend,
-        CASE WHEN event_date - lag(event_date) OVER (PARTITION BY advertiser_id ORDER BY event_date) = 1
-             THEN {_PCT} END AS pct_change_vs_prior_day FROM gold""",
+    "rolling_spend_calendar": _CALENDAR_TREND,
     "rolling_spend_one_advertiser": f"""SELECT * FROM ({_TREND}) x WHERE advertiser_id = 7
         ORDER BY event_date LIMIT 10""",
     "active_days": "SELECT DISTINCT advertiser_id, event_date FROM gold WHERE event_count >= 1",
@@ -221,11 +240,22 @@ _SELECTS = {
         UNION SELECT CAST(c.event_time_utc AS DATE)
         FROM cor c LEFT JOIN tgt t ON t.event_id = c.event_id
         WHERE t.event_id IS NULL OR c.ingest_time > t.ingest_time""",
-    "gold_incremental": """SELECT CAST(u.event_time_utc AS DATE) AS event_date, u.advertiser_id,
-        coalesce(d.advertiser_name, 'UNKNOWN') AS advertiser_name, d.advertiser_id IS NULL AS is_unmapped_advertiser,
-        round(CAST(sum(CAST(CASE currency WHEN 'INR' THEN cost_raw / 83.0 WHEN 'USD' THEN cost_raw END AS DECIMAL(28, 10))) AS DOUBLE), 4) AS total_spend_usd,
-        count(*) AS event_count
-        FROM ups u LEFT JOIN dim d ON u.advertiser_id = d.advertiser_id GROUP BY 1, 2, 3, 4""",
+    "gold_incremental": f"SELECT * REPLACE (round(total_spend_usd, 4) AS total_spend_usd) FROM ({_CORRECTED_GOLD}) g",
+    "gold_delta": f"SELECT * REPLACE (round(total_spend_usd, 4) AS total_spend_usd) FROM ({_AMENDED_GOLD}) g",
+    "rolling_spend_incremental": _TREND.replace("FROM gold", f"FROM ({_AMENDED_GOLD}) g"),
+    "rolling_spend_calendar_incremental": _CALENDAR_TREND.replace("FROM gold", f"FROM ({_AMENDED_GOLD}) g"),
+    "streaks_incremental": f"""SELECT advertiser_id, count(*) AS streak_length, min(event_date) AS streak_start, max(event_date) AS streak_end
+        FROM (SELECT advertiser_id, event_date,
+                     event_date - CAST(row_number() OVER (PARTITION BY advertiser_id ORDER BY event_date) AS INTEGER) AS m
+              FROM ({_AMENDED_GOLD}) g WHERE event_count >= 1) i
+        GROUP BY advertiser_id, m""",
+    "changed_event_keys": """SELECT coalesce(t.event_id, u.event_id) AS event_id, CAST(t.event_id IS NOT NULL AS BIGINT) AS left_rows,
+        CAST(u.event_id IS NOT NULL AS BIGINT) AS right_rows, CASE WHEN t.event_id IS NULL THEN 'extra' ELSE 'changed' END AS status
+        FROM tgt t FULL JOIN amended u ON t.event_id = u.event_id
+        WHERE (t.ingest_time, t.advertiser_id, t.currency, t.cost_raw, t.event_time_utc)
+              IS DISTINCT FROM (u.ingest_time, u.advertiser_id, u.currency, u.cost_raw, u.event_time_utc)""",
+    "dedup_difference_keys": """SELECT event_id, count(*) AS left_rows, CAST(1 AS BIGINT) AS right_rows, 'copies' AS status
+        FROM good GROUP BY event_id HAVING count(*) > 1""",
     "dq_null_rate": _NULL_RATE,
     "dq_uniqueness": _UNIQUE_CURRENCY,
     "dq_freshness": _FRESH,
