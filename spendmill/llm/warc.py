@@ -13,7 +13,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 from urllib.parse import urlsplit
 
@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from .storage import stored
 
 RECORDS_PER_FILE = 12_000
+#: A file is read as one value, which Spark bounds at 2 GB: payloads over ``LARGE_BYTES`` go to files of fewer records.
+LARGE_BYTES, FILE_BYTES = 1 << 16, 1 << 28
+UNPACK_BYTES = 1 << 20
 # Names and forms of the WARC 1.1 format.
 VERSION = b"WARC/1.1"
 END = "\r\n\r\n"
@@ -60,8 +63,9 @@ def _record(kind: str, record_id: str, block: bytes, date: str, content_type: st
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        digests = [payload_digest((x or "").encode()) for x in batch["html"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], [*batch.schema.names, "digest"])
+        payloads = [(x or "").encode() for x in batch["html"].to_pylist()]
+        digests, sizes = [payload_digest(x) for x in payloads], pa.array([len(x) for x in payloads], pa.int64())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string()), sizes], [*batch.schema.names, "digest", "size"])
 
 
 def _render(date: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,37 +113,113 @@ def write_archives(
     no page-id field. Repeated rows are captures of their own.
 
     The rows are numbered once. Originals are found by digest among rows without their payloads and come to the pages
-    by row number, so pages of one id, null among them, spread over the tasks.
+    by row number, so pages of one id, null among them, spread over the tasks. No file holds more than
+    ``records_per_file`` records of at most 64 KB payload, or, of larger ones, about 256 MB (and one capture at least).
+    An empty table writes no record.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.monotonically_increasing_id().alias("row"))
-    hashed = stored(rows.mapInArrow(_digests, "page_id long, url string, html string, row long, digest string"), "pages")
-    large = hashed.where(F.coalesce(F.octet_length("html"), F.lit(0)) >= smallest) if smallest > 0 else hashed
-    narrow = large.select("row", "page_id", "digest")
+    hashed = stored(rows.mapInArrow(_digests, "page_id long, url string, html string, row long, digest string, size long"), "pages")
+    narrow = hashed.where(F.col("size") >= smallest).select("row", "page_id", "digest")
     least = F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "row")).alias("least")
     groups = narrow.groupBy("digest").agg(least, F.count("*").alias("n"))
     several = groups.where("n > 1").select("digest", F.col("least.page_id").alias("original"), F.col("least.row").alias("first_row"))
     known = narrow.select("row", "digest").join(several, "digest").select("row", "original", "first_row")
-    records = hashed.join(known, "row", "left").mapInArrow(partial(_render, date), "record binary")
-    writer = records.select(F.col("record").cast("string").alias("value")).write
-    writer.option("lineSep", END).option("maxRecordsPerFile", records_per_file).option("compression", compression).text(path)
-
-
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, list[str]], bytes]]:
-    """(headers, block) of each record of an archive; damage raises ValueError."""
-    at = 0
-    while at < len(data):
-        head = data.find(b"\r\n\r\n", at)
-        lines = data[at:head].decode().split("\r\n")
-        if head < 0 or not lines[0].startswith("WARC/1."):
+    tied = hashed.join(known, "row", "left")
+    largest = hashed.agg(F.max("size").alias("size")).first()["size"] or 0
+    small = F.col("size") <= LARGE_BYTES
+    parts = [(tied, records_per_file)]
+    if largest > LARGE_BYTES:
+        parts = [(tied.where(small), records_per_file), (tied.where(~small), min(records_per_file, 3 * max(1, FILE_BYTES // largest)))]
+    for rows, most in parts:
+        records = rows.mapInArrow(partial(_render, date), "record binary")
+        writer = records.select(F.col("record").cast("string").alias("value")).write.mode("append")
+        writer.option("lineSep", END).option("maxRecordsPerFile", most).option("compression", compression).text(path)
+
+
+def unpacked(content: bytes, step: int = UNPACK_BYTES) -> Iterator[bytes]:
+    """The bytes of an archive in parts of about ``step``: plain, or gzip of any number of members, one after the other."""
+    if content[:2] != b"\x1f\x8b":
+        yield content
+        return
+    view, at = memoryview(content), 0
+    while at < len(view):
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            if at >= len(view):
+                raise ValueError("the last gzip member is cut off")
+            data = view[at : at + step]
+            at += len(data)
+            while len(data) and not member.eof:
+                if part := member.decompress(data, step):
+                    yield part
+                data = member.unconsumed_tail
+        at -= len(member.unused_data)
+        while at < len(view) and view[at] == 0:  # padding between members
+            at += 1
+
+
+class _Parts:
+    """Bytes that come in parts, taken up to a mark or by length; only what is not yet taken is held."""
+
+    def __init__(self, parts: Iterable[bytes]) -> None:
+        self.parts, self.held, self.at, self.before = iter(parts), b"", 0, 0
+
+    def _more(self) -> bool:
+        part = next(self.parts, None)
+        if part is None:
+            return False
+        self.before += self.at
+        self.held, self.at = self.held[self.at :] + part, 0
+        return True
+
+    def place(self) -> int:
+        return self.before + self.at
+
+    def ended(self) -> bool:
+        while self.at >= len(self.held):
+            if not self._more():
+                return True
+        return False
+
+    def until(self, mark: bytes) -> bytes | None:
+        while (end := self.held.find(mark, self.at)) < 0:
+            if not self._more():
+                return None
+        taken, self.at = self.held[self.at : end], end + len(mark)
+        return taken
+
+    def take(self, n: int) -> bytes:
+        """The next ``n`` bytes, or fewer at the end."""
+        if len(self.held) - self.at < n:
+            found = [self.held[self.at :]]
+            size = len(found[0])
+            while size < n and (part := next(self.parts, None)) is not None:
+                found.append(part)
+                size += len(part)
+            self.before += self.at
+            self.held, self.at = b"".join(found), 0
+        taken = self.held[self.at : self.at + n]
+        self.at += len(taken)
+        return taken
+
+
+def parse_records(data: bytes | Iterable[bytes]) -> Iterator[tuple[dict[str, list[str]], bytes]]:
+    """(headers, block) of each record of an archive, given whole or in parts; damage raises ValueError."""
+    parts = _Parts([data] if isinstance(data, bytes) else data)
+    while not parts.ended():
+        at = parts.place()
+        head = parts.until(b"\r\n\r\n")
+        lines = (head or b"").decode(errors="replace").split("\r\n")
+        if not lines[0].startswith("WARC/1."):
             raise ValueError(f"no WARC record at byte {at}")
         headers: dict[str, list[str]] = {}
         for name, _, value in (x.partition(":") for x in lines[1:]):
             headers.setdefault(name.strip().lower(), []).append(value.strip())
-        end = head + 4 + int(headers["content-length"][0])
-        if data[end : end + 4] != b"\r\n\r\n":
+        size = int(headers["content-length"][0])
+        block = parts.take(size)
+        if len(block) < size or parts.take(4) != b"\r\n\r\n":
             raise ValueError(f"the record at byte {at} is cut off")
-        yield headers, data[head + 4 : end]
-        at = end + 4
+        yield headers, block
 
 
 def _parse(with_payload: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,12 +228,11 @@ def _parse(with_payload: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
     names = [x.strip().split(" ")[0] for x in re.sub(r"<[^>]*>", "", _RECORD).split(",")] + ["payload"] * with_payload
 
     def rows(content: bytes) -> Iterator[tuple]:
-        data = zlib.decompress(content, 31) if content[:2] == b"\x1f\x8b" else content
-        for headers, block in parse_records(data):
+        for headers, block in parse_records(unpacked(content)):
             one = {k: v[0] for k, v in headers.items()}
             kind, payload, fields = one["warc-type"], None, {}
             if kind == "metadata":
-                fields = {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in block.decode().split("\r\n")) if k}
+                fields = {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in block.decode(errors="replace").split("\r\n")) if k}
             elif kind == "response":
                 payload = block.partition(b"\r\n\r\n")[2] if one.get("content-type", "").startswith("application/http") else block
             elif kind == "resource":
@@ -177,7 +256,11 @@ def _parse(with_payload: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
 
 
 def read_records(spark: SparkSession, path: str, *, payload: bool = True) -> DataFrame:
-    """One row per record of all archives under ``path``; without ``payload`` its length and digest only."""
+    """One row per record of all archives under ``path``; without ``payload`` its length and digest only.
+
+    Files may be plain or gzip with any number of members, as with a member for each record. A task unpacks a file as it
+    goes, about a megabyte and one record at a time. Damage is an error; no record gives no row.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
     return files.mapInArrow(partial(_parse, payload), _RECORD + ", payload binary" * payload)
 
