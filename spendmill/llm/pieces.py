@@ -3,12 +3,14 @@
 Texts are split where white space follows other characters: no piece of the vocabulary spans such a place (this is
 checked when the model is read). Words not met before are encoded together in merge rounds over one flat symbol
 array: each round finds the best pair rank of every word, merges all its occurrences from the left, compacts the
-array and goes on with the words that still have a pair.
+array and goes on with the words that still have a pair. A word of more than ``LONG_WORD`` characters (a text without
+spaces may be one) merges the same pairs in the same order off a heap, since a round costs its whole length.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -23,6 +25,9 @@ from .words import remembered, text_groups
 
 SPACE = "▁"
 CACHED_WORDS = 500_000
+#: Beyond so many characters a word goes by a heap of its pairs: merge rounds over it would rescan it for each merge.
+LONG_WORD = 128
+CACHED_CHARS = 256
 _WORD = re.compile(f"[ {SPACE}]*[^ {SPACE}]+|[ {SPACE}]+")
 _NONE = np.iinfo(np.int64).max
 
@@ -60,6 +65,7 @@ class PieceModel:
         ranks = np.array([table[tuple(p)] for p in pairs.tolist()], dtype=np.int64).reshape(-1, 2)
         self.pairs = self._pair(pairs[:, 0], pairs[:, 1])
         self.rank, self.merged = ranks[:, 0], ranks[:, 1]
+        self.table = table
         # A merge is eager if no pair that it may create ranks before it: then all its occurrences can go at once.
         best = np.full(self.size, _NONE)
         for side in (0, 1):
@@ -76,6 +82,41 @@ class PieceModel:
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of each word's) for non-empty words, spaces already replaced."""
+        long = [k for k, w in enumerate(words) if len(w) > LONG_WORD]
+        if not long:
+            return self._encode_rounds(words)
+        short = [w for w in words if len(w) <= LONG_WORD]
+        ids, sizes = self._encode_rounds(short) if short else (np.empty(0, np.int32), np.empty(0, np.int64))
+        parts = iter(np.split(ids, np.cumsum(sizes)[:-1]))
+        at = set(long)
+        parts = [self._encode_long(w) if k in at else next(parts) for k, w in enumerate(words)]
+        return np.concatenate(parts), np.array([len(x) for x in parts], dtype=np.int64)
+
+    def _encode_long(self, word: str) -> np.ndarray:
+        """The ids of one word, merging the best pair, leftmost first, off a heap: n log n in its length."""
+        ids, size, table = self.ids, self.size, self.table
+        symbols = [ids.get(c, size + ord(c)) for c in word]
+        n = len(symbols)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [(*found, i, a, b) for i, (a, b) in enumerate(zip(symbols, symbols[1:], strict=False)) if (found := table.get((a, b)))]
+        heap = [(rank, i, merged, a, b) for rank, merged, i, a, b in heap]
+        heapq.heapify(heap)
+        while heap:
+            _, i, merged, a, b = heapq.heappop(heap)
+            j = after[i] if symbols[i] == a else n
+            if j >= n or symbols[j] != b:
+                continue  # one of the two has been merged meanwhile
+            symbols[i], symbols[j] = merged, -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if found := table.get((merged, symbols[k])):
+                    heapq.heappush(heap, (found[0], i, found[1], merged, symbols[k]))
+            if (h := before[i]) >= 0 and (found := table.get((symbols[h], merged))):
+                heapq.heappush(heap, (found[0], h, found[1], symbols[h], merged))
+        return self._bytes(np.array([x for x in symbols if x >= 0], dtype=np.int64))[0]
+
+    def _encode_rounds(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         characters = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
         uniques, where = np.unique(characters, return_inverse=True)
         symbols = np.array([self.symbol(chr(c)) for c in uniques.tolist()], dtype=np.int64)[where]
@@ -118,17 +159,13 @@ class PieceModel:
 
     def _bytes(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Characters that are no piece become the pieces of their UTF-8 bytes; and how many each symbol becomes."""
-        times = np.ones(len(symbols), dtype=np.int64)
-        strange = {s: self.byte_ids[list(chr(s - self.size).encode())] for s in np.unique(symbols[symbols >= self.size]).tolist()}
-        where = {s: np.flatnonzero(symbols == s) for s in strange}
-        for s, at in where.items():
-            times[at] = len(strange[s])
+        kinds, where = np.unique(symbols, return_inverse=True)
+        parts = [self.byte_ids[list(chr(x - self.size).encode())].tolist() if x >= self.size else [x] for x in kinds.tolist()]
+        sizes = np.array([len(x) for x in parts], dtype=np.int64)
+        flat, begins = np.array(list(chain.from_iterable(parts)), dtype=np.int32), np.cumsum(sizes) - sizes
+        times = sizes[where]
         starts = np.cumsum(times) - times
-        ids = np.repeat(symbols, times)
-        for s, at in where.items():
-            for k, i in enumerate(strange[s]):
-                ids[starts[at] + k] = i
-        return ids.astype(np.int32), times
+        return flat[np.arange(int(times.sum())) + np.repeat(begins[where] - starts, times)], times
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of one sequence; in a run of byte pieces, bytes that make no UTF-8 become U+FFFD one by one."""
@@ -183,6 +220,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
+        self.long_words = False  # huge words are let go with the next new ones
         self.flat, self.starts = np.empty(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
     def _learn(self, words: list[str]) -> None:
@@ -195,11 +233,12 @@ class Encoder:
         """(ids of all texts, offsets); every text but an empty one begins with a space of its own."""
         split = [_WORD.findall(f" {t}") if t else [] for t in texts]
         new = set(chain.from_iterable(split)).difference(self.index)
-        if new and len(self.index) + len(new) > CACHED_WORDS:
+        if new and (len(self.index) + len(new) > CACHED_WORDS or self.long_words):
             self._forget()
             new = set(chain.from_iterable(split))
         if new:
             self._learn(list(new))
+            self.long_words = any(len(w) > CACHED_CHARS for w in new)
         at = np.array(list(map(self.index.__getitem__, chain.from_iterable(split))), dtype=np.int64)
         sizes = self.starts[at + 1] - self.starts[at]
         ends = np.cumsum(sizes)
