@@ -1,16 +1,17 @@
 """Token counts of whole texts; huge texts are encoded in overlapping pieces and spliced.
 
 A text over ``piece_chars`` becomes pieces that any task may encode. Neighbouring pieces share an overlap that is
-widened until it holds a position where a word starts after ASCII white space. The tokenizer never looks across
-such a position (white space ends every pre-token, takes no part in composition and is in no special token), so
-a token that starts there in both encodings is a boundary of the whole text's encoding too: left of it the
-earlier piece counts, right of it the later one. A text without such a position stays one piece, and a text whose
-pieces all the same fail to align is put together again. Shorter texts are cut at every such position.
+widened until it holds a certain boundary: a position that no token of the whole text spans. What such positions are
+depends on the tokenizer (``Boundaries``), and a tokenizer for which none are known is refused when it is read. A token
+that starts there in both encodings is a boundary of the whole text's encoding too: left of it the earlier piece counts,
+right of it the later one. A text without such a position stays one piece, and a text whose pieces all the same fail to
+align is put together again. Shorter texts are cut at every such position where white space carries no token.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -29,6 +30,7 @@ OVERLAP_CHARS = 256
 KNOWN_PARTS = 1_000_000
 REMEMBERED_CHARS = 64
 _START = re.compile(r"(?<=[ \t\n\r\x0b\x0c])[\w!-~]")
+_SPACED = re.compile(r"(?<=[!-~]) (?=[!-~])")
 _BREAK = re.compile(r"[ \t\n\r\x0b\x0c]+(?=[\w!-~])")
 _PIECES = "uid long, doc_id long, n_bytes long, number int, begins long, shared long, next long, piece string"
 _COUNTS = "uid long, doc_id long, n_bytes long, number int, total long, head array<long>, head_tokens array<long>, tail array<long>, tail_tokens array<long>"
@@ -45,18 +47,58 @@ def _tokenizer(definition: str):
     return tokenizer
 
 
-def word_starts(text: str, lo: int, hi: int) -> list[int]:
-    """Positions in [lo, hi) of words that follow ASCII white space inside the text."""
-    return [m.start() for m in _START.finditer(text, lo, hi)]
+#: Texts on which a tokenizer is tried: words that are joined by white space of all sorts, marks, digits and long runs.
+_TRIALS = ("a", "it's we'll", "B-52", "x" * 40, "1234567", "é", "!?", "Straße", "漢字", "́a", "don't", "<b>", "A.B.", "😀!")
 
 
-def cut(text: str, piece_chars: int, overlap: int) -> Iterator[tuple[int, int, int, int]]:
+class Boundaries:
+    """Which positions of a text no token spans, as a pattern, and whether the white space between words has tokens.
+
+    * White space dropped: it ends every pre-token, takes no part in composition and is in no special token; words that
+      follow it start a token. This is tried on joined words with every sort of ASCII white space.
+    * Byte-level BPE with the usual pattern and no prefix space: a single space between two ASCII signs starts a token.
+
+    Any other tokenizer is an error: counts of cut texts would be guesses.
+    """
+
+    def __init__(self, definition: str) -> None:
+        told, tokenizer = json.loads(definition), _tokenizer(definition)
+        if any(re.search(r"\s", t["content"]) or t.get("lstrip") or t.get("rstrip") for t in told.get("added_tokens", [])):
+            raise ValueError("an added token holds or takes up white space: texts cannot be cut there")
+        if self._drops_space(tokenizer):
+            self.start, self.cut_words = _START, True
+        elif self._byte_level(told):
+            self.start, self.cut_words = _SPACED, False
+        else:
+            raise ValueError("no certain boundaries are known for this tokenizer: only ones that drop white space, and byte-level BPE")
+
+    @staticmethod
+    def _drops_space(tokenizer) -> bool:
+        ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        pairs = [(_TRIALS[i], _TRIALS[(i + step) % len(_TRIALS)]) for i in range(len(_TRIALS)) for step in (0, 1, 5)]
+        spaces = (" ", "\t", "\n", "\r", "\x0b", "\x0c", "  ", " \t\n ")
+        # A word that starts with a mark is no boundary (see the pattern) and is only tried in front.
+        apart = all(ids(f"{a}{w}{b}") == ids(a) + ids(b) for a, b in pairs for w in spaces if _START.match(f" {b}", 1))
+        return apart and not any(ids(w) for w in spaces)
+
+    @staticmethod
+    def _byte_level(told: dict) -> bool:
+        split = told.get("pre_tokenizer") or {}
+        usual = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+        return bool(usual) and told.get("normalizer") is None
+
+    def starts(self, text: str, lo: int, hi: int) -> list[int]:
+        """Certain boundaries in [lo, hi)."""
+        return [m.start() for m in self.start.finditer(text, lo, hi)]
+
+
+def cut(text: str, piece_chars: int, overlap: int, start: re.Pattern = _START) -> Iterator[tuple[int, int, int, int]]:
     """(begins, end of the part shared with the piece before, start of the next piece, end) of each piece."""
     n, begins, shared = len(text), 0, 0
     while True:
         following = max(begins + piece_chars, shared)
         end, width = following + overlap, overlap
-        while end < n and not (_START.search(text, following + 1, end)):
+        while end < n and not start.search(text, following + 1, end):
             width *= 2  # no certain boundary in the overlap: widen it
             end = following + width
         if end >= n:
@@ -71,9 +113,12 @@ class _Counter:
 
     def __init__(self, definition: str) -> None:
         self.encode = _tokenizer(definition).encode_batch_fast
+        self.cut_words = Boundaries(definition).cut_words
         self.known: dict[str, int] = {}
 
     def count(self, texts: list[str]) -> list[int]:
+        if not self.cut_words:
+            return [len(x) for x in self.encode(texts, add_special_tokens=False)]
         parts = [_BREAK.split(t) for t in texts]
         new = set(chain.from_iterable(parts)).difference(self.known)
         if len(self.known) + len(new) > KNOWN_PARTS:
@@ -99,19 +144,19 @@ def _count(definition, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens"])
 
 
-def _slice(piece_chars: int, overlap: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slice(piece_chars: int, overlap: int, start: re.Pattern, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.strip().split(" ")[0] for x in _PIECES.split(",")]
     for batch in batches:
         for row in batch.to_pylist():
             text = row["text"]
-            for number, (begins, shared, following, end) in enumerate(cut(text, piece_chars, overlap)):
+            for number, (begins, shared, following, end) in enumerate(cut(text, piece_chars, overlap, start)):
                 values = (row["uid"], row["doc_id"], row["n_bytes"], number, begins, shared, following, text[begins:end])
                 kinds = [pa.int64()] * 3 + [pa.int32()] + [pa.int64()] * 3 + [pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
 
 
 def _encode_pieces(definition, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tokenizer = _tokenizer(definition.value)
+    tokenizer, boundaries = _tokenizer(definition.value), Boundaries(definition.value)
     for batch in batches:
         for row in batch.to_pylist():
             text, begins = row["piece"], row["begins"]
@@ -121,7 +166,7 @@ def _encode_pieces(definition, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
                 first_at.setdefault(lo, k)
             out = []
             for lo, hi in ((0, row["shared"] - begins), (row["next"] - begins, len(text))):
-                at = [p for p in word_starts(text, max(lo, 0), max(hi, 0)) if p in first_at]
+                at = [p for p in boundaries.starts(text, max(lo, 0), max(hi, 0)) if p in first_at]
                 out += [[p + begins for p in at], [first_at[p] for p in at]]
             values = (row["uid"], row["doc_id"], row["n_bytes"], row["number"], len(encoding), *out)
             kinds = [pa.int64()] * 3 + [pa.int32(), pa.int64()] + [pa.list_(pa.int64())] * 4
@@ -172,18 +217,23 @@ def token_counts(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes (UTF-8), n_tokens, over_limit.
 
-    ``tokenizer_path`` is a ``tokenizers`` JSON file that the driver can read. Null texts count as empty: no bytes,
-    no tokens. Ids may be null or repeat. Only doc_id and text are read, so other names cannot clash.
+    ``tokenizer_path`` is a ``tokenizers`` JSON file that the driver can read, of a sort that ``Boundaries`` knows (else
+    it is an error). Null texts count as empty: no bytes, no tokens. Ids may be null or repeat; an empty table gives no
+    row. Only doc_id and text are read, so other names cannot clash.
     """
+    spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as file:
-        definition = docs.sparkSession.sparkContext.broadcast(file.read())
+        told = file.read()
+    start = Boundaries(told).start
+    definition = spark.sparkContext.broadcast(told)
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
     # Bytes bound characters, and reading them costs no scan of the text.
     huge = F.col("n_bytes") > piece_chars
     whole = rows.where(~huge).mapInArrow(_with(_count, definition), "doc_id long, n_bytes long, n_tokens long")
     texts = rows.where(huge).select(F.monotonically_increasing_id().alias("uid"), "doc_id", "n_bytes", "text")
-    pieces = stored(texts.mapInArrow(_with(_slice, piece_chars, overlap), _PIECES).repartition("uid", "number"), "pieces")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # stated, as pieces are few bytes and much work
+    pieces = stored(texts.mapInArrow(_with(_slice, piece_chars, overlap, start), _PIECES).repartition(tasks, "uid", "number"), "pieces")
     counted = stored(spliced(pieces.mapInArrow(_with(_encode_pieces, definition), _COUNTS)), "spliced")
     apart = rejoined(pieces.join(counted.where("n_tokens is null").select("uid"), "uid", "left_semi"))
     again = apart.mapInArrow(_with(_count, definition), whole.schema)
