@@ -3,10 +3,11 @@
 from .config import MillConfig, assert_utc, build_session, pin_utc
 from .operators import *  # noqa: F401,F403
 from .operators import __all__ as _operators
-from .sources import EVENTS_V1, EVENTS_V2, LayerTables, clean_events, load_drifting, load_events
+from .sources import EVENTS_ANY, EVENTS_V1, EVENTS_V2, LayerTables, clean_events, load_drifting, load_events
 
 __all__ = [
     *_operators,
+    "EVENTS_ANY",
     "EVENTS_V1",
     "EVENTS_V2",
     "LayerTables",

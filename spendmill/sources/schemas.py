@@ -17,6 +17,8 @@ EVENTS_V1 = T.StructType([*_COMMON, T.StructField("spend", T.DoubleType())])
 EVENTS_V2 = T.StructType(
     [*_COMMON, T.StructField("media_cost", T.DoubleType()), T.StructField("viewability", T.DoubleType())]
 )
+#: Every column that any file version may have.
+EVENTS_ANY = T.StructType([*EVENTS_V1.fields, *EVENTS_V2.fields[len(_COMMON) :]])
 ADVERTISERS = T.StructType(
     [T.StructField("advertiser_id", T.StringType()), T.StructField("advertiser_name", T.StringType())]
 )

@@ -1,3 +1,3 @@
-from .ingest import VendorFolder, folder_stream, start_incremental
+from .ingest import VendorFolder, folder_stream, start_drifting, start_incremental
 
-__all__ = ["VendorFolder", "folder_stream", "start_incremental"]
+__all__ = ["VendorFolder", "folder_stream", "start_drifting", "start_incremental"]

@@ -7,8 +7,9 @@ same label and leaves the tables as they are.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,12 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import MillConfig, checkpoint_root
 from ..operators import Rule, tag_provenance, union_versions
 from ..plans.incremental import IncrementalLoad
-from ..sources.readers import csv_options
+from ..sources.readers import csv_options, load_drifting
+from ..sources.schemas import EVENTS_ANY
+
+
+# What Spark's reader of whole files gives.
+FILES = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
 @dataclass(frozen=True)
@@ -56,18 +62,63 @@ def start_incremental(
     A batch that breaks one of ``rules`` stops the query before anything is published. The checkpoint
     lies under ``spark.checkpoint.dir``; ``checkpoint`` is used where that is unset.
     """
-    load = IncrementalLoad(spark, config, rules)
-    location = f"{checkpoint_root(spark, checkpoint)}/{name}"
     rows = union_versions(*(folder_stream(spark, f) for f in folders))
+    return _ingest(spark, rows, lambda batch: batch, IncrementalLoad(spark, config, rules), name, checkpoint, every)
+
+
+def start_drifting(
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: T.StructType = EVENTS_ANY,
+    config: MillConfig | None = None,
+    name: str = "vendor_drift",
+    checkpoint: str | None = None,
+    every: str | None = None,
+    rules: Sequence[Rule | Mapping] = (),
+    max_files_per_batch: int | None = None,
+    payload: bool = False,
+) -> StreamingQuery:
+    """Like ``start_incremental``, for folders of CSV files whose columns drift from file to file.
+
+    The stream carries the names of new files only; each micro-batch reads its files by their own headers
+    (``load_drifting``): any order of columns, missing ones NULL, undeclared ones in ``_rescued_data``, malformed lines
+    in ``_corrupt_record``, the version told from the columns. ``payload`` keeps every line whole in ``_payload``.
+    """
+
+    def files(path: str) -> DataFrame:
+        reader = spark.readStream.format("binaryFile").schema(FILES)
+        if max_files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+        return reader.load(path).select("path")  # no content is read
+
+    def rows(batch: DataFrame) -> DataFrame:
+        listed = [r.path for r in batch.toLocalIterator()]
+        found = load_drifting(spark, listed, schema, payload)
+        return found.withColumns({"ingested_at": F.current_timestamp()})
+
+    return _ingest(spark, reduce(DataFrame.union, map(files, paths)), rows, IncrementalLoad(spark, config, rules), name, checkpoint, every)
+
+
+def _ingest(
+    spark: SparkSession,
+    stream: DataFrame,
+    rows_of: Callable[[DataFrame], DataFrame],
+    load: IncrementalLoad,
+    name: str,
+    checkpoint: str | None,
+    every: str | None,
+) -> StreamingQuery:
+    location = f"{checkpoint_root(spark, checkpoint)}/{name}"
 
     def take(batch: DataFrame, batch_id: int) -> None:
         # The query id is kept in the checkpoint: a new checkpoint never reuses an old batch's label.
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or name
-        load.apply(batch, f"{query_id}-{batch_id:09d}")
+        if not batch.isEmpty():
+            load.apply(rows_of(batch), f"{query_id}-{batch_id:09d}")
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
-        rows.writeStream.queryName(name)
+        stream.writeStream.queryName(name)
         .option("checkpointLocation", location)
         .trigger(**trigger)
         .foreachBatch(take)

@@ -1,0 +1,52 @@
+"""Files whose columns drift, as a stream: nothing is lost, whatever the header."""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from spendmill import EVENTS_ANY, MillConfig, load_drifting
+from spendmill.plans import IncrementalLoad
+from spendmill.sources.readers import file_headers
+from spendmill.streaming import start_drifting
+
+HEAD = "event_id,event_time,ingest_time,advertiser_id,currency"
+
+
+def test_headers_are_found_file_by_file(spark, tmp_path):
+    (tmp_path / "a b.csv").write_text("x, y\n1,2\n")
+    (tmp_path / "c.csv").write_text("﻿x,y\n" + "3,4\n" * 1000)
+    (tmp_path / "d.csv").write_text('"z,1",w\n')
+    (tmp_path / "empty.csv").write_text("")
+    found = file_headers(spark, str(tmp_path))
+    assert {h: sorted(f.rsplit("/", 1)[1] for f in files) for h, files in found.items()} == {("x", "y"): ["a b.csv", "c.csv"], ("z,1", "w"): ["d.csv"]}
+    assert load_drifting(spark, str(tmp_path / "empty.csv"), EVENTS_ANY).count() == 0
+
+
+def test_drifting_folder_streams_with_nothing_lost(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "v1.csv").write_text(f"{HEAD},spend\n1,2024-01-01T10:00:00Z,2024-01-01T11:00:00Z,adv_1,USD,5.0\n")
+    (folder / "v2.csv").write_text(f"viewability,media_cost,{HEAD}\n0.5,166.0,2,2024-01-02T03:00:00+05:30,2024-01-01T11:00:00Z,adv_1,INR\n")
+    (folder / "more.csv").write_text(f"{HEAD},spend,campaign\n3,2024-01-03T10:00:00Z,2024-01-01T11:00:00Z,adv_2,USD,7.0,summer\n4,N/A,2024-01-01T11:00:00Z,adv_2,USD,oops,x\n")
+    config, checkpoint, name = MillConfig(bronze="db", silver="ds", gold="dg"), str(tmp_path / "cp"), f"drift_{uuid.uuid4().hex}"
+
+    def run() -> None:
+        query = start_drifting(spark, [str(folder)], config=config, name=name, checkpoint=checkpoint, max_files_per_batch=2, payload=True)
+        query.awaitTermination(300)
+        assert query.exception() is None
+
+    run()
+    load = IncrementalLoad(spark, config)
+    raw = {r.event_id: r for r in spark.table(load.bronze).collect()}
+    assert {i: r.schema_version for i, r in raw.items()} == {"1": "v1", "2": "v2", "3": "v1", "4": "v1"}
+    assert json.loads(raw["3"]._rescued_data) == {"campaign": "summer"} and "oops" in raw["4"]._corrupt_record
+    assert json.loads(raw["2"]._payload)["media_cost"] == 166.0 and raw["1"].source_file.endswith("v1.csv")
+    assert {r.event_id: (r.cost_raw, str(r.event_date)) for r in spark.table(load.silver).collect()} == {"1": (5.0, "2024-01-01"), "2": (166.0, "2024-01-01"), "3": (7.0, "2024-01-03")}
+    assert [r.quarantine_reason for r in spark.table(load.quarantine).collect()] == ["malformed_timestamp"]
+    # A correction in a file with yet another header; files seen before are not read again.
+    (folder / "late.csv").write_text("currency,event_id,spend,ingest_time,event_time\nUSD,1,6.0,2024-01-05T00:00:00Z,2024-01-02T10:00:00Z\n")
+    run()
+    assert spark.table(load.bronze).count() == 5
+    gold = {str(r.event_date): (round(r.total_spend_usd, 6), r.event_count) for r in spark.table(load.gold).where("event_date < '2024-01-03'").collect()}
+    assert gold == {"2024-01-01": (2.0, 1), "2024-01-02": (6.0, 1)}
