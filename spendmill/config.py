@@ -41,6 +41,7 @@ class MillConfig:
     key: str = "event_id"
     order: str = "ingest_time"
     tie_breakers: Sequence[str] = ("cost_raw", "currency", "advertiser_id", "event_time_utc")
+    key_buckets: int | None = None  # keep an index of the clean events' keys, in so many buckets
     load_log: str | None = None  # folder of the load log; by default in the location of the raw layer's namespace
 
     def __post_init__(self) -> None:

@@ -38,6 +38,7 @@ from ..operators.rollup import GOLD_COLUMNS
 from ..sources.commits import Change
 from ..sources.layers import StoredLayers
 from .batch import by_day, dated
+from .key_index import KeyIndex
 from .layers import build_labelled
 
 
@@ -70,6 +71,8 @@ class IncrementalLoad(StoredLayers):
         done = self.recover()
         if done and done.label == tag:
             return [date.fromisoformat(d) for d in done.days]
+        if index := self._index():
+            index.make_ready()
         batch = tables.conform(rows.withColumns({"ingest_batch": F.lit(label)}), self.bronze)
         raw = tables.stage(batch, self.bronze, f"{tag}_raw", ["ingest_batch"])
         good, rejected = split(build_labelled(tables.read(raw), self.config))
@@ -81,13 +84,17 @@ class IncrementalLoad(StoredLayers):
             except DataQualityError:
                 self.publish(f"{tag} refused", changes)
                 raise
-        days, rewritten = self._stage_days(dated(good), tag)
+        days, rewritten, entries = self._stage_days(dated(good), tag)
         if days:
+            changes += entries
             changes += [Change(self.silver, rewritten, "event_date", dropped=self._emptied(days, rewritten))]
             changes += [Change(self.gold, self._stage_gold(rewritten, tag), "event_date", dropped=changes[-1].dropped)]
         self.publish(tag, changes, days)
         return days
 
+    def _index(self) -> KeyIndex | None:
+        return KeyIndex(self) if self.config.key_buckets and self.tables.exists(self.silver) else None
+
     def load_dimension(self, dim: DataFrame) -> list[date]:
         """Replace the dimension and rename the daily rows it changes; returns their days.
 
@@ -116,8 +123,9 @@ class IncrementalLoad(StoredLayers):
         self.publish("dimension", changes, sorted(days))
         return sorted(days)
 
-    def _stage_days(self, good: DataFrame, tag: str) -> tuple[list[date], str]:
-        """The days that the batch touches, and the staged clean events of those days after the upsert."""
+    def _stage_days(self, good: DataFrame, tag: str) -> tuple[list[date], str, list[Change]]:
+        """The days that the batch touches, the staged clean events of those days after the upsert, and the winners'
+        entries for the key index, where one is kept."""
         tables, c = self.tables, self.config
         if tables.exists(self.silver):
             current = tables.read(self.silver)
@@ -125,17 +133,19 @@ class IncrementalLoad(StoredLayers):
             current = self.spark.createDataFrame([], good.schema)
         newest = dedup_latest(good, c.key, c.order, c.tie_breakers)
         incoming = tables.read(tables.stage(newest, self.silver, f"{tag}_incoming"))
-        held = held_rows(current, incoming, c.key, c.order, F.col("event_date"))
+        index = self._index()
+        held = index.held(incoming) if index else held_rows(current, incoming, c.key, c.order, F.col("event_date"))
         held = tables.read(tables.stage(held, self.silver, f"{tag}_held"))
         winners = beating(incoming, held, c.key, c.order)
         # One value per calendar day, so the list is bounded by the calendar.
         touched = days_of_change(held, winners, c.key).distinct().collect()
         days = sorted(r.event_date for r in touched)
         if not days:
-            return [], ""
+            return [], "", []
         # The listed days become partition filters: the rest of the table is not opened.
         affected = current.where(F.col("event_date").isin(days))
-        return days, tables.stage(by_day(replace_rows(affected, winners, c.key)), self.silver, f"{tag}_rows", ["event_date"])
+        rewritten = tables.stage(by_day(replace_rows(affected, winners, c.key)), self.silver, f"{tag}_rows", ["event_date"])
+        return days, rewritten, [index.entries(winners, tag)] if index else []
 
     def _stage_gold(self, rewritten: str, tag: str) -> str:
         """The daily rows of the rewritten days, from their staged events: those are all the events of the days."""

@@ -23,7 +23,8 @@ KEPT_RECORDS = 50
 @dataclass(frozen=True)
 class Change:
     """What a load does to one table: ``staged`` replaces it whole, or just the partitions that ``staged`` holds, and
-    partitions of ``dropped`` (values of ``column``, as text) go."""
+    partitions of ``dropped`` (values of ``column``, as text) go. A whole change without ``staged`` drops the table.
+    ``column`` is the partition column, or several with commas between."""
 
     table: str
     staged: str | None
@@ -120,12 +121,19 @@ def log_folder(spark: SparkSession, tables: LayerTables) -> str:
 
 def put_in_place(tables: LayerTables, change: Change) -> None:
     """Make the table what the change says. Repeating it changes nothing."""
+    columns = change.column.split(",") if change.column else []
+    if change.whole and not change.staged:
+        tables.spark.sql(f"DROP TABLE IF EXISTS {change.table}")
+        return
+    if change.whole and len(columns) > 1:
+        tables.replace_all(tables.read(change.staged), change.table, columns)
+        return
     if change.whole:
         tables.publish(change.staged, change.table, change.column)
         return
     if change.staged:
         rows = tables.read(change.staged)
-        tables.ensure(change.table, rows.schema, [change.column])
+        tables.ensure(change.table, rows.schema, columns)
         tables.replace_partitions(rows, change.table)
     if change.dropped:
         kind = tables.read(change.table).schema[change.column].dataType.simpleString()

@@ -24,6 +24,7 @@ class StoredLayers:
         self.quarantine = c.table("silver", QUARANTINE_EVENTS)
         self.gold = c.table("gold", DAILY_SPEND)
         self.report = c.table("gold", "load_report")
+        self.keys = c.table("silver", f"{CLEAN_EVENTS}_keys")
 
     @property
     def layers(self) -> tuple[str, ...]:
@@ -51,11 +52,17 @@ class StoredLayers:
         return pending
 
     def _forget_stages(self) -> None:
-        for table in self.layers:
+        for table in (*self.layers, self.keys):
             self.tables.drop_staged(table)
 
     def publish(self, label: str, changes: Sequence[Change], days: Sequence[date] = ()) -> Record:
-        """Commit staged changes of any of the layers as one version, then put them in place."""
+        """Commit staged changes of any of the layers as one version, then put them in place.
+
+        A change of the clean events that does not bring the key index along drops the index.
+        """
+        changed = {c.table for c in changes}
+        if self.silver in changed and self.keys not in changed and self.tables.exists(self.keys):
+            changes = [*changes, Change(self.keys, None, None, whole=True)]
         record = self.log.commit(label, changes, [str(d) for d in days])
         self._finish(record)
         return record

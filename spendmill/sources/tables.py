@@ -72,6 +72,17 @@ class LayerTables:
         finally:
             conf.set(setting, before)
 
+    def replace_all(self, df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
+        """Make ``table`` hold just ``df``, creating it if need be. Safe to repeat."""
+        if self.exists(table):
+            df.select(*self.read(table).columns).write.insertInto(table, overwrite=True)
+        else:
+            self.overwrite(df, table, partition_by)
+
+    def partitions(self, table: str) -> int:
+        """Number of partitions of ``table``, from the catalog alone."""
+        return self.spark.sql(f"SHOW PARTITIONS {table}").count()
+
     def drop_partitions(self, table: str, column: str, values: Iterable[str], kind: str) -> None:
         """Remove whole partitions, for values (as text) that no longer have any row. Safe to repeat."""
 
