@@ -4,6 +4,8 @@ from .bronze import (
     detect_version,
     file_version,
     keep_payload,
+    payload_fields,
+    payload_schema,
     rescue_unknown,
     stamp_ingest,
     tag_provenance,
@@ -37,6 +39,7 @@ from .fingerprints import differing_nodes, fingerprints, layer_differences
 from .money import fill_daily, to_usd, to_usd_daily
 from .quality import DataQualityError, Rule, dq_report, enforce, run_dq_checks
 from .rollup import daily_spend, on_days, refresh_days
+from .sketches import distinct_bounds, uniqueness, value_sketches
 from .trends import active_days, first_days, longest_streak, rolling_spend, streaks
 from .upsert import (
     beating,

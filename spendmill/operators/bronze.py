@@ -81,3 +81,22 @@ def rescue_unknown(df: DataFrame, known: Iterable[str], into: str = "_rescued_da
 def keep_payload(df: DataFrame, into: str = "_payload") -> DataFrame:
     """Add the complete row, NULL fields included, as one JSON string."""
     return df.withColumns({into: F.to_json(F.struct(*df.columns), WHOLE_ROW_JSON)})
+
+
+def payload_fields(df: DataFrame, payload: str = "_payload", known: Iterable[str] = (), prefix: str = "") -> DataFrame:
+    """(field, type, n): which fields outside ``known`` the JSON objects in ``payload`` hold, of which type, in how many rows.
+
+    Spark parses the text as VARIANT and unnests its top level, so no schema is declared; text that is no JSON and NULL
+    have no fields. A field that comes with several types has a row for each; JSON null has type ``VOID``.
+    """
+    # The parsed column's name is chosen so that unnesting it cannot clash.
+    parsed = df.select(F.try_parse_json(F.col(payload)).alias("_parsed"))
+    fields = parsed.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_parsed").outer()))
+    typed = fields.where("key IS NOT NULL").select(F.col("key"), F.schema_of_variant("value").alias("type"))
+    new = typed.where(~F.col("key").isin(*known)) if known else typed
+    return new.groupBy(F.concat(F.lit(prefix), "key").alias("field"), "type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def payload_schema(df: DataFrame, payload: str = "_payload") -> DataFrame:
+    """One row: the merged schema of all JSON values in ``payload`` (``OBJECT<...>``), nested fields included."""
+    return df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(payload))).alias("payload_schema"))

@@ -23,11 +23,14 @@ from ..operators import (
     held_rows,
     join_dimension,
     keep_payload,
+    label_quarantine,
     layer_differences,
     longest_streak,
     merge_state,
+    normalise,
     orphans,
     parse_event_time,
+    payload_fields,
     purge_keys,
     refresh_days,
     refresh_rolling,
@@ -45,9 +48,11 @@ from ..operators import (
     to_usd_daily,
     touched_days,
     unify_columns,
+    uniqueness,
     union_versions,
     unknown_names,
     upsert_latest,
+    value_sketches,
     with_offset,
 )
 from ..sources.interim import settle
@@ -479,3 +484,49 @@ def reconciliation_report(x: Layers) -> DataFrame:
     silver = settle(to_usd(build_silver(good, x.config)))
     report = C.reconcile(x.feeds, x.bronze, rejected, good, silver, daily_spend(silver, x.dim), x.dim)
     return report.select("check_name", rounded("expected", 2), rounded("actual", 2), "passed")
+
+
+# -- what the given tables are too clean to show ----------------------------------------------
+
+
+@query
+def bronze_payload_fields(x: Layers) -> DataFrame:
+    """Fields that no schema declares, in the payload as sent and in the JSON text it carries along."""
+    sent = union_versions(*vendor_feeds(x.spark, x.sf_dir, extra=("event_type", "props")))
+    top = payload_fields(keep_payload(sent), known={*EVENTS_V1.names, *EVENTS_V2.names})
+    return top.unionByName(payload_fields(sent, "props", prefix="props."))
+
+
+@query
+def dq_uniqueness_by_sketch(x: Layers) -> DataFrame:
+    columns = ["event_id", "currency"]
+    sketches = settle(value_sketches(x.bronze, columns, F.to_date("ingest_time")))
+    return uniqueness(x.bronze, sketches, columns)
+
+
+@query
+def troubled_quarantine(x: Layers) -> DataFrame:
+    """All five reasons: the feed also has rows without a key."""
+    labelled = label_quarantine(normalise(x.troubled, x.config.cost_aliases, x.config.strict_offset))
+    return C.rows_by(split(labelled)[1], "quarantine_reason")
+
+
+@query
+def troubled_gold(x: Layers) -> DataFrame:
+    """Daily spend with a currency that has no rate: its events count, their amounts do not."""
+    good = split(label_quarantine(normalise(x.troubled, x.config.cost_aliases, x.config.strict_offset)))[0]
+    c = x.config
+    events = to_usd(build_silver(good.select(c.key, c.order, *c.tie_breakers), c), c.usd_rates)
+    return gold_columns(daily_spend(events, x.dim))
+
+
+@query
+def damaged_reconciliation(x: Layers) -> DataFrame:
+    """The checks over layers that lost raw rows, hold clean rows twice and lack daily rows: most must fail."""
+    read_by_checks = (x.config.key, x.config.order, *x.config.tie_breakers, "event_time", "quarantine_reason")
+    good, rejected = split(settle(x.labelled.select(*read_by_checks)))
+    silver = settle(to_usd(build_silver(good, x.config)))
+    gold = daily_spend(silver, x.dim).where("advertiser_id % 20 <> 9")
+    doubled = silver.unionByName(silver.where("event_id % 500 = 2"))
+    report = C.reconcile(x.feeds, x.bronze.where("event_id % 200 <> 3"), rejected, good, doubled, gold, x.dim)
+    return report.select("check_name", rounded("expected", 2), rounded("actual", 2), "passed")

@@ -64,6 +64,16 @@ class Layers:
         at = F.lit("2024-02-01T00:00:00Z").cast("timestamp")
         return build_bronze(*self.feeds, ingested_at=at)
 
+    @cached_property
+    def troubled(self) -> DataFrame:
+        """The raw layer with rows that lost their key and with a currency that no rate is known for."""
+        return self.bronze.withColumns(
+            {
+                "event_id": F.expr("IF(event_id % 101 = 9, NULL, event_id)"),
+                "currency": F.expr("IF(event_id % 103 = 4 AND currency IS NOT NULL, 'EUR', currency)"),
+            }
+        )
+
     @cached_property
     def normal(self) -> DataFrame:
         return normalise(self.bronze, self.config.cost_aliases, self.config.strict_offset)

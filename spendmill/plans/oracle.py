@@ -114,6 +114,10 @@ _CORRECTED_GOLD = """SELECT CAST(u.event_time_utc AS DATE) AS event_date, u.adve
         FROM ups u LEFT JOIN dim d ON u.advertiser_id = d.advertiser_id GROUP BY 1, 2, 3, 4"""
 _AMENDED_GOLD = _CORRECTED_GOLD.replace("FROM ups u", "FROM amended u")
 
+_DOUBLED = "SELECT * FROM silver UNION ALL SELECT * FROM silver WHERE event_id % 500 = 2"
+_TROUBLED = """SELECT * REPLACE (CASE WHEN event_id % 101 <> 9 THEN event_id END AS event_id,
+        CASE WHEN event_id % 103 = 4 AND currency IS NOT NULL THEN 'EUR' ELSE currency END AS currency) FROM tag"""
+
 _NULL_RATE = """SELECT 'null_rate' AS rule, 'currency' AS "column", CAST(0.05 AS DOUBLE) AS threshold,
   round(v, 6) AS actual_value, v <= 0.05 AS passed
   FROM (SELECT count(*) FILTER (WHERE currency IS NULL) / CAST(count(*) AS DOUBLE) AS v FROM allr) q"""
@@ -256,6 +260,26 @@ _SELECTS = {
               IS DISTINCT FROM (u.ingest_time, u.advertiser_id, u.currency, u.cost_raw, u.event_time_utc)""",
     "dedup_difference_keys": """SELECT event_id, count(*) AS left_rows, CAST(1 AS BIGINT) AS right_rows, 'copies' AS status
         FROM good GROUP BY event_id HAVING count(*) > 1""",
+    "bronze_payload_fields": """SELECT 'event_type' AS field, 'STRING' AS type, count(*) AS n
+        FROM allr a JOIN events e ON a.event_id = e.event_id WHERE e.event_type IS NOT NULL
+        UNION ALL SELECT 'props', 'STRING', count(*) FROM allr a JOIN events e ON a.event_id = e.event_id WHERE e.props IS NOT NULL
+        UNION ALL SELECT 'props.' || k, CASE json_type(e.props, '$.' || k) WHEN 'UBIGINT' THEN 'BIGINT' ELSE json_type(e.props, '$.' || k) END, count(*)
+        FROM allr a JOIN events e ON a.event_id = e.event_id, unnest(json_keys(e.props)) AS t(k) GROUP BY 1, 2""",
+    "dq_uniqueness_by_sketch": """SELECT 'event_id' AS "column", count(*) AS rows, count(*) = count(DISTINCT event_id) AS passed,
+        'exact' AS decided_by FROM allr
+        UNION ALL SELECT 'currency', count(*), count(*) = count(DISTINCT coalesce(currency, '-')), 'sketch' FROM allr""",
+    "troubled_quarantine": f"""SELECT coalesce(reason, 'missing_event_id') AS quarantine_reason, count(*) AS n FROM ({_TROUBLED}) t
+        WHERE reason IS NOT NULL OR event_id IS NULL GROUP BY 1""",
+    "troubled_gold": f"""SELECT CAST(event_time_utc AS DATE) AS event_date, s.advertiser_id, coalesce(d.advertiser_name, 'UNKNOWN') AS advertiser_name,
+        d.advertiser_id IS NULL AS is_unmapped_advertiser,
+        round(CAST(sum(CAST(CASE currency WHEN 'INR' THEN cost_raw / 83.0 WHEN 'USD' THEN cost_raw END AS DECIMAL(28, 10))) AS DOUBLE), 4) AS total_spend_usd,
+        count(*) AS event_count
+        FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingest_time DESC, coalesce(cost_raw, -1) DESC) AS rn
+              FROM ({_TROUBLED}) t WHERE reason IS NULL AND event_id IS NOT NULL) s
+        LEFT JOIN dim d ON s.advertiser_id = d.advertiser_id WHERE rn = 1 GROUP BY 1, 2, 3, 4""",
+    "damaged_reconciliation": " UNION ALL ".join(_CHECKS.values()).replace("FROM tagged", "FROM tagged WHERE event_id % 200 <> 3")
+    .replace("SELECT count(*) FROM uni", "SELECT count(*) FROM tagged WHERE event_id % 200 <> 3")
+    .replace("FROM silver", f"FROM ({_DOUBLED}) silver").replace("FROM gold", "FROM (SELECT * FROM gold WHERE advertiser_id % 20 <> 9) gold"),
     "dq_null_rate": _NULL_RATE,
     "dq_uniqueness": _UNIQUE_CURRENCY,
     "dq_freshness": _FRESH,
