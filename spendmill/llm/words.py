@@ -1,7 +1,7 @@
 """Words of whole texts as numpy arrays: positions and 64-bit hashes, without a Python object per word.
 
-A word's hash is a polynomial over random per-byte values modulo 2**64, read off one running sum, and mixed
-at the end. Texts are taken in slices of about a megabyte; a longer text is a slice of its own, never cut.
+A word's hash is the sum of random values for each of its bytes at its place in the word, read off one running sum,
+and mixed at the end: unlike a polynomial modulo 2**64, no pattern of bytes cancels out. Texts are taken in slices of about a megabyte; a longer text is a slice of its own, never cut.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ import pyarrow.compute as pc
 SLICE_BYTES = 1 << 20
 GROUP_CHARS = 1 << 19
 _STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
-_BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
+PLACES = 64  # places whose values are looked up; further ones are computed
+_PLACE = np.uint64(0xBF58476D1CE4E5B9 ^ 0x5851F42D4C957F2D | 1)
 _WINDOW = np.uint64(0xD1342543DE82EF95)
 
 
@@ -36,12 +37,17 @@ class Alphabet:
     """Which bytes belong to words, and what each stands for."""
 
     member: np.ndarray
-    value: np.ndarray
+    value: np.ndarray  # of a byte
+    placed: np.ndarray  # of a byte at each of the first places, flat
 
 
 def _alphabet(member: np.ndarray, fold: np.ndarray) -> Alphabet:
-    values = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
-    return Alphabet(member, values[fold])
+    values = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)[fold]
+    return Alphabet(member, values, _placed(values[:, None], np.arange(PLACES)[None, :]).reshape(-1))
+
+
+def _placed(value: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return mix(value ^ ((place.astype(np.uint64) + np.uint64(1)) * _PLACE))
 
 
 @lru_cache
@@ -60,13 +66,6 @@ def alphanumeric() -> Alphabet:
     return _alphabet(member, fold)
 
 
-@lru_cache(maxsize=2)
-def _powers(base: int, size: int) -> np.ndarray:
-    powers = np.full(size, np.uint64(base))
-    powers[0] = 1
-    return np.multiply.accumulate(powers)
-
-
 @dataclass
 class Words:
     """Words of consecutive rows ``first`` to ``first + rows - 1`` of a column."""
@@ -99,10 +98,16 @@ def split_words(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet, first
         opens[1:] &= ~(inside[:-1] & same[1:])
         closes[:-1] &= ~(inside[1:] & same[1:])
     starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    size = 1 << max(20, int(n).bit_length())
+    begins = np.zeros(n, dtype=np.int64)
+    begins[starts] = starts
+    place = np.arange(n) - np.maximum.accumulate(begins) if n else begins
+    values = alphabet.placed[data.astype(np.int64) * PLACES + np.minimum(place, PLACES - 1)]
+    far = np.flatnonzero(inside & (place >= PLACES))
+    if len(far):
+        values[far] = _placed(alphabet.value[data[far]], place[far])
     total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(alphabet.value[data] * _powers(int(_STEP), size)[:n], out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * _powers(int(_BACK), size)[starts] + (ends - starts).astype(np.uint64))
+    np.cumsum(values, out=total[1:])
+    hashes = mix(total[ends] - total[starts] + (ends - starts).astype(np.uint64))
     bounds = np.searchsorted(starts, offsets)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
     return Words(first, len(offsets) - 1, data, starts, ends, row, hashes, bounds)
