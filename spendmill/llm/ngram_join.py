@@ -224,10 +224,10 @@ def near_duplicates(
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.cast("long").alias("row"), "text")
     signed = stored(signatures(docs, n, bands, rows), "signatures")
     full = signed.where("node is not null")
-    # A node's 64-bit id finds candidates; the set itself is what is compared.
+    # A node's number, fixed when it is stored, stands for its set in candidates, blocks and links.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
     nodes = full.groupBy("node").agg(first, F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    nodes = stored(nodes.withColumn("id", F.xxhash64("node")), "nodes")
+    nodes = stored(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
     groups = stored(candidate_groups(nodes), "candidates")
     size = groups.join(nodes.select("id", "n"), "id").groupBy("group").agg(F.count("*").alias("members"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("members") / block_nodes), F.ceil(F.col("total") / block_shingles)).cast("int")
