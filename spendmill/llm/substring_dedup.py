@@ -8,7 +8,8 @@ and no tree is built. Touching windows of a document are one removed range, whic
 repeats that follow each other directly, from different documents, are one range.
 
 Windows are 64-bit hashes inside a group that another hash chose. A task sends each window of a slice once, with the
-smallest document of the slice; the slice's other documents are known to repeat it, however many they are.
+rows of the slice's smallest document; the slice's other documents are known to repeat it, however many they are. Rows
+are numbered once, and texts and flags meet in buckets of row numbers: rows with null or repeated ids spread like others.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packing import pack, smallest, unpack
+from .storage import stored
 from .words import Words, extend, mix, text_buffers, visible, whole_windows, word_slices
 
 WINDOW = 13
@@ -30,6 +32,7 @@ GROUP_SUFFIXES = 1_500_000
 CELLS = 1 << 14
 SLICE_BYTES = 1 << 21
 DOCUMENTS_PER_BUCKET = 2_000
+BYTES_PER_BUCKET = 1 << 25
 NO_ID = np.iinfo(np.int64).max  # stands for a null id: it comes after every other
 _SALT = np.uint64(0xA0761D6478BD642F)
 
@@ -120,8 +123,8 @@ def _repeats(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order, starts, docs[order] > np.repeat(least, np.diff(np.append(starts, len(keys))))
 
 
-def _bucket(docs: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix(docs.astype(np.uint64) ^ _SALT) % np.uint64(buckets)).astype(np.int64)
+def _bucket(rows: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(rows.astype(np.uint64) ^ _SALT) % np.uint64(buckets)).astype(np.int64)
 
 
 def _by(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -132,14 +135,14 @@ def _by(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(values[order[lo]]), order[lo:hi]
 
 
-def _flag_rows(docs: np.ndarray, keys: np.ndarray, buckets: int) -> tuple[list[int], list[bytes]]:
-    """(buckets, blobs of document ids with the keys of their repeated windows)."""
+def _flag_rows(rows: np.ndarray, keys: np.ndarray, buckets: int) -> tuple[list[int], list[bytes]]:
+    """(buckets, blobs of row numbers with the keys of their repeated windows)."""
     numbers, blobs = [], []
-    for bucket, mine in _by(_bucket(docs, buckets)):
-        mine = mine[np.lexsort((keys[mine], docs[mine]))]
-        starts = _runs(docs[mine])
+    for bucket, mine in _by(_bucket(rows, buckets)):
+        mine = mine[np.lexsort((keys[mine], rows[mine]))]
+        starts = _runs(rows[mine])
         numbers.append(bucket)
-        blobs.append(pack(docs[mine][starts], smallest(np.diff(np.append(starts, len(mine)))), keys[mine]))
+        blobs.append(pack(rows[mine][starts], smallest(np.diff(np.append(starts, len(mine)))), keys[mine]))
     return numbers, blobs
 
 
@@ -151,23 +154,27 @@ def _suffixes(partition: Partition, window: int, buckets: int, batches: Iterator
             at = whole_windows(words, window)
             if not len(at):
                 continue
-            ids = batch["doc_id"][words.first : words.first + words.rows].fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)
+            own_rows = slice(words.first, words.first + words.rows)
+            ids = batch["doc_id"].fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)[own_rows]
+            uids = batch["uid"].to_numpy(zero_copy_only=False)[own_rows]
             prefixes = prefix_sums(words, window)
             group, keys = partition.of(prefixes), prefixes[-1]
             docs = ids[words.row[at]]
             order, starts, repeated = _repeats(keys, docs)
-            sorted_docs = docs[order]
-            least = np.minimum.reduceat(sorted_docs, starts)
-            kept_keys, kept_group = keys[order][starts], group[order][starts]
+            sorted_keys, sorted_rows = keys[order], words.row[at][order]
+            # A row that has a window several times stands for it once.
+            again = (np.diff(sorted_rows, prepend=-1) == 0) & (np.diff(sorted_keys, prepend=np.uint64(0)) == 0)
+            kept = np.flatnonzero(~repeated & ~again)
+            kept_keys, kept_rows, kept_group = sorted_keys[kept], sorted_rows[kept], group[order][kept]
             by_group = np.argsort(kept_group, kind="stable")  # within a group by key
             bounds = _runs(kept_group[by_group])
             groups, blobs = [], []
             for lo, hi in zip(bounds, np.append(bounds[1:], len(by_group)), strict=True):
                 own = by_group[lo:hi]
-                table, which = np.unique(least[own], return_inverse=True)
-                blobs.append(pack(np.diff(kept_keys[own], prepend=np.uint64(0)), table, smallest(which)))
+                table, which = np.unique(kept_rows[own], return_inverse=True)
+                blobs.append(pack(np.diff(kept_keys[own], prepend=np.uint64(0)), uids[table], ids[table], smallest(which)))
                 groups.append(int(kept_group[own[0]]))
-            numbers, flags = _flag_rows(sorted_docs[repeated], keys[order][repeated], buckets)
+            numbers, flags = _flag_rows(uids[sorted_rows[repeated]], sorted_keys[repeated], buckets)
             n, m = len(groups), len(flags)
             spread = [(words.first + i) * 7919 % last_group for i in range(m)]
             columns = [pa.array(groups + spread, pa.int32()), pa.array(blobs + [None] * m, pa.binary())]
@@ -177,22 +184,26 @@ def _suffixes(partition: Partition, window: int, buckets: int, batches: Iterator
 
 def _subtree(table: pa.Table, buckets: int) -> pa.Table:
     """(bucket, blob of windows that a smaller document has) of a group's suffixes, and the rows known before."""
-    keys, docs = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)]
+    keys, docs, rows = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
     for blob in table["suffixes"]:
         if blob.is_valid:
-            steps, ids, which = unpack(blob.as_buffer())
+            steps, uids, ids, which = unpack(blob.as_buffer())
             keys.append(np.cumsum(steps))
             docs.append(ids[which])
-    keys, docs = np.concatenate(keys), np.concatenate(docs)
+            rows.append(uids[which])
+    keys, docs, rows = np.concatenate(keys), np.concatenate(docs), np.concatenate(rows)
     order, _, repeated = _repeats(keys, docs)
-    numbers, flags = _flag_rows(docs[order][repeated], keys[order][repeated], buckets)
+    numbers, flags = _flag_rows(rows[order][repeated], keys[order][repeated], buckets)
     known = table.filter(table["flags"].is_valid()).select(["bucket", "flags"])
     found = pa.table({"bucket": pa.array(numbers, pa.int32()), "flags": pa.array(flags, pa.binary())})
     return pa.concat_tables([known, found])
 
 
 def repeated_windows(docs: DataFrame, buckets: int, window: int = WINDOW, *, group_suffixes: int = GROUP_SUFFIXES, cells: int = CELLS) -> DataFrame:
-    """(bucket, flags): by bucket of documents, the hashes of windows that a document with a smaller id has too."""
+    """(bucket, flags): by bucket of rows, the hashes of windows that a document with a smaller id has too.
+
+    ``docs`` has doc_id, text and uid, a stored number of each row.
+    """
     partition = Partition(count_prefixes(docs, window, cells), group_suffixes)
     shared = docs.sparkSession.sparkContext.broadcast(partition)
 
@@ -207,27 +218,28 @@ def repeated_windows(docs: DataFrame, buckets: int, window: int = WINDOW, *, gro
 
 
 def _pack_texts(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, blob of ids and texts): compressed together, texts take half of what a shuffle makes of them."""
+    """(bucket, blob of row numbers, ids and texts): compressed together, texts take half of what a shuffle makes of them."""
     for batch in batches:
-        ids = batch["doc_id"].fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)
-        for bucket, mine in _by(_bucket(ids, buckets)):
+        uids, known = batch["uid"].to_numpy(zero_copy_only=False), batch["doc_id"].is_valid().to_numpy(zero_copy_only=False)
+        ids = batch["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
+        for bucket, mine in _by(_bucket(uids, buckets)):
             data, offsets = text_buffers(batch["text"].take(pa.array(mine)))
-            blob = pack(ids[mine], np.diff(offsets), data, level=3)
+            blob = pack(uids[mine], ids[mine], known[mine].astype(np.uint8), np.diff(offsets), data, level=3)
             yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([blob], pa.binary())], ["bucket", "texts"])
 
 
-def _cut(window: int, texts: list[bytes], ids: np.ndarray, flagged: dict[int, np.ndarray]) -> Iterator[tuple[int, list[bytes], list[dict]]]:
+def _cut(window: int, texts: list[bytes], uids: np.ndarray, flagged: dict[int, np.ndarray]) -> Iterator[tuple[int, list[bytes], list[dict]]]:
     """(number of words, kept words, removed ranges) of each text: flagged windows cover what goes."""
     keep: dict[int, np.ndarray] = {}
     spans: dict[int, list[dict]] = {}
-    rows = np.array([r for r, i in enumerate(ids.tolist()) if i in flagged], dtype=np.int64)
+    rows = np.array([r for r, i in enumerate(uids.tolist()) if i in flagged], dtype=np.int64)
     for words in word_slices(pa.array([texts[r] for r in rows], pa.large_binary()).view(pa.large_string()), visible(), SLICE_BYTES):
         at = whole_windows(words, window)
         keys = prefix_sums(words, window)[-1]
         begin = np.searchsorted(at, words.bounds)
         for i in range(words.rows):
             row = int(rows[words.first + i])
-            own = at[begin[i] : begin[i + 1]][np.isin(keys[begin[i] : begin[i + 1]], flagged[int(ids[row])])] - words.bounds[i]
+            own = at[begin[i] : begin[i + 1]][np.isin(keys[begin[i] : begin[i + 1]], flagged[int(uids[row])])] - words.bounds[i]
             covered = np.zeros(words.bounds[i + 1] - words.bounds[i] + 1, dtype=np.int64)
             covered[own] += 1
             np.subtract.at(covered, own + window, 1)
@@ -243,19 +255,19 @@ def _cut(window: int, texts: list[bytes], ids: np.ndarray, flagged: dict[int, np
 def _cut_bucket(window: int, digest: bool, docs: pa.Table, flags: pa.Table) -> pa.Table:
     parts: dict[int, list[np.ndarray]] = {}
     for blob in flags["flags"]:
-        ids, n, keys = unpack(blob.as_buffer())
-        for i, own in zip(ids.tolist(), np.split(keys, np.cumsum(n)[:-1]), strict=True):
+        uids, n, keys = unpack(blob.as_buffer())
+        for i, own in zip(uids.tolist(), np.split(keys, np.cumsum(n)[:-1]), strict=True):
             parts.setdefault(i, []).append(own)
     flagged = {i: np.unique(np.concatenate(x)) for i, x in parts.items()}
     rows: list[tuple] = []
     for blob in docs["texts"]:
-        ids, sizes, data = unpack(blob.as_buffer())
+        uids, ids, known, sizes, data = unpack(blob.as_buffer())
         ends = np.cumsum(sizes)
         texts = [data[a:b].tobytes() for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
-        for i, (n, kept, spans) in zip(ids.tolist(), _cut(window, texts, ids, flagged), strict=True):
+        for i, there, (n, kept, spans) in zip(ids.tolist(), known.tolist(), _cut(window, texts, uids, flagged), strict=True):
             text = b" ".join(kept)
             what = (hashlib.sha256(text).hexdigest(),) if digest else (text.decode(), spans)
-            rows.append((None if i == NO_ID else i, n, n - len(kept), *what))
+            rows.append((i if there else None, n, n - len(kept), *what))
     kinds = [pa.int64()] * 3 + [pa.string()] + [pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))] * (not digest)
     names = ["doc_id", "n_words", "n_removed", *(["kept_sha256"] if digest else ["kept", "repeats"])]
     columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
@@ -269,17 +281,20 @@ def remove_repeats(
     group_suffixes: int = GROUP_SUFFIXES,
     cells: int = CELLS,
     documents_per_bucket: int = DOCUMENTS_PER_BUCKET,
+    bytes_per_bucket: int = BYTES_PER_BUCKET,
     digest: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, the kept text and the removed word ranges.
 
     With ``digest`` the text's SHA-256 is returned in place of text and ranges. Words are what ASCII white space
     separates. A window is repeated if a document with a smaller id has it (a null id is larger than all; rows with
-    one id do not repeat each other). Null texts have no words. Only doc_id and text are read. Documents and what
-    is known of their windows meet in buckets of ids.
+    one id do not repeat each other). Null texts have no words; an empty table gives no row. Only doc_id and text are
+    read. Rows are stored with a number each; texts and what is known of their windows meet in buckets of numbers.
     """
-    rows = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    buckets = max(1, -(-rows.count() // documents_per_bucket))
+    rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").withColumn("uid", F.monotonically_increasing_id())
+    rows = stored(rows, "rows")
+    size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    buckets = max(1, -(-size["n"] // documents_per_bucket), -(-(size["bytes"] or 0) // bytes_per_bucket))
     flags = repeated_windows(rows, buckets, window, group_suffixes=group_suffixes, cells=cells)
 
     def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
