@@ -146,7 +146,13 @@ def _flag_rows(rows: np.ndarray, keys: np.ndarray, buckets: int) -> tuple[list[i
     return numbers, blobs
 
 
-def _suffixes(partition: Partition, window: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _everywhere(docs: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Whether an entry's run, of those that begin at ``starts``, has several documents."""
+    several = np.minimum.reduceat(docs, starts) != np.maximum.reduceat(docs, starts) if len(starts) else np.empty(0, dtype=bool)
+    return np.repeat(several, np.diff(np.append(starts, len(docs))))
+
+
+def _suffixes(partition: Partition, window: int, buckets: int, everywhere: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (group, blob of suffixes) and, under any group, (bucket, blob of windows repeated inside a slice)."""
     last_group = int(partition.first[-1])
     for batch in batches:
@@ -164,7 +170,11 @@ def _suffixes(partition: Partition, window: int, buckets: int, batches: Iterator
             sorted_keys, sorted_rows = keys[order], words.row[at][order]
             # A row that has a window several times stands for it once.
             again = (np.diff(sorted_rows, prepend=-1) == 0) & (np.diff(sorted_keys, prepend=np.uint64(0)) == 0)
-            kept = np.flatnonzero(~repeated & ~again)
+            apart = ~repeated
+            if everywhere:  # a second document tells that there are several
+                size = np.diff(np.append(starts, len(keys)))
+                apart |= docs[order] == np.repeat(np.maximum.reduceat(docs[order], starts), size)
+            kept = np.flatnonzero(apart & ~again)
             kept_keys, kept_rows, kept_group = sorted_keys[kept], sorted_rows[kept], group[order][kept]
             by_group = np.argsort(kept_group, kind="stable")  # within a group by key
             bounds = _runs(kept_group[by_group])
@@ -174,7 +184,8 @@ def _suffixes(partition: Partition, window: int, buckets: int, batches: Iterator
                 table, which = np.unique(kept_rows[own], return_inverse=True)
                 blobs.append(pack(np.diff(kept_keys[own], prepend=np.uint64(0)), uids[table], ids[table], smallest(which)))
                 groups.append(int(kept_group[own[0]]))
-            numbers, flags = _flag_rows(uids[sorted_rows[repeated]], sorted_keys[repeated], buckets)
+            told = _everywhere(docs[order], starts) if everywhere else repeated
+            numbers, flags = _flag_rows(uids[sorted_rows[told]], sorted_keys[told], buckets)
             n, m = len(groups), len(flags)
             spread = [(words.first + i) * 7919 % last_group for i in range(m)]
             columns = [pa.array(groups + spread, pa.int32()), pa.array(blobs + [None] * m, pa.binary())]
@@ -182,8 +193,10 @@ def _suffixes(partition: Partition, window: int, buckets: int, batches: Iterator
             yield pa.RecordBatch.from_arrays(columns, ["group", "suffixes", "bucket", "flags"])
 
 
-def _subtree(table: pa.Table, buckets: int) -> pa.Table:
-    """(bucket, blob of windows that a smaller document has) of a group's suffixes, and the rows known before."""
+def _subtree(table: pa.Table, buckets: int, everywhere: bool) -> pa.Table:
+    """(bucket, blob of windows that a smaller document has) of a group's suffixes, and the rows known before.
+
+    With ``everywhere``, of windows that another document has."""
     keys, docs, rows = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
     for blob in table["suffixes"]:
         if blob.is_valid:
@@ -192,26 +205,36 @@ def _subtree(table: pa.Table, buckets: int) -> pa.Table:
             docs.append(ids[which])
             rows.append(uids[which])
     keys, docs, rows = np.concatenate(keys), np.concatenate(docs), np.concatenate(rows)
-    order, _, repeated = _repeats(keys, docs)
+    order, starts, repeated = _repeats(keys, docs)
+    if everywhere:
+        repeated = _everywhere(docs[order], starts)
     numbers, flags = _flag_rows(rows[order][repeated], keys[order][repeated], buckets)
     known = table.filter(table["flags"].is_valid()).select(["bucket", "flags"])
     found = pa.table({"bucket": pa.array(numbers, pa.int32()), "flags": pa.array(flags, pa.binary())})
     return pa.concat_tables([known, found])
 
 
-def repeated_windows(docs: DataFrame, buckets: int, window: int = WINDOW, *, group_suffixes: int = GROUP_SUFFIXES, cells: int = CELLS) -> DataFrame:
+def repeated_windows(
+    docs: DataFrame,
+    buckets: int,
+    window: int = WINDOW,
+    *,
+    group_suffixes: int = GROUP_SUFFIXES,
+    cells: int = CELLS,
+    everywhere: bool = False,
+) -> DataFrame:
     """(bucket, flags): by bucket of rows, the hashes of windows that a document with a smaller id has too.
 
-    ``docs`` has doc_id, text and uid, a stored number of each row.
+    With ``everywhere``, the hashes of windows that any other document has. ``docs`` has doc_id, text and uid, a stored number of each row.
     """
     partition = Partition(count_prefixes(docs, window, cells), group_suffixes)
     shared = docs.sparkSession.sparkContext.broadcast(partition)
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _suffixes(shared.value, window, buckets, batches)
+        return _suffixes(shared.value, window, buckets, everywhere, batches)
 
     def subtree(table: pa.Table) -> pa.Table:
-        return _subtree(table, buckets)
+        return _subtree(table, buckets, everywhere)
 
     dealt = docs.mapInArrow(suffixes, "group int, suffixes binary, bucket int, flags binary")
     return dealt.groupBy("group").applyInArrow(subtree, "bucket int, flags binary")
