@@ -1,21 +1,12 @@
-"""Substring deduplication by hashes of windows, partitioned by prefixes.
+"""Substring deduplication: words of repeats that a document with a smaller id has too are removed.
 
-A suffix starts at every word that begins a whole window of ``WINDOW`` words. Suffixes are dealt to groups by a
-prefix of theirs, one word long where that prefix is rare enough for memory and 2, 4, 8 or ``WINDOW`` words long
-where it is not; suffixes that share a window share their group. A group compares the hashes of its windows: those
-of several documents are the repeats, and of each the smallest document keeps its words. Suffixes are not ordered
-and no tree is built. Touching windows of a document are one removed range, which need not be a repeat itself: two
-repeats that follow each other directly, from different documents, are one range.
-
-Windows are 64-bit hashes inside a group that another hash chose. A task sends each window of a slice once, with the
-rows of the slice's smallest document; the slice's other documents are known to repeat it, however many they are. Rows
-are numbered once, and texts and flags meet in buckets of row numbers: rows with null or repeated ids spread like others.
+The repeats come from prefix-partitioned suffix trees (``suffix_trees``): a leaf is covered as far as its deepest
+internal node with a smaller document goes. Two repeats that follow each other directly stay two ranges.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 from itertools import compress
 
 import numpy as np
@@ -23,274 +14,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .packing import pack, smallest, unpack
+from .packing import unpack
+from .shared_windows import BYTES_PER_BUCKET, CELLS, DOCUMENTS_PER_BUCKET, GROUP_SUFFIXES, WINDOW
 from .storage import stored
-from .words import Words, extend, mix, text_buffers, visible, whole_windows, word_slices
-
-WINDOW = 13
-GROUP_SUFFIXES = 1_500_000
-CELLS = 1 << 14
-SLICE_BYTES = 1 << 21
-DOCUMENTS_PER_BUCKET = 2_000
-BYTES_PER_BUCKET = 1 << 25
-NO_ID = np.iinfo(np.int64).max  # stands for a null id: it comes after every other
-_SALT = np.uint64(0xA0761D6478BD642F)
-
-
-def prefix_lengths(window: int) -> list[int]:
-    return [n for n in (1, 2, 4, 8, 16, 32, 64) if n < window] + [window]
-
-
-def prefix_sums(words: Words, window: int) -> list[np.ndarray]:
-    """Hashes of the prefixes of every suffix that has ``window`` words, by ``prefix_lengths``."""
-    at = whole_windows(words, window)
-    lengths = prefix_lengths(window)
-    sums, power = {1: words.hashes}, 1
-    while 2 * power <= window:
-        sums[2 * power] = extend(sums[power], sums[power], power)
-        power *= 2
-    if window not in sums:
-        total, have = sums[power], power
-        while have < window:
-            power //= 2
-            if have + power <= window:
-                total, have = extend(total, sums[power], have), have + power
-        sums[window] = total
-    return [mix(sums[n][at]) for n in lengths]
-
-
-def _cells(hashes: np.ndarray, cells: int) -> np.ndarray:
-    return (hashes >> np.uint64(20)).astype(np.int64) & (cells - 1)
-
-
-class Partition:
-    """Which prefix length a suffix goes by, and its group."""
-
-    def __init__(self, counts: np.ndarray, group_suffixes: int) -> None:
-        """From the number of suffixes by (prefix length, cell of the prefix's hash)."""
-        self.heavy = counts > group_suffixes
-        self.heavy[-1] = False
-        self.cells = counts.shape[1]
-        # A bound on what is left for each length: every suffix in a heavy cell of the length before.
-        upper = [counts[0].sum(), *(counts[i][self.heavy[i]].sum() for i in range(len(counts) - 1))]
-        self.groups = np.array([max(1, -(-int(n) // group_suffixes)) for n in upper])
-        self.first = np.concatenate([[0], np.cumsum(self.groups)])
-
-    def of(self, prefixes: list[np.ndarray]) -> np.ndarray:
-        group = np.full(len(prefixes[0]), -1, dtype=np.int64)
-        left = np.arange(len(group))
-        for level, hashes in enumerate(prefixes):
-            rest = hashes[left]
-            heavy = self.heavy[level][_cells(rest, self.cells)]
-            mine = left[~heavy]
-            spread = mix(rest[~heavy] ^ _SALT) % np.uint64(self.groups[level])
-            group[mine] = self.first[level] + spread.astype(np.int64)
-            left = left[heavy]
-        return group
-
-
-def count_prefixes(docs: DataFrame, window: int, cells: int) -> np.ndarray:
-    """Suffixes by prefix length and cell: a table of fixed size, summed over all documents."""
-    levels = len(prefix_lengths(window))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((levels, cells), dtype=np.int64)
-        for batch in batches:
-            for words in word_slices(batch["text"], visible(), SLICE_BYTES):
-                for level, hashes in enumerate(prefix_sums(words, window)):
-                    table[level] += np.bincount(_cells(hashes, cells), minlength=cells)
-        level, cell = np.nonzero(table)
-        columns = [pa.array(level.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(table[level, cell])]
-        yield pa.RecordBatch.from_arrays(columns, ["level", "cell", "n"])
-
-    rows = docs.select("text").mapInArrow(count, "level int, cell int, n long").groupBy("level", "cell").agg(F.sum("n").alias("n"))
-    table = np.zeros((levels, cells), dtype=np.int64)
-    for r in rows.toLocalIterator():
-        table[r["level"], r["cell"]] = r["n"]
-    return table
-
-
-def _runs(sorted_values: np.ndarray) -> np.ndarray:
-    """Where runs of equal values begin."""
-    return np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]])) if len(sorted_values) else np.empty(0, dtype=np.int64)
-
-
-def _repeats(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order by key, run starts in it, whether an entry in that order has a larger document than its run's least)."""
-    order = np.argsort(keys, kind="stable")
-    starts = _runs(keys[order])
-    least = np.minimum.reduceat(docs[order], starts) if len(starts) else docs
-    return order, starts, docs[order] > np.repeat(least, np.diff(np.append(starts, len(keys))))
-
-
-def _bucket(rows: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix(rows.astype(np.uint64) ^ _SALT) % np.uint64(buckets)).astype(np.int64)
-
-
-def _by(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(value, where it is) for each distinct value."""
-    order = np.argsort(values, kind="stable")
-    starts = _runs(values[order])
-    for lo, hi in zip(starts, np.append(starts[1:], len(order))[: len(starts)], strict=True):
-        yield int(values[order[lo]]), order[lo:hi]
-
+from .suffix_trees import GROUP_WORDS, buckets_of, packed, trees_of
 
-def _flag_rows(rows: np.ndarray, keys: np.ndarray, buckets: int) -> tuple[list[int], list[bytes]]:
-    """(buckets, blobs of row numbers with the keys of their repeated windows)."""
-    numbers, blobs = [], []
-    for bucket, mine in _by(_bucket(rows, buckets)):
-        mine = mine[np.lexsort((keys[mine], rows[mine]))]
-        starts = _runs(rows[mine])
-        numbers.append(bucket)
-        blobs.append(pack(rows[mine][starts], smallest(np.diff(np.append(starts, len(mine)))), keys[mine]))
-    return numbers, blobs
 
+def longest_ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The ranges (start, end) that lie in no other, in order."""
+    order = np.lexsort((-ends, starts))
+    ranges = np.stack([starts[order], ends[order]], axis=1)
+    reached = np.maximum.accumulate(ranges[:, 1])
+    return ranges[np.concatenate([[True], ranges[1:, 1] > reached[:-1]])]
 
-def _everywhere(docs: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Whether an entry's run, of those that begin at ``starts``, has several documents."""
-    several = np.minimum.reduceat(docs, starts) != np.maximum.reduceat(docs, starts) if len(starts) else np.empty(0, dtype=bool)
-    return np.repeat(several, np.diff(np.append(starts, len(docs))))
 
-
-def _suffixes(partition: Partition, window: int, buckets: int, everywhere: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (group, blob of suffixes) and, under any group, (bucket, blob of windows repeated inside a slice)."""
-    last_group = int(partition.first[-1])
-    for batch in batches:
-        for words in word_slices(batch["text"], visible(), SLICE_BYTES):
-            at = whole_windows(words, window)
-            if not len(at):
-                continue
-            own_rows = slice(words.first, words.first + words.rows)
-            ids = batch["doc_id"].fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)[own_rows]
-            uids = batch["uid"].to_numpy(zero_copy_only=False)[own_rows]
-            prefixes = prefix_sums(words, window)
-            group, keys = partition.of(prefixes), prefixes[-1]
-            docs = ids[words.row[at]]
-            order, starts, repeated = _repeats(keys, docs)
-            sorted_keys, sorted_rows = keys[order], words.row[at][order]
-            # A row that has a window several times stands for it once.
-            again = (np.diff(sorted_rows, prepend=-1) == 0) & (np.diff(sorted_keys, prepend=np.uint64(0)) == 0)
-            apart = ~repeated
-            if everywhere:  # a second document tells that there are several
-                size = np.diff(np.append(starts, len(keys)))
-                apart |= docs[order] == np.repeat(np.maximum.reduceat(docs[order], starts), size)
-            kept = np.flatnonzero(apart & ~again)
-            kept_keys, kept_rows, kept_group = sorted_keys[kept], sorted_rows[kept], group[order][kept]
-            by_group = np.argsort(kept_group, kind="stable")  # within a group by key
-            bounds = _runs(kept_group[by_group])
-            groups, blobs = [], []
-            for lo, hi in zip(bounds, np.append(bounds[1:], len(by_group)), strict=True):
-                own = by_group[lo:hi]
-                table, which = np.unique(kept_rows[own], return_inverse=True)
-                blobs.append(pack(np.diff(kept_keys[own], prepend=np.uint64(0)), uids[table], ids[table], smallest(which)))
-                groups.append(int(kept_group[own[0]]))
-            told = _everywhere(docs[order], starts) if everywhere else repeated
-            numbers, flags = _flag_rows(uids[sorted_rows[told]], sorted_keys[told], buckets)
-            n, m = len(groups), len(flags)
-            spread = [(words.first + i) * 7919 % last_group for i in range(m)]
-            columns = [pa.array(groups + spread, pa.int32()), pa.array(blobs + [None] * m, pa.binary())]
-            columns += [pa.array([None] * n + numbers, pa.int32()), pa.array([None] * n + flags, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["group", "suffixes", "bucket", "flags"])
-
-
-def _subtree(table: pa.Table, buckets: int, everywhere: bool) -> pa.Table:
-    """(bucket, blob of windows that a smaller document has) of a group's suffixes, and the rows known before.
-
-    With ``everywhere``, of windows that another document has."""
-    keys, docs, rows = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
-    for blob in table["suffixes"]:
-        if blob.is_valid:
-            steps, uids, ids, which = unpack(blob.as_buffer())
-            keys.append(np.cumsum(steps))
-            docs.append(ids[which])
-            rows.append(uids[which])
-    keys, docs, rows = np.concatenate(keys), np.concatenate(docs), np.concatenate(rows)
-    order, starts, repeated = _repeats(keys, docs)
-    if everywhere:
-        repeated = _everywhere(docs[order], starts)
-    numbers, flags = _flag_rows(rows[order][repeated], keys[order][repeated], buckets)
-    known = table.filter(table["flags"].is_valid()).select(["bucket", "flags"])
-    found = pa.table({"bucket": pa.array(numbers, pa.int32()), "flags": pa.array(flags, pa.binary())})
-    return pa.concat_tables([known, found])
-
-
-def repeated_windows(
-    docs: DataFrame,
-    buckets: int,
-    window: int = WINDOW,
-    *,
-    group_suffixes: int = GROUP_SUFFIXES,
-    cells: int = CELLS,
-    everywhere: bool = False,
-) -> DataFrame:
-    """(bucket, flags): by bucket of rows, the hashes of windows that a document with a smaller id has too.
-
-    With ``everywhere``, the hashes of windows that any other document has. ``docs`` has doc_id, text and uid, a stored number of each row.
-    """
-    partition = Partition(count_prefixes(docs, window, cells), group_suffixes)
-    shared = docs.sparkSession.sparkContext.broadcast(partition)
-
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _suffixes(shared.value, window, buckets, everywhere, batches)
-
-    def subtree(table: pa.Table) -> pa.Table:
-        return _subtree(table, buckets, everywhere)
-
-    dealt = docs.mapInArrow(suffixes, "group int, suffixes binary, bucket int, flags binary")
-    return dealt.groupBy("group").applyInArrow(subtree, "bucket int, flags binary")
-
-
-def _pack_texts(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, blob of row numbers, ids and texts): compressed together, texts take half of what a shuffle makes of them."""
-    for batch in batches:
-        uids, known = batch["uid"].to_numpy(zero_copy_only=False), batch["doc_id"].is_valid().to_numpy(zero_copy_only=False)
-        ids = batch["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
-        for bucket, mine in _by(_bucket(uids, buckets)):
-            data, offsets = text_buffers(batch["text"].take(pa.array(mine)))
-            blob = pack(uids[mine], ids[mine], known[mine].astype(np.uint8), np.diff(offsets), data, level=3)
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([blob], pa.binary())], ["bucket", "texts"])
-
-
-def _cut(window: int, texts: list[bytes], uids: np.ndarray, flagged: dict[int, np.ndarray]) -> Iterator[tuple[int, list[bytes], list[dict]]]:
-    """(number of words, kept words, removed ranges) of each text: flagged windows cover what goes."""
-    keep: dict[int, np.ndarray] = {}
-    spans: dict[int, list[dict]] = {}
-    rows = np.array([r for r, i in enumerate(uids.tolist()) if i in flagged], dtype=np.int64)
-    for words in word_slices(pa.array([texts[r] for r in rows], pa.large_binary()).view(pa.large_string()), visible(), SLICE_BYTES):
-        at = whole_windows(words, window)
-        keys = prefix_sums(words, window)[-1]
-        begin = np.searchsorted(at, words.bounds)
-        for i in range(words.rows):
-            row = int(rows[words.first + i])
-            own = at[begin[i] : begin[i + 1]][np.isin(keys[begin[i] : begin[i + 1]], flagged[int(uids[row])])] - words.bounds[i]
-            covered = np.zeros(words.bounds[i + 1] - words.bounds[i] + 1, dtype=np.int64)
-            covered[own] += 1
-            np.subtract.at(covered, own + window, 1)
-            gone = np.cumsum(covered) > 0
-            keep[row] = ~gone[:-1]
-            edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0))
-            spans[row] = [{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)]
-    for row, text in enumerate(texts):
-        words_ = text.split()
-        yield len(words_), list(compress(words_, keep[row].tolist())) if row in keep else words_, spans.get(row, [])
-
-
-def _cut_bucket(window: int, digest: bool, docs: pa.Table, flags: pa.Table) -> pa.Table:
-    parts: dict[int, list[np.ndarray]] = {}
-    for blob in flags["flags"]:
-        uids, n, keys = unpack(blob.as_buffer())
-        for i, own in zip(uids.tolist(), np.split(keys, np.cumsum(n)[:-1]), strict=True):
-            parts.setdefault(i, []).append(own)
-    flagged = {i: np.unique(np.concatenate(x)) for i, x in parts.items()}
+def _cut_bucket(digest: bool, docs: pa.Table, ranges: pa.Table) -> pa.Table:
+    """The rows of a bucket without the words of ``ranges`` (uid, start, end)."""
+    uid, starts, ends = (ranges[c].to_numpy() for c in ("uid", "start", "end"))
+    order = np.argsort(uid, kind="stable")
+    numbers, first = np.unique(uid[order], return_index=True)
+    of_row = dict(zip(numbers.tolist(), np.split(order, first[1:]), strict=True)) if len(order) else {}
     rows: list[tuple] = []
     for blob in docs["texts"]:
         uids, ids, known, sizes, data = unpack(blob.as_buffer())
-        ends = np.cumsum(sizes)
-        texts = [data[a:b].tobytes() for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
-        for i, there, (n, kept, spans) in zip(ids.tolist(), known.tolist(), _cut(window, texts, uids, flagged), strict=True):
+        text_ends = np.cumsum(sizes)
+        for row, (a, b) in enumerate(zip((text_ends - sizes).tolist(), text_ends.tolist(), strict=True)):
+            words = data[a:b].tobytes().split()
+            kept, spans = words, np.empty((0, 2), dtype=np.int64)
+            mine = of_row.get(int(uids[row]))
+            if mine is not None:
+                spans = longest_ranges(starts[mine], ends[mine])
+                edges = np.zeros(len(words) + 1, dtype=np.int64)
+                np.add.at(edges, spans[:, 0], 1)
+                np.subtract.at(edges, spans[:, 1], 1)
+                kept = list(compress(words, (np.cumsum(edges)[:-1] == 0).tolist()))
             text = b" ".join(kept)
-            what = (hashlib.sha256(text).hexdigest(),) if digest else (text.decode(), spans)
-            rows.append((i if there else None, n, n - len(kept), *what))
+            what = (hashlib.sha256(text).hexdigest(),) if digest else (text.decode(), [{"start": x, "end": y} for x, y in spans.tolist()])
+            rows.append((int(ids[row]) if known[row] else None, len(words), len(words) - len(kept), *what))
     kinds = [pa.int64()] * 3 + [pa.string()] + [pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))] * (not digest)
     names = ["doc_id", "n_words", "n_removed", *(["kept_sha256"] if digest else ["kept", "repeats"])]
     columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
@@ -302,31 +62,28 @@ def remove_repeats(
     window: int = WINDOW,
     *,
     group_suffixes: int = GROUP_SUFFIXES,
+    group_words: int = GROUP_WORDS,
     cells: int = CELLS,
     documents_per_bucket: int = DOCUMENTS_PER_BUCKET,
     bytes_per_bucket: int = BYTES_PER_BUCKET,
     digest: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_removed, the kept text and the removed word ranges.
+    """One row per row of ``docs``: doc_id, n_words, n_removed, the kept text and the removed repeats as word ranges.
 
     With ``digest`` the text's SHA-256 is returned in place of text and ranges. Words are what ASCII white space
-    separates. A window is repeated if a document with a smaller id has it (a null id is larger than all; rows with
-    one id do not repeat each other). Null texts have no words; an empty table gives no row. Only doc_id and text are
-    read. Rows are stored with a number each; texts and what is known of their windows meet in buckets of numbers.
+    separates. A sequence of ``window`` words or more is removed if a document with a smaller id has it (a null id is
+    larger than all; rows with one id do not repeat each other). Null texts have no words; an empty table gives no row.
+    Only doc_id and text are read. Rows are stored with a number each; texts and ranges meet in buckets of numbers.
     """
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").withColumn("uid", F.monotonically_increasing_id())
     rows = stored(rows, "rows")
-    size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
-    buckets = max(1, -(-size["n"] // documents_per_bucket), -(-(size["bytes"] or 0) // bytes_per_bucket))
-    flags = repeated_windows(rows, buckets, window, group_suffixes=group_suffixes, cells=cells)
-
-    def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _pack_texts(buckets, batches)
+    buckets = buckets_of(rows, documents_per_bucket, bytes_per_bucket)
+    trees = trees_of(rows, buckets, window, group_suffixes=group_suffixes, group_words=group_words, cells=cells)
 
-    def cut(texts: pa.Table, flags: pa.Table) -> pa.Table:
-        return _cut_bucket(window, digest, texts, flags)
+    def cut(texts: pa.Table, ranges: pa.Table) -> pa.Table:
+        return _cut_bucket(digest, texts, ranges)
 
     kept = "kept_sha256 string" if digest else "kept string, repeats array<struct<start:int,end:int>>"
-    texts = rows.mapInArrow(pack_texts, "bucket int, texts binary")
     schema = f"doc_id long, n_words long, n_removed long, {kept}"
-    return texts.groupBy("bucket").cogroup(flags.groupBy("bucket")).applyInArrow(cut, schema)
+    ranges = trees.known_before().groupBy("bucket")
+    return packed(rows, buckets).groupBy("bucket").cogroup(ranges).applyInArrow(cut, schema)

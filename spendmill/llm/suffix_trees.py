@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .packing import pack, unpack
 from .storage import stored
-from .substring_dedup import (
+from .shared_windows import (
     BYTES_PER_BUCKET,
     CELLS,
     DOCUMENTS_PER_BUCKET,
@@ -31,18 +31,18 @@ from .substring_dedup import (
     WINDOW,
     Partition,
     _cells,
-    _pack_texts,
     _runs,
+    pack_texts,
     prefix_lengths,
     prefix_sums,
-    repeated_windows,
+    shared_windows,
 )
 from .words import Words, mix, visible, whole_windows, word_slices
 
 GROUP_WORDS = 4_000_000
 _ALONE = np.uint64(0x9E3779B97F4A7C15)
-_RUN = "doc_id long, uid long, start int, words binary, before long, after long"
-_TREE = "node boolean, group int, first int, last int, run long, at int, n_words int, n_occurrences long, first_doc long, last_doc long"
+_RUN = "bucket int, doc_id long, uid long, start int, words binary, before long, after long"
+_TREE = "node boolean, group int, first int, last int, run long, at int, n_words int, n_occurrences long, first_doc long, last_doc long, covered int"
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -58,7 +58,7 @@ def _shared_runs(window: int, docs: pa.Table, flags: pa.Table) -> pa.Table:
         for i, own in zip(uids.tolist(), np.split(keys, np.cumsum(n)[:-1]), strict=True):
             parts.setdefault(i, []).append(own)
     found: list[tuple] = []
-    for blob in docs["texts"]:
+    for bucket, blob in zip(docs["bucket"].to_pylist(), docs["texts"], strict=True):
         uids, ids, known, sizes, data = unpack(blob.as_buffer())
         ends = np.cumsum(sizes)
         rows = [r for r, i in enumerate(uids.tolist()) if i in parts]
@@ -77,26 +77,34 @@ def _shared_runs(window: int, docs: pa.Table, flags: pa.Table) -> pa.Table:
                     before = words.hashes[lo - 1] if lo > words.bounds[i] else mix(np.array([edge]))[0]
                     after = words.hashes[hi] if hi < words.bounds[i + 1] else mix(np.array([edge + np.uint64(1)]))[0]
                     doc = int(ids[row]) if known[row] else int(NO_ID)
-                    found.append((doc, uid, lo - int(words.bounds[i]), words.hashes[lo:hi].tobytes(), before.view(np.int64).item(), after.view(np.int64).item()))
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+                    found.append((bucket, doc, uid, lo - int(words.bounds[i]), words.hashes[lo:hi].tobytes(), before.view(np.int64).item(), after.view(np.int64).item()))
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
     columns = zip(*found, strict=True) if found else [()] * len(kinds)
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "uid", "start", "words", "before", "after"])
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "doc_id", "uid", "start", "words", "before", "after"])
 
 
-def shared_runs(docs: DataFrame, window: int, group_suffixes: int, cells: int) -> DataFrame:
-    """One row per run of shared windows: doc_id (a null id as ``NO_ID``), uid, start, word hashes, the words around."""
+def buckets_of(docs: DataFrame, documents_per_bucket: int = DOCUMENTS_PER_BUCKET, bytes_per_bucket: int = BYTES_PER_BUCKET) -> int:
     size = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
-    buckets = max(1, -(-size["n"] // DOCUMENTS_PER_BUCKET), -(-(size["bytes"] or 0) // BYTES_PER_BUCKET))
-    flags = repeated_windows(docs, buckets, window, group_suffixes=group_suffixes, cells=cells, everywhere=True)
+    return max(1, -(-size["n"] // documents_per_bucket), -(-(size["bytes"] or 0) // bytes_per_bucket))
 
-    def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _pack_texts(buckets, batches)
+
+def packed(docs: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, texts): the rows of ``docs`` by bucket of their numbers."""
+
+    def pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return pack_texts(buckets, batches)
+
+    return docs.mapInArrow(pack_batches, "bucket int, texts binary")
+
+
+def shared_runs(docs: DataFrame, buckets: int, window: int, group_suffixes: int, cells: int) -> DataFrame:
+    """One row per run of shared windows: doc_id (a null id as ``NO_ID``), uid and its bucket, start, word hashes, the words around."""
+    flags = shared_windows(docs, buckets, window, group_suffixes=group_suffixes, cells=cells)
 
     def runs(texts: pa.Table, flags: pa.Table) -> pa.Table:
         return _shared_runs(window, texts, flags)
 
-    texts = docs.mapInArrow(pack_texts, "bucket int, texts binary")
-    return texts.groupBy("bucket").cogroup(flags.groupBy("bucket")).applyInArrow(runs, _RUN)
+    return packed(docs, buckets).groupBy("bucket").cogroup(flags.groupBy("bucket")).applyInArrow(runs, _RUN)
 
 
 def distinct_runs(runs: DataFrame) -> DataFrame:
@@ -214,30 +222,39 @@ def ordered_suffixes(words: np.ndarray, ends: np.ndarray, starts: np.ndarray) ->
     return order, np.minimum(common, room)
 
 
-def internal_nodes(lengths: list[int], common: list[int], least: int, leaves: list[tuple]) -> Iterator[tuple]:
+def internal_nodes(lengths: list[int], common: list[int], least: int, leaves: list[tuple], covered: list[int]) -> Iterator[tuple]:
     """(first leaf, last leaf, depth, members, least and greatest document, least and greatest word before) of each node.
 
     ``leaves`` are the ordered suffixes' (members, documents, words before), ``common`` the prefix each shares with
-    the next. A suffix whose run has several members is a node itself.
+    the next. A suffix whose run has several members is a node itself. ``covered`` receives for each leaf the depth of
+    its deepest node with a document before the leaf's own least one.
     """
-    open_: list[list] = []
+    open_: list[list] = []  # the last field: the leaves of the node's least document, not covered yet
     for i, leaf in enumerate(leaves):
         ahead = common[i] if i < len(common) and common[i] >= least else 0
+        node = [i, i, lengths[i], *leaf, [i]]
         if open_ and open_[-1][2] == lengths[i]:
-            _merge(open_[-1], [i, i, lengths[i], *leaf])
+            _merge(open_[-1], node, covered)
         else:
-            open_.append([i, i, lengths[i], *leaf])
+            open_.append(node)
         while open_ and open_[-1][2] > ahead:
             node = open_.pop()
-            yield tuple(node)
+            yield tuple(node[:-1])
             if open_ and open_[-1][2] >= ahead:
-                _merge(open_[-1], node)
+                _merge(open_[-1], node, covered)
             elif ahead:
                 node[2] = ahead
                 open_.append(node)
 
 
-def _merge(into: list, node: list) -> None:
+def _merge(into: list, node: list, covered: list[int]) -> None:
+    if node[4] == into[4]:
+        into[8], node[8] = (into[8], node[8]) if len(into[8]) >= len(node[8]) else (node[8], into[8])
+        into[8] += node[8]
+    else:
+        later, into[8] = (node[8], into[8]) if into[4] < node[4] else (into[8], node[8])
+        for leaf in later:
+            covered[leaf] = into[2]
     into[0], into[1] = min(into[0], node[0]), max(into[1], node[1])
     into[3] += node[3]
     for low in (4, 6):
@@ -259,13 +276,14 @@ def _tree(window: int, table: pa.Table) -> pa.Table:
     starts, ends = np.concatenate(starts), np.concatenate(ends)
     order, common = ordered_suffixes(np.concatenate(words), ends, starts)
     group = table["group"][0].as_py()
-    rows = [(False, group, i, None, *where[k], None, None, None, None) for i, k in enumerate(order.tolist())]
     lengths = (ends[starts] - starts)[order].tolist()
-    for first, last, depth, n, doc, other, low, high in internal_nodes(lengths, common.tolist(), window, [leaves[k] for k in order.tolist()]):
+    covered, rows = [0] * len(order), []
+    for first, last, depth, n, doc, other, low, high in internal_nodes(lengths, common.tolist(), window, [leaves[k] for k in order.tolist()], covered):
         if doc != other and low != high:
-            rows.append((True, group, first, last, None, None, depth, n, doc, other))
-    kinds = [pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["node", "group", "first", "last", "run", "at", "n_words", "n_occurrences", "first_doc", "last_doc"]
+            rows.append((True, group, first, last, None, None, depth, n, doc, other, None))
+    rows += [(False, group, i, None, *where[k], None, None, None, None, covered[i]) for i, k in enumerate(order.tolist())]
+    kinds = [pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+    names = ["node", "group", "first", "last", "run", "at", "n_words", "n_occurrences", "first_doc", "last_doc", "covered"]
     return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
@@ -274,7 +292,7 @@ class RepeatTrees:
     """Stored suffix trees: nodes as ranges of ordered leaves, leaves as places in distinct runs, runs as places in texts."""
 
     tree: DataFrame
-    members: DataFrame
+    members: DataFrame  # (run, length, least_doc, bucket, doc_id, uid, start)
 
     def repeats(self) -> DataFrame:
         """One row per maximal repeat: repeat_id, n_words, n_occurrences, first_doc and last_doc (a null id is the last)."""
@@ -293,6 +311,18 @@ class RepeatTrees:
         return places.select("repeat_id", doc, "uid", start.alias("start"), (start + F.col("n_words")).alias("end"))
 
 
+    def known_before(self) -> DataFrame:
+        """(bucket, uid, start, end): word ranges that a document with a smaller id has too, the longest from each start.
+
+        Of a run's members all but those of the least document repeat it whole; those repeat what a tree's nodes with
+        smaller documents cover.
+        """
+        later = self.members.where("doc_id > least_doc").selectExpr("bucket", "uid", "start", "start + length AS end")
+        leaves = self.tree.where("NOT node AND covered > 0").select("run", "at", "covered")
+        least = self.members.where("doc_id = least_doc").join(leaves, "run")
+        return later.unionByName(least.selectExpr("bucket", "uid", "start + at AS start", "start + at + covered AS end"))
+
+
 def _repeat_id() -> Column:
     return F.concat_ws("-", "group", "first", "last", "n_words").alias("repeat_id")
 
@@ -315,12 +345,17 @@ def maximal_repeats(
     """
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").withColumn("uid", F.monotonically_increasing_id())
     rows = stored(rows, "rows")
-    runs = shared_runs(rows, window, group_suffixes, cells).withColumn("digest", F.unhex(F.sha2("words", 256)))
+    return trees_of(rows, buckets_of(rows), window, group_suffixes=group_suffixes, group_words=group_words, cells=cells)
+
+
+def trees_of(rows: DataFrame, buckets: int, window: int, *, group_suffixes: int, group_words: int, cells: int) -> RepeatTrees:
+    """``maximal_repeats`` of stored rows (doc_id long, text, uid)."""
+    runs = shared_runs(rows, buckets, window, group_suffixes, cells).withColumn("digest", F.unhex(F.sha2("words", 256)))
     runs = stored(runs, "runs")
     distinct = stored(distinct_runs(runs), "distinct-runs")
     started = stored(runs_with_starts(distinct, window), "starts")
     partition = Partition(count_words(started, window, cells), group_words)
-    shared = docs.sparkSession.sparkContext.broadcast(partition)
+    shared = rows.sparkSession.sparkContext.broadcast(partition)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _deal(window, shared.value, batches)
@@ -329,5 +364,6 @@ def maximal_repeats(
         return _tree(window, table)
 
     trees = started.mapInArrow(deal, "group int, run long, suffixes binary").groupBy("group").applyInArrow(tree, _TREE)
-    members = runs.select("digest", "doc_id", "uid", "start").join(distinct.select("digest", "run"), "digest")
-    return RepeatTrees(stored(trees, "trees"), members.select("run", "doc_id", "uid", "start"))
+    known = distinct.selectExpr("digest", "run", "cast(length(words) / 8 as int) length", "min_doc_id least_doc")
+    members = runs.select("digest", "bucket", "doc_id", "uid", "start").join(known, "digest").drop("digest")
+    return RepeatTrees(stored(trees, "trees"), members)

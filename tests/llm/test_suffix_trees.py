@@ -81,7 +81,7 @@ def test_passages_that_touch_are_two_repeats(spark):
     a, b = [f"a{i}" for i in range(20)], [f"b{i}" for i in range(20)]
     docs = [(1, " ".join(["x", *a, "y"])), (2, " ".join(["z", *b])), (3, " ".join(["q", *a, *b, "r"]))]
     assert by_trees(spark, docs, 13) == {tuple(a): [(1, 1), (3, 1)], tuple(b): [(2, 1), (3, 21)]}
-    assert remove_repeats(spark.createDataFrame(docs, SCHEMA)).where("doc_id = 3").first()["repeats"] == [(1, 41)]
+    assert remove_repeats(spark.createDataFrame(docs, SCHEMA)).where("doc_id = 3").first()["repeats"] == [(1, 21), (21, 41)]
 
 
 def test_repeats_of_null_empty_and_repeated_rows(spark):
@@ -97,7 +97,7 @@ def test_repeats_of_null_empty_and_repeated_rows(spark):
 def test_removed_words_are_those_of_repeats_that_a_smaller_document_has(spark):
     docs = corpus(4)
     frame = spark.createDataFrame(docs, SCHEMA)
-    trees = maximal_repeats(frame, 4)
+    trees = maximal_repeats(frame, 4, group_words=200, cells=64)
     first = {r["repeat_id"]: r["first_doc"] for r in trees.repeats().collect()}
     gone = defaultdict(set)
     for r in trees.occurrences().collect():
