@@ -11,7 +11,7 @@ leaves, so the tree takes no more room than its leaves, however many occurrences
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .packing import pack, unpack
+from .packing import pack, smallest, unpack
 from .storage import stored
 from .shared_windows import (
     BYTES_PER_BUCKET,
@@ -39,7 +39,7 @@ from .shared_windows import (
 )
 from .words import Words, mix, visible, whole_windows, word_slices
 
-GROUP_WORDS = 4_000_000
+GROUP_WORDS = 12_000_000
 _ALONE = np.uint64(0x9E3779B97F4A7C15)
 _RUN = "bucket int, doc_id long, uid long, start int, words binary, before long, after long"
 _TREE = "node boolean, group int, first int, last int, run long, at int, n_words int, n_occurrences long, first_doc long, last_doc long, covered int"
@@ -114,24 +114,32 @@ def distinct_runs(runs: DataFrame) -> DataFrame:
     return rows.withColumn("run", F.monotonically_increasing_id())
 
 
-def _one_run(hashes: np.ndarray) -> Words:
-    n, none = len(hashes), np.empty(0, dtype=np.int64)
-    return Words(0, 1, np.empty(0, dtype=np.uint8), none, none, np.zeros(n, dtype=np.int64), hashes, np.array([0, n]))
+def _joined(column: pa.Array) -> tuple[Words, np.ndarray]:
+    """The words of a batch of runs one after another, and where each run begins, with the end."""
+    _, where, what = column.buffers()
+    offsets = np.frombuffer(where, dtype=np.int32, count=len(column) + 1, offset=4 * column.offset).astype(np.int64)
+    hashes = np.frombuffer(what.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).to_pybytes(), dtype=np.uint64) if len(column) else np.empty(0, dtype=np.uint64)
+    bounds = (offsets - offsets[0]) // 8
+    row, none = np.repeat(np.arange(len(column)), np.diff(bounds)), np.empty(0, dtype=np.int64)
+    return Words(0, len(column), np.empty(0, dtype=np.uint8), none, none, row, hashes, bounds), bounds
 
 
 def _windows(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(run, at, key, least and greatest word before) of every window of the distinct runs."""
+    """(run, at, key, a word before, another one) of every window of the distinct runs; the last is null where there is none."""
     for batch in batches:
-        lows, highs = (batch[c].to_numpy(zero_copy_only=False) for c in ("min_before", "max_before"))
-        for run, blob, low, high in zip(batch["run"].to_pylist(), batch["words"], lows, highs, strict=True):
-            hashes = np.frombuffer(blob.as_buffer(), dtype=np.uint64)
-            keys = prefix_sums(_one_run(hashes), window)[-1]
-            lo, hi = np.empty(len(keys), dtype=np.int64), np.empty(len(keys), dtype=np.int64)
-            lo[0], hi[0] = low, high
-            lo[1:] = hi[1:] = _bits(hashes)[: len(keys) - 1]
-            at = np.arange(len(keys), dtype=np.int32)
-            columns = [np.full(len(keys), run), at, _bits(keys), lo, hi]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["run", "at", "key", "lo", "hi"])
+        words, bounds = _joined(batch["words"])
+        at = whole_windows(words, window)
+        keys = prefix_sums(words, window)[-1]
+        run = words.row[at]
+        place = at - bounds[run]
+        before = _bits(words.hashes)[at - 1].copy()
+        first = place == 0
+        low, high = (batch[c].to_numpy(zero_copy_only=False) for c in ("min_before", "max_before"))
+        before[first] = low[run[first]]
+        other = np.where(first, high[run], 0)
+        columns = [batch["run"].to_numpy(zero_copy_only=False)[run], place.astype(np.int32), _bits(keys), before]
+        columns = [*map(pa.array, columns), pa.array(other, mask=~first | (other == before))]
+        yield pa.RecordBatch.from_arrays(columns, ["run", "at", "key", "lo", "hi"])
 
 
 def runs_with_starts(distinct: DataFrame, window: int) -> DataFrame:
@@ -142,13 +150,18 @@ def runs_with_starts(distinct: DataFrame, window: int) -> DataFrame:
 
     places = distinct.select("run", "words", "min_before", "max_before")
     places = places.mapInArrow(windows, "run long, at int, key long, lo long, hi long")
-    varied = places.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("key")
+    varied = places.groupBy("key").agg(F.min("lo").alias("lo"), F.max(F.coalesce("hi", "lo")).alias("hi")).where("lo <> hi").select("key")
     starts = places.join(varied, "key").groupBy("run").agg(F.sort_array(F.collect_list("at")).alias("starts"))
     return distinct.join(starts, "run")
 
 
-def _heads(hashes: np.ndarray, starts: np.ndarray, window: int) -> list[np.ndarray]:
-    return [p[starts] for p in prefix_sums(_one_run(hashes), window)]
+def _suffixes(batch: pa.RecordBatch, window: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(words, run bounds, run of each start, its place in the words, hashes of the prefixes) of a batch of runs."""
+    words, bounds = _joined(batch["words"])
+    run = np.repeat(np.arange(len(batch)), batch["starts"].value_lengths().to_numpy(zero_copy_only=False))
+    start = bounds[run] + batch["starts"].flatten().to_numpy(zero_copy_only=False)
+    which = np.searchsorted(whole_windows(words, window), start)
+    return words, bounds, run, start, [p[which] for p in prefix_sums(words, window)]
 
 
 def count_words(runs: DataFrame, window: int, cells: int) -> np.ndarray:
@@ -158,11 +171,9 @@ def count_words(runs: DataFrame, window: int, cells: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((levels, cells), dtype=np.int64)
         for batch in batches:
-            for blob, starts in zip(batch["words"], batch["starts"], strict=True):
-                hashes = np.frombuffer(blob.as_buffer(), dtype=np.uint64)
-                at = starts.values.to_numpy(zero_copy_only=False)
-                for level, heads in enumerate(_heads(hashes, at, window)):
-                    np.add.at(table[level], _cells(heads, cells), len(hashes) - at)
+            _, bounds, run, start, heads = _suffixes(batch, window)
+            for level, hashes in enumerate(heads):
+                table[level] += np.bincount(_cells(hashes, cells), bounds[run + 1] - start, cells).astype(np.int64)
         level, cell = np.nonzero(table)
         columns = [pa.array(level.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(table[level, cell])]
         yield pa.RecordBatch.from_arrays(columns, ["level", "cell", "n"])
@@ -174,26 +185,37 @@ def count_words(runs: DataFrame, window: int, cells: int) -> np.ndarray:
     return table
 
 
+_MEMBER = ("run", "members", "min_doc_id", "max_doc_id", "max_before")
+
+
 def _deal(window: int, partition: Partition, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(group, run, blob): a run once for each group that one of its suffixes goes to, from the first such suffix on."""
+    """(group, blob): a run once for each group that one of its suffixes goes to, from the first such suffix on.
+
+    A blob holds a batch's runs for a group: their words, numbers of words and of suffixes, ``_MEMBER`` columns, and
+    each suffix's place and the word before it.
+    """
     for batch in batches:
-        rows = zip(batch["words"], batch["starts"], *(batch[c].to_pylist() for c in ("run", "members", "min_doc_id", "max_doc_id", "min_before", "max_before")), strict=True)
-        for blob, starts, run, *member in rows:
-            hashes = np.frombuffer(blob.as_buffer(), dtype=np.uint64)
-            at = starts.values.to_numpy(zero_copy_only=False).astype(np.int64)
-            group = partition.of(_heads(hashes, at, window))
-            order = np.argsort(group, kind="stable")
-            bounds = _runs(group[order])
-            numbers = group[order][bounds]
-            blobs = []
-            for lo, hi in zip(bounds, np.append(bounds[1:], len(order)), strict=True):
-                own = at[order[lo:hi]]
-                # The word before each suffix, as (least, greatest): a run's first has its members' words before it.
-                low, high = _bits(hashes)[own - 1], _bits(hashes)[own - 1].copy()
-                low[own == 0], high[own == 0] = member[3], member[4]
-                blobs.append(pack(hashes[own[0] :], own, low, high, np.array(member[:3], dtype=np.int64)))
-            columns = [pa.array(numbers, pa.int32()), pa.array([run] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["group", "run", "suffixes"])
+        words, bounds, run, start, heads = _suffixes(batch, window)
+        group = partition.of(heads)
+        order = np.lexsort((start, run, group))
+        group, run, start = group[order], run[order], start[order]
+        place = start - bounds[run]
+        low = batch["min_before"].to_numpy(zero_copy_only=False)
+        before = np.where(place == 0, low[run], _bits(words.hashes)[start - 1])
+        member = [batch[c].to_numpy(zero_copy_only=False) for c in _MEMBER]
+        for a, b in _spans(group):
+            first = a + _runs(run[a:b])
+            own, begin = run[first], start[first]
+            end = bounds[own + 1]
+            text = np.concatenate([words.hashes[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)])
+            sizes = smallest(end - begin), smallest(np.diff(np.append(first, b)))
+            blob = pack(text, *sizes, *(m[own] for m in member), smallest(place[a:b]), before[a:b])
+            yield pa.RecordBatch.from_arrays([pa.array([group[a]], pa.int32()), pa.array([blob], pa.binary())], ["group", "suffixes"])
+
+
+def _spans(sorted_values: np.ndarray) -> Iterator[tuple[int, int]]:
+    starts = _runs(sorted_values).tolist()
+    return zip(starts, [*starts[1:], len(sorted_values)][: len(starts)], strict=True)
 
 
 def ordered_suffixes(words: np.ndarray, ends: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -263,28 +285,46 @@ def _merge(into: list, node: list, covered: list[int]) -> None:
 
 def _tree(window: int, table: pa.Table) -> pa.Table:
     """A group's leaves in order, and the nodes that several documents have and that follow different words."""
-    words, ends, starts, leaves, where = [], [], [], [], []
-    size = 0
-    for run, blob in zip(table["run"].to_pylist(), table["suffixes"], strict=True):
-        hashes, own, low, high, member = unpack(blob.as_buffer())
-        words.append(hashes)
-        ends.append(np.full(len(hashes), size + len(hashes)))
-        starts.append(size + own - own[0])
-        leaves += [(*member.tolist(), a, b) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
-        where += [(run, a) for a in own.tolist()]
-        size += len(hashes)
-    starts, ends = np.concatenate(starts), np.concatenate(ends)
-    order, common = ordered_suffixes(np.concatenate(words), ends, starts)
+    blobs = [unpack(blob.as_buffer()) for blob in table["suffixes"]]
+    words, sizes, n, run, members, least, greatest, other, place, before = (np.concatenate(c) for c in zip(*blobs, strict=True))
+    blobs.clear()
+    stops = np.cumsum(sizes, dtype=np.int64)
+    ends = np.repeat(stops, sizes)
+    piece = np.repeat(np.arange(len(n)), n)
+    first = np.cumsum(n, dtype=np.int64) - n
+    place = place.astype(np.int64)
+    starts = (stops - sizes)[piece] + place - place[first][piece]
+    order, common = ordered_suffixes(words, ends, starts)
+    of = piece[order]
+    place, before = place[order], before[order]
+    # The word before a run's first suffix depends on the member.
+    after = np.where(place == 0, other[of], before)
+    leaves = list(zip(*(c.tolist() for c in (members[of], least[of], greatest[of], before, after)), strict=True))
     group = table["group"][0].as_py()
     lengths = (ends[starts] - starts)[order].tolist()
-    covered, rows = [0] * len(order), []
-    for first, last, depth, n, doc, other, low, high in internal_nodes(lengths, common.tolist(), window, [leaves[k] for k in order.tolist()], covered):
-        if doc != other and low != high:
-            rows.append((True, group, first, last, None, None, depth, n, doc, other, None))
-    rows += [(False, group, i, None, *where[k], None, None, None, None, covered[i]) for i, k in enumerate(order.tolist())]
-    kinds = [pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
-    names = ["node", "group", "first", "last", "run", "at", "n_words", "n_occurrences", "first_doc", "last_doc", "covered"]
-    return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+    covered = [0] * len(order)
+    nodes = [x for x in internal_nodes(lengths, common.tolist(), window, leaves, covered) if x[4] != x[5] and x[6] != x[7]]
+    lo, hi, depth, count, doc, last, *_ = zip(*nodes, strict=True) if nodes else [()] * 8
+    m, k = len(nodes), len(order)
+    columns = {
+        "node": (pa.bool_(), [True] * m, [False] * k),
+        "group": (pa.int32(), [group] * m, [group] * k),
+        "first": (pa.int32(), lo, np.arange(k)),
+        "last": (pa.int32(), hi, None),
+        "run": (pa.int64(), None, run[of]),
+        "at": (pa.int32(), None, place),
+        "n_words": (pa.int32(), depth, None),
+        "n_occurrences": (pa.int64(), count, None),
+        "first_doc": (pa.int64(), doc, None),
+        "last_doc": (pa.int64(), last, None),
+        "covered": (pa.int32(), None, covered),
+    }
+
+    def column(kind: pa.DataType, of_nodes: Sequence | None, of_leaves: Sequence | None) -> pa.ChunkedArray:
+        halves = ((of_nodes, m), (of_leaves, k))
+        return pa.chunked_array([pa.nulls(size, kind) if x is None else pa.array(x, kind) for x, size in halves], kind)
+
+    return pa.table({name: column(*parts) for name, parts in columns.items()})
 
 
 @dataclass(frozen=True)
@@ -363,7 +403,7 @@ def trees_of(rows: DataFrame, buckets: int, window: int, *, group_suffixes: int,
     def tree(table: pa.Table) -> pa.Table:
         return _tree(window, table)
 
-    trees = started.mapInArrow(deal, "group int, run long, suffixes binary").groupBy("group").applyInArrow(tree, _TREE)
+    trees = started.mapInArrow(deal, "group int, suffixes binary").groupBy("group").applyInArrow(tree, _TREE)
     known = distinct.selectExpr("digest", "run", "cast(length(words) / 8 as int) length", "min_doc_id least_doc")
     members = runs.select("digest", "bucket", "doc_id", "uid", "start").join(known, "digest").drop("digest")
     return RepeatTrees(stored(trees, "trees"), members)
