@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _OPEN: list[tuple[SparkSession, str]] = []
 
 
@@ -29,11 +30,20 @@ def new_folder(spark: SparkSession, what: str) -> str:
     return path
 
 
-def stored(df: DataFrame, what: str, *, codec: str = "zstd") -> DataFrame:
-    """``df`` written once and read back: a cut lineage that survives lost executors."""
-    path = new_folder(df.sparkSession, what)
-    df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, what: str, *, codec: str = "zstd", release: bool = False) -> DataFrame:
+    """``df`` written once and read back: a cut lineage that survives lost executors.
+
+    With ``release`` Spark deletes the shuffle files behind ``df`` as soon as it is written.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, what)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, str(release or before == "true").lower())
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @atexit.register

@@ -100,6 +100,7 @@ def packed(docs: DataFrame, buckets: int) -> DataFrame:
 def shared_runs(docs: DataFrame, buckets: int, window: int, group_suffixes: int, cells: int) -> DataFrame:
     """One row per run of shared windows: doc_id (a null id as ``NO_ID``), uid and its bucket, start, word hashes, the words around."""
     flags = shared_windows(docs, buckets, window, group_suffixes=group_suffixes, cells=cells)
+    flags = stored(flags, "windows", release=True)
 
     def runs(texts: pa.Table, flags: pa.Table) -> pa.Table:
         return _shared_runs(window, texts, flags)
@@ -178,7 +179,7 @@ def count_words(runs: DataFrame, window: int, cells: int) -> np.ndarray:
         columns = [pa.array(level.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(table[level, cell])]
         yield pa.RecordBatch.from_arrays(columns, ["level", "cell", "n"])
 
-    rows = runs.select("words", "starts").mapInArrow(count, "level int, cell int, n long")
+    rows = runs.select("words", "starts", release=True).mapInArrow(count, "level int, cell int, n long")
     table = np.zeros((levels, cells), dtype=np.int64)
     for r in rows.groupBy("level", "cell").agg(F.sum("n").alias("n")).toLocalIterator():
         table[r["level"], r["cell"]] = r["n"]
@@ -391,9 +392,9 @@ def maximal_repeats(
 def trees_of(rows: DataFrame, buckets: int, window: int, *, group_suffixes: int, group_words: int, cells: int) -> RepeatTrees:
     """``maximal_repeats`` of stored rows (doc_id long, text, uid)."""
     runs = shared_runs(rows, buckets, window, group_suffixes, cells).withColumn("digest", F.unhex(F.sha2("words", 256)))
-    runs = stored(runs, "runs")
-    distinct = stored(distinct_runs(runs), "distinct-runs")
-    started = stored(runs_with_starts(distinct, window), "starts")
+    runs = stored(runs, "runs", release=True)
+    distinct = stored(distinct_runs(runs), "distinct-runs", release=True)
+    started = stored(runs_with_starts(distinct, window), "starts", release=True)
     partition = Partition(count_words(started, window, cells), group_words)
     shared = rows.sparkSession.sparkContext.broadcast(partition)
 
@@ -406,4 +407,4 @@ def trees_of(rows: DataFrame, buckets: int, window: int, *, group_suffixes: int,
     trees = started.mapInArrow(deal, "group int, suffixes binary").groupBy("group").applyInArrow(tree, _TREE)
     known = distinct.selectExpr("digest", "run", "cast(length(words) / 8 as int) length", "min_doc_id least_doc")
     members = runs.select("digest", "bucket", "doc_id", "uid", "start").join(known, "digest").drop("digest")
-    return RepeatTrees(stored(trees, "trees"), members)
+    return RepeatTrees(stored(trees, "trees", release=True), members)
