@@ -63,7 +63,7 @@ def start_incremental(
     lies under ``spark.checkpoint.dir``; ``checkpoint`` is used where that is unset.
     """
     rows = union_versions(*(folder_stream(spark, f) for f in folders))
-    return _ingest(spark, rows, lambda batch: batch, IncrementalLoad(spark, config, rules), name, checkpoint, every)
+    return ingest(spark, rows, lambda batch, _: _unless_empty(batch), IncrementalLoad(spark, config, rules), name, checkpoint, every)
 
 
 def start_drifting(
@@ -91,30 +91,38 @@ def start_drifting(
             reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
         return reader.load(path).select("path")  # no content is read
 
-    def rows(batch: DataFrame) -> DataFrame:
+    def rows(batch: DataFrame, _: int) -> DataFrame | None:
         listed = [r.path for r in batch.toLocalIterator()]
+        if not listed:
+            return None
         found = load_drifting(spark, listed, schema, payload)
         return found.withColumns({"ingested_at": F.current_timestamp()})
 
-    return _ingest(spark, reduce(DataFrame.union, map(files, paths)), rows, IncrementalLoad(spark, config, rules), name, checkpoint, every)
+    return ingest(spark, reduce(DataFrame.union, map(files, paths)), rows, IncrementalLoad(spark, config, rules), name, checkpoint, every)
 
 
-def _ingest(
+def _unless_empty(batch: DataFrame) -> DataFrame | None:
+    return None if batch.isEmpty() else batch
+
+
+def ingest(
     spark: SparkSession,
     stream: DataFrame,
-    rows_of: Callable[[DataFrame], DataFrame],
+    rows_of: Callable[[DataFrame, int], DataFrame | None],
     load: IncrementalLoad,
     name: str,
     checkpoint: str | None,
     every: str | None,
 ) -> StreamingQuery:
+    """Apply ``rows_of(batch, batch id)`` of every micro-batch to the layers; None applies nothing."""
     location = f"{checkpoint_root(spark, checkpoint)}/{name}"
 
     def take(batch: DataFrame, batch_id: int) -> None:
         # The query id is kept in the checkpoint: a new checkpoint never reuses an old batch's label.
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or name
-        if not batch.isEmpty():
-            load.apply(rows_of(batch), f"{query_id}-{batch_id:09d}")
+        rows = rows_of(batch, batch_id)
+        if rows is not None:
+            load.apply(rows, f"{query_id}-{batch_id:09d}")
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
