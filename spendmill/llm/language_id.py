@@ -1,8 +1,7 @@
 """Language identification by words first, then by ever shorter character n-grams for words never seen.
 
-The model is fitted on a bounded sample of labelled documents (``DOCUMENTS_PER_LANGUAGE``) and holds bounded tables
-(``MAX_WORDS``, ``MAX_GRAMS``), so what is sent to the tasks does not grow with the corpus. Prediction reads every
-word of every text.
+The model is fitted on a bounded sample of labelled documents and holds bounded tables (``Bounds``), so what is sent to
+the tasks does not grow with the corpus. Prediction reads every word of every text.
 """
 
 from __future__ import annotations
@@ -22,9 +21,6 @@ from pyspark.sql import functions as F
 from .storage import stored
 from .words import remembered, text_groups
 
-DOCUMENTS_PER_LANGUAGE = 4_000
-MAX_WORDS = 100_000
-MAX_GRAMS = 60_000
 LONGEST_GRAM = 4
 SMOOTHING = 0.5
 CACHED_WORDS = 200_000
@@ -46,6 +42,22 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
+@dataclass(frozen=True)
+class Bounds:
+    """What a model is fitted on and how large it gets; None lifts a bound.
+
+    ``documents``: sampled labelled documents of a language. ``words``, ``grams``: the most frequent that are kept; any
+    other word falls back to its n-grams. ``least_count``: how often a word must be seen in a language to be known in
+    it. ``letters``: longer words are not kept as words (their n-grams are).
+    """
+
+    documents: int | None = 4_000
+    words: int | None = 100_000
+    grams: int | None = 60_000
+    least_count: int = 2
+    letters: int | None = 63
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     """Log frequencies per language: of words, and of n-grams of each length."""
@@ -92,11 +104,12 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(grams, pa.string()), pa.array(list(counts.values()), pa.int64())], ["lang", "token", "n"])
 
 
-def _most_frequent(counts: DataFrame, most: int) -> list[tuple[str, dict[str, int]]]:
-    """The ``most`` most frequent tokens with their counts by language (a bounded collect)."""
+def _most_frequent(counts: DataFrame, most: int | None) -> list[tuple[str, dict[str, int]]]:
+    """The ``most`` most frequent tokens with their counts by language (bounded by ``most``, else by the sample)."""
     entry = F.map_from_entries(F.collect_list(F.struct("lang", "n")))
     rows = counts.groupBy("token").agg(entry.alias("by_lang"), F.sum("n").alias("n"))
-    rows = rows.where(F.length("token") < 64).orderBy(F.desc("n"), "token").limit(most)
+    if most is not None:
+        rows = rows.orderBy(F.desc("n"), "token").limit(most)
     return [(r["token"], r["by_lang"]) for r in rows.collect()]
 
 
@@ -111,8 +124,8 @@ def _log_frequencies(tokens: list[tuple[str, dict[str, int]]], languages: tuple[
     return table
 
 
-def fit_languages(docs: DataFrame, *, documents_per_language: int = DOCUMENTS_PER_LANGUAGE) -> LanguageModel:
-    """Learn from (text, lang) of rows with both, at most about ``documents_per_language`` of each language.
+def fit_languages(docs: DataFrame, *, bounds: Bounds = Bounds()) -> LanguageModel:
+    """Learn from (text, lang) of rows with both, at most about ``bounds.documents`` of each language.
 
     The sample is drawn by a hash of the row, at a rate that a count of the labels gives (copies count one by one). Languages without a
     letter in their texts are not learned; without any labelled row the model has no language.
@@ -122,7 +135,7 @@ def fit_languages(docs: DataFrame, *, documents_per_language: int = DOCUMENTS_PE
     if not sizes:
         return LanguageModel((), {}, {})
     # Rates only below 1: a language with fewer documents is taken whole.
-    rates = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, documents_per_language / n))))
+    rates = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, 1.0 if bounds.documents is None else min(1.0, bounds.documents / n))))
     drawn = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < rates[F.col("lang")] * 1_000_000)
     counts = drawn.mapInArrow(_count_words, "lang string, token string, n long").groupBy("lang", "token").agg(F.sum("n").alias("n"))
     counts = stored(counts, "words")
@@ -131,12 +144,15 @@ def fit_languages(docs: DataFrame, *, documents_per_language: int = DOCUMENTS_PE
     if not languages:
         return LanguageModel((), {}, {})
     grams = counts.mapInArrow(_count_grams, "lang string, token string, n long").groupBy("lang", "token").agg(F.sum("n").alias("n"))
-    top_grams = _most_frequent(grams, MAX_GRAMS)
+    top_grams = _most_frequent(grams, bounds.grams)
     by_size: dict = {n: dict.fromkeys(languages, 0) for n in range(1, LONGEST_GRAM + 1)}
     for gram, by_lang in top_grams:
         for lang, n in by_lang.items():
             by_size[len(gram)][lang] += n
-    words = _most_frequent(counts.where("n > 1"), MAX_WORDS)
+    known = counts.where(F.col("n") >= bounds.least_count)
+    if bounds.letters is not None:
+        known = known.where(F.length("token") <= bounds.letters)
+    words = _most_frequent(known, bounds.words)
     return LanguageModel(languages, _log_frequencies(words, languages, {None: totals}), _log_frequencies(top_grams, languages, by_size))
 
 
@@ -202,13 +218,13 @@ def predict_languages(docs: DataFrame, model: LanguageModel, row_col: str | None
     return read.mapInArrow(run, "".join(f"`{c}` long, " for c in numbers) + "lang_pred string, score double, rejected boolean")
 
 
-def identify_languages(docs: DataFrame, *, row_col: str | None = None, documents_per_language: int = DOCUMENTS_PER_LANGUAGE) -> DataFrame:
+def identify_languages(docs: DataFrame, *, row_col: str | None = None, bounds: Bounds = Bounds()) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, rejected): learned from rows that are not held out, predicted for all rows.
 
     Rows with a null id are not held out and not learned from. Repeated rows each get their prediction, with the
     row's number where ``row_col`` names a column that has it.
     """
     seen = docs.where(F.col("doc_id").isNotNull() & ~is_held_out())
-    model = fit_languages(seen, documents_per_language=documents_per_language)
+    model = fit_languages(seen, bounds=bounds)
     number = [row_col] if row_col else []
     return predict_languages(docs, model, row_col).select(*number, "doc_id", is_held_out().alias("held_out"), "lang_pred", "score", "rejected")

@@ -4,8 +4,8 @@ A text over ``piece_chars`` becomes pieces that any task may encode. Neighbourin
 widened until it holds a certain boundary: a position that no token of the whole text spans. What such positions are
 depends on the tokenizer (``Boundaries``), and a tokenizer for which none are known is refused when it is read. A token
 that starts there in both encodings is a boundary of the whole text's encoding too: left of it the earlier piece counts,
-right of it the later one. A text without such a position stays one piece, and a text whose pieces all the same fail to
-align is put together again. Shorter texts are cut at every such position where white space carries no token.
+right of it the later one. A text without such a position stays one piece. Where neighbouring pieces all the same fail to
+align, the text is cut again with wider overlaps, until they do or it is one piece. Shorter texts are cut at every such position where white space carries no token.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from .words import remembered, text_groups
 
 PIECE_CHARS = 32_768
 OVERLAP_CHARS = 256
+WIDEN = 8
 KNOWN_PARTS = 1_000_000
 REMEMBERED_CHARS = 64
 _START = re.compile(r"(?<=[ \t\n\r\x0b\x0c])[\w!-~]")
@@ -201,10 +202,30 @@ def spliced(pieces: DataFrame) -> DataFrame:
 
 
 def rejoined(pieces: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, text) put together again from pieces: the widest overlap is the whole text."""
+    """(uid, doc_id, n_bytes, text) put together again from pieces."""
     own = F.struct("number", F.expr("substring(piece, 1, cast(next - begins as int))").alias("part"))
     parts = pieces.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"), F.sort_array(F.collect_list(own)).alias("parts"))
-    return parts.select("doc_id", "n_bytes", F.array_join("parts.part", "").alias("text"))
+    return parts.select("uid", "doc_id", "n_bytes", F.array_join("parts.part", "").alias("text"))
+
+
+def counted_in_pieces(texts: DataFrame, definition, start: re.Pattern, piece_chars: int, overlap: int, encode: Callable = _encode_pieces) -> DataFrame:
+    """(doc_id, n_bytes, n_tokens) of ``texts`` (uid, doc_id, n_bytes, text), each encoded in overlapping pieces.
+
+    Texts whose pieces do not align are cut again with overlaps ``WIDEN`` times as wide. An overlap as long as the text
+    makes one piece of it, which needs no alignment, so this ends after a few rounds and leaves no text out.
+    """
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated, as pieces are few bytes and much work
+    found = None
+    while True:
+        sliced = texts.mapInArrow(_with(_slice, piece_chars, overlap, start), _PIECES)
+        pieces = stored(sliced.repartition(tasks, "uid", "number"), "pieces")
+        counted = stored(spliced(pieces.mapInArrow(_with(encode, definition), _COUNTS)), "spliced")
+        aligned = counted.where("n_tokens is not null").drop("uid")
+        found = aligned if found is None else found.union(aligned)
+        apart = counted.where("n_tokens is null").select("uid")
+        if apart.isEmpty():
+            return found
+        texts, overlap = rejoined(pieces.join(apart, "uid", "left_semi")), overlap * WIDEN
 
 
 def token_counts(
@@ -232,10 +253,5 @@ def token_counts(
     huge = F.col("n_bytes") > piece_chars
     whole = rows.where(~huge).mapInArrow(_with(_count, definition), "doc_id long, n_bytes long, n_tokens long")
     texts = rows.where(huge).select(F.monotonically_increasing_id().alias("uid"), "doc_id", "n_bytes", "text")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # stated, as pieces are few bytes and much work
-    pieces = stored(texts.mapInArrow(_with(_slice, piece_chars, overlap, start), _PIECES).repartition(tasks, "uid", "number"), "pieces")
-    counted = stored(spliced(pieces.mapInArrow(_with(_encode_pieces, definition), _COUNTS)), "spliced")
-    apart = rejoined(pieces.join(counted.where("n_tokens is null").select("uid"), "uid", "left_semi"))
-    again = apart.mapInArrow(_with(_count, definition), whole.schema)
-    found = counted.where("n_tokens is not null").drop("uid")
-    return whole.union(found).union(again).withColumn("over_limit", F.col("n_tokens") > limit)
+    found = counted_in_pieces(texts, definition, start, piece_chars, overlap)
+    return whole.union(found).withColumn("over_limit", F.col("n_tokens") > limit)

@@ -9,6 +9,7 @@ import random
 import time
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -17,7 +18,7 @@ from tokenizers import Tokenizer
 
 from spendmill.llm import warc
 from spendmill.llm.pieces import LONG_WORD, Encoder, PieceModel, read_model
-from spendmill.llm.token_counts import Boundaries, token_counts
+from spendmill.llm.token_counts import Boundaries, _encode_pieces, counted_in_pieces, cut, token_counts
 from spendmill.llm.warc import captures, parse_records, read_records, unpacked, write_archives
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -112,6 +113,30 @@ def test_counts_equal_the_library_for_either_tokenizer(spark, name, chars, overl
     assert {r["doc_id"]: r["n_tokens"] for r in found.collect()} == {i: len(tokenizer.encode(t, add_special_tokens=False)) for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("seen_from", [40, 10**9])
+def test_pieces_that_do_not_align_are_cut_with_wider_overlaps(spark, seen_from):
+    """An encoder that hides boundaries of overlaps under ``seen_from`` characters; at the most every text ends as one piece."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    told, tokenizer = open(path, encoding="utf-8").read(), Tokenizer.from_file(path)
+    texts = ["plain words and more of them, " * 30, "it's we'll 12 é ́ " * 30, "x" * 500, "short"]
+    rounds = spark.sparkContext.accumulator(0)
+
+    def hiding(definition, batches):
+        for batch in _encode_pieces(definition, batches):
+            row = batch.to_pylist()[0]
+            rounds.add(1)
+            for side in ("head", "tail"):
+                if row[side] and row[side][-1] - row[side][0] < seen_from:
+                    row[side], row[f"{side}_tokens"] = [], []
+            yield pa.RecordBatch.from_pylist([row], batch.schema)
+
+    frame = spark.createDataFrame([(i, i, len(t.encode()), t) for i, t in enumerate(texts)], "uid long, doc_id long, n_bytes long, text string")
+    found = counted_in_pieces(frame, spark.sparkContext.broadcast(told), Boundaries(told).start, 64, 4, hiding)
+    assert {r["doc_id"]: r["n_tokens"] for r in found.collect()} == {i: len(tokenizer.encode(t, add_special_tokens=False)) for i, t in enumerate(texts)}
+    once = sum(len(list(cut(t, 64, 4))) for t in texts)
+    assert rounds.value > once
+
+
 def test_tokenizers_without_certain_boundaries_are_refused():
     told = json.loads(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
     assert not Boundaries(json.dumps(told)).cut_words
